@@ -1,0 +1,103 @@
+"""Run registered queries against their DuckDB SQL and compare results.
+
+Mirrors the correctness gate: row count, column names and types, and an
+order-insensitive hash of the values (columns sorted by name).
+
+    python -m tests.oracle [name ...] [--sf /root/testdata/sf0.01]
+"""
+
+from __future__ import annotations
+
+import argparse
+import hashlib
+import math
+import sys
+import time
+
+import duckdb
+import pandas as pd
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if v is None or (isinstance(v, float) and math.isnan(v)):
+        return None
+    if isinstance(v, float):
+        return round(v, 6)
+    if isinstance(v, pd.Timestamp):
+        return v.to_pydatetime().replace(tzinfo=None).isoformat()
+    if hasattr(v, "isoformat"):
+        return v.replace(tzinfo=None).isoformat() if hasattr(v, "tzinfo") else v.isoformat()
+    return v
+
+
+def frame_digest(pdf: pd.DataFrame) -> tuple[list[str], str]:
+    cols = sorted(pdf.columns)
+    rows = sorted(repr(tuple(_norm(r[c]) for c in cols)) for r in pdf.to_dict("records"))
+    return cols, hashlib.sha256("\n".join(rows).encode()).hexdigest()
+
+
+def compare(spark, sf_dir: str, name: str, query, sql: str | None, con=None) -> dict:
+    con = con or duck(sf_dir)
+    t0 = time.time()
+    sdf = query(spark, sf_dir)
+    s_schema = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    spdf = sdf.toPandas()
+    t_spark = time.time() - t0
+    out = {"name": name, "spark_rows": len(spdf), "spark_sec": round(t_spark, 2), "schema": s_schema}
+    if sql is None:
+        out["match"] = None
+        return out
+    dpdf = con.execute(sql).df()
+    out["oracle_rows"] = len(dpdf)
+    s_cols, s_hash = frame_digest(spdf)
+    d_cols, d_hash = frame_digest(dpdf)
+    out["cols_match"] = s_cols == d_cols
+    out["hash_match"] = s_hash == d_hash
+    out["match"] = out["cols_match"] and out["hash_match"] and len(spdf) == len(dpdf)
+    if not out["cols_match"]:
+        out["spark_cols"], out["oracle_cols"] = s_cols, d_cols
+    elif not out["hash_match"]:
+        a = spdf[s_cols].astype(str).agg("|".join, axis=1).value_counts()
+        b = dpdf[d_cols].astype(str).agg("|".join, axis=1).value_counts()
+        diff = a.sub(b, fill_value=0)
+        out["diff_sample"] = diff[diff != 0].head(6).to_dict()
+        out["oracle_dtypes"] = {c: str(t) for c, t in dpdf.dtypes.items()}
+    return out
+
+
+def main(argv=None) -> int:
+    ap = argparse.ArgumentParser()
+    ap.add_argument("names", nargs="*")
+    ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    args = ap.parse_args(argv)
+    sys.path.insert(0, ".")
+    import __spark_entry__ as entry
+    from tidemark.session import get_spark
+    spark = get_spark("local[8]", shuffle_partitions=8)
+    qs, sqls = entry.queries(), entry.oracle_sql()
+    names = args.names or list(qs)
+    con = duck(args.sf)
+    bad = 0
+    for n in names:
+        try:
+            r = compare(spark, args.sf, n, qs[n], sqls.get(n), con)
+        except Exception as e:  # report and continue with the next query
+            r = {"name": n, "match": False, "error": f"{type(e).__name__}: {str(e)[:400]}"}
+        bad += r.get("match") is False
+        print(r, flush=True)
+    print(f"{len(names) - bad}/{len(names)} ok")
+    return 1 if bad else 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())
