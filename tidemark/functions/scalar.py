@@ -68,11 +68,16 @@ def to_ntz(ts: ColumnOrName) -> Column:
     return _c(ts).cast("timestamp_ntz")
 
 
+def micros_between(later: ColumnOrName, earlier: ColumnOrName) -> Column:
+    """Whole microseconds from ``earlier`` to ``later`` (zone-free for TIMESTAMP_NTZ)."""
+    return F.timestamp_diff("MICROSECOND", _c(earlier), _c(later))
+
+
 def seconds_between(later: ColumnOrName, earlier: ColumnOrName) -> Column:
     """Fractional seconds from ``earlier`` to ``later``."""
-    return (ts_to_micros(later) - ts_to_micros(earlier)) / F.lit(1_000_000.0)
+    return micros_between(later, earlier) / F.lit(1_000_000.0)
 
 
 def ms_between(later: ColumnOrName, earlier: ColumnOrName) -> Column:
     """Fractional milliseconds from ``earlier`` to ``later``."""
-    return (ts_to_micros(later) - ts_to_micros(earlier)) / F.lit(1000.0)
+    return micros_between(later, earlier) / F.lit(1000.0)

@@ -97,3 +97,338 @@ def q_status_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim = dimension(spark, sf_dir).select("user_id", "alarm_low", "alarm_high")
     return (enrich_left(events, dim, "user_id")
             .withColumn("status", classify_status("value", "alarm_low", "alarm_high")))
+
+
+# ---- shared pieces for the remaining queries -------------------------------
+
+def as_of() -> Column:
+    return F.lit(AS_OF).cast("timestamp_ntz")
+
+
+def _ntz_out(df: DataFrame, *cols: str) -> DataFrame:
+    for c in cols:
+        df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
+    return df
+
+
+def _events_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    from tidemark.sources.history import stream_table
+    return stream_table(spark, path, max_files_per_trigger=max_files).withColumn(
+        "ts", F.col("ts").cast("timestamp"))
+
+
+def _split_events(spark: SparkSession, sf_dir: str, parts: int = 8) -> str:
+    """Write the events table as ``parts`` files, so a stream sees several micro-batches."""
+    from tidemark.session import shared_dir
+    path = shared_dir(spark, "events_split")
+    table(spark, sf_dir, "events").repartition(parts).write.mode("overwrite").parquet(path)
+    return path
+
+
+LIVE_OUT = ["user_id", "ts", "value", "event_type", "event_id", "c_name", "n_name",
+            "c_mktsegment", "alarm_low", "alarm_high", "status"]
+
+
+# ---- S1/S13: streaming scans into an insert-only sink ------------------------
+
+def _insert_only_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.session import shared_dir
+    from tidemark.streaming.sink import await_completion, insert_stream
+    work = shared_dir(spark, "insert_only")
+    src = _events_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+    q = insert_stream(src, f"{work}/table", f"{work}/checkpoint", trigger="availableNow")
+    await_completion(q)
+    return spark.read.parquet(f"{work}/table")
+
+
+def q_stream_scan_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _insert_only_run(spark, sf_dir).groupBy("event_type").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_insert_only_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _insert_only_run(spark, sf_dir).select("event_id", "user_id", "event_type", "ts", "value")
+    return _ntz_out(out, "ts")
+
+
+# ---- S12/T1-T3/T7/T11: the streaming upsert of the live state -----------------
+
+def q_live_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream events → newest per key (watermark 30 s) → dimension → status → keyed upsert."""
+    from tidemark.session import shared_dir
+    from tidemark.streaming.keyed import KeyedTable
+    from tidemark.streaming.sink import await_completion, upsert_stream
+    work = shared_dir(spark, "live_state")
+    stream = _events_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+    latest = latest_per_key(stream.withWatermark("ts", "30 seconds"), "user_id", "ts",
+                            ["value", "event_type", "event_id"])
+    out = (live_rows(latest, dimension(spark, sf_dir), "user_id")
+           .withColumn("updated_ts", F.current_timestamp()))
+    q = upsert_stream(out, f"{work}/table", "user_id", f"{work}/checkpoint", output_mode="update",
+                      trigger="availableNow", unique=True, query_name=None)
+    await_completion(q)
+    return _ntz_out(KeyedTable(spark, f"{work}/table").read().select(*LIVE_OUT), "ts")
+
+
+def q_live_state_stateless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No stream state; each micro-batch is reduced, enriched and merged with a ts guard."""
+    from tidemark.session import shared_dir
+    from tidemark.streaming.keyed import KeyedTable
+    from tidemark.streaming.sink import await_completion, upsert_stream
+    work = shared_dir(spark, "live_state_stateless")
+    stream = _events_stream(spark, _split_events(spark, sf_dir), max_files=1)
+
+    def per_batch(b: DataFrame) -> DataFrame:
+        newest = latest_per_key(b, "user_id", "ts", ["value", "event_type", "event_id"])
+        return live_rows(newest, dimension(b.sparkSession, sf_dir), "user_id")
+
+    q = upsert_stream(stream, f"{work}/table", "user_id", f"{work}/checkpoint", output_mode="append",
+                      trigger="availableNow", order_by=["ts"], unique=True, transform=per_batch)
+    await_completion(q)
+    return _ntz_out(KeyedTable(spark, f"{work}/table").read().select(*LIVE_OUT), "ts")
+
+
+def q_composite_key_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A two-column upsert key, newest wins across micro-batches."""
+    from tidemark.session import shared_dir
+    from tidemark.streaming.keyed import KeyedTable
+    from tidemark.streaming.sink import await_completion, upsert_stream
+    work = shared_dir(spark, "composite_key")
+    stream = _events_stream(spark, _split_events(spark, sf_dir), max_files=1).select(
+        "user_id", "event_type", "ts", "value")
+    q = upsert_stream(stream, f"{work}/table", "user_id, event_type", f"{work}/checkpoint",
+                      output_mode="append", trigger="availableNow", order_by=["ts"])
+    await_completion(q)
+    return _ntz_out(KeyedTable(spark, f"{work}/table").read(), "ts")
+
+
+def q_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live row of one key, read from its bucket only."""
+    from tidemark.session import shared_dir
+    from tidemark.streaming.keyed import KeyedTable
+    work = shared_dir(spark, "point_lookup")
+    rows = live(spark, sf_dir)
+    t = KeyedTable.create(spark, f"{work}/table", rows.schema, "user_id")
+    t.merge(rows, unique=True)
+    return t.lookup(7).select(*LIVE_OUT)
+
+
+# ---- S9/C13, S10/C11, C12 ----------------------------------------------------
+
+def q_wire_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.functions import micros_between
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    e = table(spark, sf_dir, "events").select("event_id", "ts")
+    e = e.withColumn("ts_micros", micros_between("ts", epoch))
+    e = e.withColumn("ts_back", F.timestamp_micros("ts_micros").cast("timestamp_ntz"))
+    return e.select("event_id", "ts_micros", "ts_back", (F.col("ts_back") == F.col("ts")).alias("same"))
+
+
+def q_json_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    k = F.from_json(F.col("props"), "k int").getField("k")
+    return (e.select("event_type", k.alias("k"))
+             .groupBy("event_type").agg(F.sum("k").alias("k_sum"), F.count("k").alias("k_count")))
+
+
+def q_clip_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.functions import clip_to_range
+    e = table(spark, sf_dir, "events")
+    return e.select("event_id", "value", clip_to_range("value", 1.0, 100.0, 3).alias("clipped"))
+
+
+# ---- P4/C5/C6: dimension expansion -------------------------------------------
+
+# ---- fixed values ---------------------------------------------------------
+# Sensor specs attached to every unit: (key, measurement, unit, alarm_low, alarm_high).
+UNIT_SPECS = [
+    ("GBX-OIL-T", "temperature", "degC", 15, 75),
+    ("GEN-BRG-T", "temperature", "degC", 15, 95),
+    ("PWR-ACT", "power", "kW", None, None),
+    ("NAC-VIB", "vibration", "mm/s", None, 8),
+]
+# ---------------------------------------------------------------------------
+
+
+def q_dim_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as plants (1-3 units by nation key), region as type, four specs per unit."""
+    from tidemark.functions import compose_id, compose_tag
+    from tidemark.operators.expand import expand_units
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    plants = (nation.join(region, nation.n_regionkey == region.r_regionkey)
+                    .select(F.col("n_name").alias("site_code"), F.col("r_name").alias("type"),
+                            F.upper(F.substring("r_name", 1, 3)).alias("unit_prefix"),
+                            (F.col("n_nationkey") % 3 + 1).alias("num_units")))
+    specs = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(m).alias("measurement_type"),
+                               F.lit(u).alias("unit_of_measure"),
+                               F.lit(lo).cast("double").alias("alarm_low"),
+                               F.lit(hi).cast("double").alias("alarm_high"))
+                      for k, m, u, lo, hi in UNIT_SPECS])
+    rows = expand_units(plants).withColumn("spec", F.explode(specs)).select("*", "spec.*").drop("spec")
+    return rows.select(
+        compose_id("site_code", "unit_prefix", "unit", "key").alias("sensor_asset_id"),
+        compose_tag("site_code", "unit_prefix", "unit", "key").alias("scada_tag"),
+        "site_code", "type", F.format_string("%s-%s%02d", "site_code", "unit_prefix", "unit").alias("unit_id"),
+        "measurement_type", "unit_of_measure", "alarm_low", "alarm_high")
+
+
+# ---- L1-L5, A14: reports over the live state ---------------------------------
+
+def q_alarms_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.plans.reports import alarms_now
+    return alarms_now(live(spark, sf_dir), "ts").select("user_id", "ts", "value", "status", "c_mktsegment")
+
+
+def q_recent_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.plans.reports import recent_updates
+    return recent_updates(with_upd(live(spark, sf_dir)), "upd", "user_id", 20).select(
+        "user_id", "upd", "ts", "value", "status")
+
+
+def q_alarm_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.plans.reports import alarm_counts
+    return alarm_counts(live(spark, sf_dir))
+
+
+def q_status_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.plans.reports import status_breakdown
+    return status_breakdown(live(spark, sf_dir))
+
+
+def q_landing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.plans.reports import landing_report
+    return landing_report(with_upd(latest_events(spark, sf_dir)), as_of(), WINDOW_SECONDS,
+                          key="user_id", event_ts="ts", updated_ts="upd")
+
+
+# ---- C10, L6, A11: progress ---------------------------------------------------
+
+def progress_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Progress-like JSON documents, one per hour of events.
+
+    ``sink`` is left out for hours 0-2 and ``durationMs`` for hours 3-4, so
+    the parser's defaults are exercised.
+    """
+    e = table(spark, sf_dir, "events")
+    hour = F.date_trunc("hour", F.col("ts"))
+    per = e.groupBy(hour.alias("hour")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users"),
+        (F.max("event_id") - F.min("event_id")).alias("id_span"))
+    h = F.hour("hour")
+    epoch_hour = F.timestamp_diff("HOUR", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"), F.col("hour"))
+    doc = F.struct(
+        epoch_hour.alias("batchId"),
+        F.date_format(F.col("hour") + F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp"),
+        F.col("n").alias("numInputRows"),
+        (F.col("n") / F.lit(3600.0)).alias("inputRowsPerSecond"),
+        (F.col("n") * F.lit(1000.0) / (F.col("id_span") + 1)).alias("processedRowsPerSecond"),
+        F.when(h >= 3, F.struct(F.when(~h.isin(3, 4), F.col("id_span")).alias("triggerExecution"))
+               ).alias("durationMs"),
+        F.when(h >= 3, F.struct(F.col("users").alias("numOutputRows"))).alias("sink"))
+    return per.select(F.to_json(doc).alias("json"))
+
+
+def q_progress_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.streaming.progress import parse_progress
+    return _ntz_out(parse_progress(progress_json(spark, sf_dir)), "event_ts")
+
+
+def q_progress_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.streaming.progress import parse_progress, progress_report
+    rows = _ntz_out(parse_progress(progress_json(spark, sf_dir)), "event_ts")
+    return progress_report(rows, as_of(), WINDOW_SECONDS)
+
+
+def q_progress_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.streaming.progress import running_totals
+    e = table(spark, sf_dir, "events")
+    day = F.to_date("ts").cast("timestamp_ntz")
+    return running_totals(e, day, "rows").withColumnRenamed("period", "day")
+
+
+# ---- J3, A12, A13: delivery latency --------------------------------------------
+
+def _fifo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.operators.latency import fifo_match
+    e = table(spark, sf_dir, "events")
+    sends = e.where(F.col("event_type") == "click").select("user_id", F.col("ts").alias("sent_ts"), "event_id")
+    acks = e.where(F.col("event_type") == "view").select("user_id", F.col("ts").alias("acked_ts"), "event_id")
+    return fifo_match(sends, acks, "user_id", order_tiebreak=["event_id"])
+
+
+def q_fifo_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fifo(spark, sf_dir)
+
+
+def q_nearest_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.operators.latency import nearest_rank
+    return nearest_rank(table(spark, sf_dir, "events"), ["event_type"], "value", {"p50": 0.5, "p95": 0.95})
+
+
+def q_delivery_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.operators.latency import delivery_report
+    return delivery_report(_fifo(spark, sf_dir), "user_id")
+
+
+# ---- M1, M2: sync and change history --------------------------------------------
+
+def q_sync_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A keyed copy of ``customer``: first loaded with stale rows, then replaced by a snapshot."""
+    from tidemark.session import shared_dir
+    from tidemark.streaming.keyed import KeyedTable
+    from tidemark.streaming.sync import sync_snapshot
+    work = shared_dir(spark, "sync_snapshot")
+    cust = table(spark, sf_dir, "customer")
+    stale = cust.where(F.col("c_acctbal") < 0).withColumn("c_custkey", F.col("c_custkey") + 10_000_000)
+    t = KeyedTable.create(spark, f"{work}/table", cust.schema, "c_custkey")
+    t.merge(stale, unique=True)
+    sync_snapshot(cust, f"{work}/table", "c_custkey")
+    return KeyedTable(spark, f"{work}/table").read()
+
+
+def orders_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second version of ``orders``: finished orders removed, urgent ones repriced (+100), pending ones re-keyed."""
+    o = table(spark, sf_dir, "orders")
+    kept = (o.where(F.col("o_orderstatus") != "F")
+             .withColumn("o_totalprice", F.when(F.col("o_orderpriority") == "1-URGENT",
+                                                F.col("o_totalprice") + F.lit(100.0))
+                         .otherwise(F.col("o_totalprice"))))
+    added = o.where(F.col("o_orderstatus") == "P").withColumn("o_orderkey", F.col("o_orderkey") + 10_000_000)
+    return kept.unionByName(added)
+
+
+def q_change_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.operators.changes import change_history
+    out = change_history(table(spark, sf_dir, "orders"), orders_v2(spark, sf_dir), "o_orderkey", 2,
+                         ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
+    return out.select("o_orderkey", "change_type", "version", "old_o_totalprice", "new_o_totalprice",
+                      "old_o_orderstatus", "new_o_orderstatus")
+
+
+QUERIES = {
+    "latest_per_key": q_latest_per_key,
+    "enrich_left": q_enrich_left,
+    "status_classify": q_status_classify,
+    "stream_scan_count": q_stream_scan_count,
+    "insert_only_stream": q_insert_only_stream,
+    "live_state": q_live_state,
+    "live_state_stateless": q_live_state_stateless,
+    "composite_key_upsert": q_composite_key_upsert,
+    "point_lookup": q_point_lookup,
+    "wire_timestamp": q_wire_timestamp,
+    "json_parse": q_json_parse,
+    "clip_range": q_clip_range,
+    "dim_expand": q_dim_expand,
+    "alarms_now": q_alarms_now,
+    "recent_updates": q_recent_updates,
+    "alarm_counts": q_alarm_counts,
+    "status_breakdown": q_status_breakdown,
+    "landing_report": q_landing_report,
+    "progress_parse": q_progress_parse,
+    "progress_report": q_progress_report,
+    "progress_running_total": q_progress_running_total,
+    "fifo_match": q_fifo_match,
+    "nearest_rank": q_nearest_rank,
+    "delivery_report": q_delivery_report,
+    "sync_snapshot": q_sync_snapshot,
+    "change_history": q_change_history,
+}

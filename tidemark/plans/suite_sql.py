@@ -52,3 +52,155 @@ SQL["status_classify"] = f"""WITH {DIM}
 SELECT e.event_id, e.user_id, e.value, d.alarm_low, d.alarm_high,
        {STATUS.replace('alarm_', 'd.alarm_').replace('value', 'e.value')} AS status
 FROM events e LEFT JOIN dim d ON e.user_id = d.user_id"""
+
+LIVE_COLS = ("user_id, ts, value, event_type, event_id, c_name, n_name, c_mktsegment, "
+             "alarm_low, alarm_high, status")
+
+SQL["stream_scan_count"] = "SELECT event_type, count(*) AS rows FROM events GROUP BY event_type"
+
+SQL["insert_only_stream"] = "SELECT event_id, user_id, event_type, ts, value FROM events"
+
+SQL["live_state"] = BASE + f"SELECT {LIVE_COLS} FROM live"
+
+SQL["live_state_stateless"] = BASE + f"SELECT {LIVE_COLS} FROM live"
+
+SQL["composite_key_upsert"] = """SELECT user_id, event_type, max(ts) AS ts, arg_max(value, ts) AS value
+FROM events GROUP BY user_id, event_type"""
+
+SQL["point_lookup"] = BASE + f"SELECT {LIVE_COLS} FROM live WHERE user_id = 7"
+
+SQL["wire_timestamp"] = """SELECT event_id, epoch_us(ts) AS ts_micros, make_timestamp(epoch_us(ts)) AS ts_back,
+       make_timestamp(epoch_us(ts)) = ts AS same
+FROM events"""
+
+SQL["json_parse"] = """SELECT event_type, CAST(sum(CAST(json_extract(props, '$.k') AS INTEGER)) AS BIGINT) AS k_sum,
+       count(CAST(json_extract(props, '$.k') AS INTEGER)) AS k_count
+FROM events GROUP BY event_type"""
+
+SQL["clip_range"] = """SELECT event_id, value,
+       CASE WHEN value IS NOT NULL THEN round(least(100.0::DOUBLE, greatest(1.0::DOUBLE, value)), 3) END AS clipped
+FROM events"""
+
+SQL["dim_expand"] = """WITH specs(key, measurement_type, unit_of_measure, alarm_low, alarm_high) AS (
+  VALUES ('GBX-OIL-T', 'temperature', 'degC', 15.0::DOUBLE, 75.0::DOUBLE),
+         ('GEN-BRG-T', 'temperature', 'degC', 15.0::DOUBLE, 95.0::DOUBLE),
+         ('PWR-ACT', 'power', 'kW', NULL::DOUBLE, NULL::DOUBLE),
+         ('NAC-VIB', 'vibration', 'mm/s', NULL::DOUBLE, 8.0::DOUBLE)
+),
+plants AS (
+  SELECT n.n_name AS site_code, r.r_name AS type, upper(substr(r.r_name, 1, 3)) AS unit_prefix,
+         n.n_nationkey % 3 + 1 AS num_units
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+)
+SELECT printf('%s-%s%02d-%s', p.site_code, p.unit_prefix, g.u, s.key) AS sensor_asset_id,
+       printf('%s_%s%02d_%s_PV', p.site_code, p.unit_prefix, g.u, s.key) AS scada_tag,
+       p.site_code, p.type, printf('%s-%s%02d', p.site_code, p.unit_prefix, g.u) AS unit_id,
+       s.measurement_type, s.unit_of_measure, s.alarm_low, s.alarm_high
+FROM plants p, generate_series(1, p.num_units) AS g(u), specs s"""
+
+SQL["alarms_now"] = BASE + """SELECT user_id, ts, value, status, c_mktsegment FROM live
+WHERE status <> 'OK' ORDER BY ts DESC"""
+
+SQL["recent_updates"] = BASE + f"""SELECT user_id, {UPD} AS upd, ts, value, status FROM live
+ORDER BY upd DESC, user_id LIMIT 20"""
+
+SQL["alarm_counts"] = BASE + """SELECT count(*) FILTER (WHERE status = 'HIGH') AS high,
+       count(*) FILTER (WHERE status = 'LOW') AS low, count(*) AS total FROM live"""
+
+SQL["status_breakdown"] = BASE + "SELECT status, count(*) AS rows FROM live GROUP BY status"
+
+_WIN = f"upd > {AS_OF} - {WINDOW}"
+SQL["landing_report"] = f"""WITH {LATEST},
+u AS (SELECT user_id, ts, {UPD} AS upd FROM latest)
+SELECT count(*) AS total,
+       count(*) FILTER (WHERE {_WIN}) AS win_upserts,
+       count(DISTINCT user_id) FILTER (WHERE {_WIN}) AS win_sensors,
+       round((epoch_us({AS_OF}) - epoch_us(max(upd))) / 1000.0::DOUBLE) AS staleness_ms,
+       round(quantile_cont((epoch_us(upd) - epoch_us(ts)) / 1000.0::DOUBLE / 1000.0::DOUBLE, 0.5)
+             FILTER (WHERE {_WIN}) * 1000) AS p50_ms,
+       round(quantile_cont((epoch_us(upd) - epoch_us(ts)) / 1000.0::DOUBLE / 1000.0::DOUBLE, 0.95)
+             FILTER (WHERE {_WIN}) * 1000) AS p95_ms
+FROM u"""
+
+PROGRESS = """progress AS (
+  SELECT date_diff('hour', TIMESTAMP '2024-01-01 00:00:00', hour) AS batch_id,
+         hour + INTERVAL 1 HOUR AS event_ts,
+         n AS num_input_rows,
+         CASE WHEN hour(hour) >= 3 THEN users ELSE -1 END AS num_output_rows,
+         n / 3600.0::DOUBLE AS input_rps,
+         n * 1000.0::DOUBLE / (id_span + 1) AS processed_rps,
+         CASE WHEN hour(hour) >= 5 THEN CAST(id_span AS DOUBLE) END AS batch_duration_ms
+  FROM (SELECT date_trunc('hour', ts) AS hour, count(*) AS n, count(DISTINCT user_id) AS users,
+               max(event_id) - min(event_id) AS id_span
+        FROM events GROUP BY 1)
+)"""
+
+SQL["progress_parse"] = f"WITH {PROGRESS} SELECT * FROM progress"
+
+SQL["progress_report"] = f"""WITH {PROGRESS}
+SELECT count(*) AS batches,
+       CAST(coalesce(sum(num_input_rows), 0) AS BIGINT) AS in_rows,
+       CAST(coalesce(sum(nullif(num_output_rows, -1)), 0) AS BIGINT) AS out_rows,
+       round(avg(processed_rps)) AS proc_rps,
+       round(avg(batch_duration_ms)) AS batch_ms,
+       bool_or(num_output_rows = -1) AS out_unknown,
+       CAST(coalesce(sum(nullif(num_output_rows, -1)), 0) AS BIGINT) / 864000.0::DOUBLE AS writes_per_s
+FROM progress WHERE event_ts > {AS_OF} - {WINDOW}"""
+
+SQL["progress_running_total"] = """SELECT day, rows, CAST(sum(rows) OVER (ORDER BY day) AS BIGINT) AS cumulative_rows
+FROM (SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day, count(*) AS rows FROM events GROUP BY 1)"""
+
+FIFO = """s AS (SELECT user_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n
+      FROM events WHERE event_type = 'click'),
+a AS (SELECT user_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n
+      FROM events WHERE event_type = 'view'),
+m AS (SELECT coalesce(s.user_id, a.user_id) AS user_id, coalesce(s.n, a.n) AS n,
+             s.ts AS sent_ts, a.ts AS acked_ts,
+             (epoch_us(a.ts) - epoch_us(s.ts)) / 1000.0::DOUBLE AS latency_ms
+      FROM s FULL OUTER JOIN a ON s.user_id = a.user_id AND s.n = a.n)"""
+
+SQL["fifo_match"] = f"WITH {FIFO} SELECT user_id, n, sent_ts, acked_ts, latency_ms FROM m"
+
+
+def _nearest(value: str, group: str, src: str, names: dict[str, float], where: str = "") -> str:
+    picks = ",\n       ".join(
+        f"max({value}) FILTER (WHERE i = least(c - 1, CAST(round_even((c - 1) * {q}::DOUBLE, 0) AS BIGINT))) AS {n}"
+        for n, q in names.items())
+    return f"""(SELECT {group}, {picks}
+ FROM (SELECT {group}, {value}, row_number() OVER (PARTITION BY {group} ORDER BY {value}) - 1 AS i,
+              count(*) OVER (PARTITION BY {group}) AS c
+       FROM {src} WHERE {value} IS NOT NULL {where}) GROUP BY {group})"""
+
+
+SQL["nearest_rank"] = "SELECT * FROM " + _nearest("value", "event_type", "events", {"p50": 0.5, "p95": 0.95})
+
+SQL["delivery_report"] = f"""WITH {FIFO},
+pct AS {_nearest("latency_ms", "user_id", "m", {"p50_ms": 0.5, "p95_ms": 0.95})},
+cnt AS (SELECT user_id, count(sent_ts) AS sent, count(acked_ts) AS acked,
+               count(*) FILTER (WHERE sent_ts IS NOT NULL AND acked_ts IS NULL) AS in_flight,
+               max(latency_ms) AS max_ms
+        FROM m GROUP BY user_id)
+SELECT cnt.*, pct.p50_ms, pct.p95_ms FROM cnt LEFT JOIN pct ON cnt.user_id = pct.user_id"""
+
+SQL["sync_snapshot"] = "SELECT * FROM customer"
+
+SQL["change_history"] = """WITH v2 AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus,
+         CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice + 100.0::DOUBLE ELSE o_totalprice END AS o_totalprice,
+         o_orderdate, o_orderpriority
+  FROM orders WHERE o_orderstatus <> 'F'
+  UNION ALL
+  SELECT o_orderkey + 10000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+  FROM orders WHERE o_orderstatus = 'P'
+)
+SELECT * FROM (
+  SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey,
+         CASE WHEN a.o_orderkey IS NULL THEN 'insert' WHEN b.o_orderkey IS NULL THEN 'delete'
+              WHEN a.o_custkey IS DISTINCT FROM b.o_custkey OR a.o_orderstatus IS DISTINCT FROM b.o_orderstatus
+                OR a.o_totalprice IS DISTINCT FROM b.o_totalprice OR a.o_orderdate IS DISTINCT FROM b.o_orderdate
+                OR a.o_orderpriority IS DISTINCT FROM b.o_orderpriority THEN 'update' END AS change_type,
+         2 AS version,
+         a.o_totalprice AS old_o_totalprice, b.o_totalprice AS new_o_totalprice,
+         a.o_orderstatus AS old_o_orderstatus, b.o_orderstatus AS new_o_orderstatus
+  FROM orders a FULL OUTER JOIN v2 b ON a.o_orderkey = b.o_orderkey
+) WHERE change_type IS NOT NULL"""

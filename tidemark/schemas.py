@@ -62,7 +62,7 @@ LIVE_STATE_DEFAULTS = {"updated_ts": "current_timestamp()"}
 
 PROGRESS = T.StructType([
     T.StructField("batch_id", T.LongType()),
-    T.StructField("event_ts", T.TimestampType()),
+    T.StructField("event_ts", T.TimestampNTZType()),  # UTC wall clock
     T.StructField("num_input_rows", T.LongType()),
     T.StructField("num_output_rows", T.LongType()),
     T.StructField("input_rps", T.DoubleType()),
