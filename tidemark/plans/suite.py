@@ -174,12 +174,16 @@ def q_live_state_stateless(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.session import shared_dir
     from tidemark.streaming.keyed import KeyedTable
     from tidemark.streaming.sink import await_completion, upsert_stream
+    from tidemark.functions import classify_status
+    from tidemark.operators.enrich import bounded_broadcast
     work = shared_dir(spark, "live_state_stateless")
     stream = _events_stream(spark, _split_events(spark, sf_dir), max_files=1)
+    dim, _ = bounded_broadcast(dimension(spark, sf_dir))  # size checked once per stream
 
     def per_batch(b: DataFrame) -> DataFrame:
         newest = latest_per_key(b, "user_id", "ts", ["value", "event_type", "event_id"])
-        return live_rows(newest, dimension(b.sparkSession, sf_dir), "user_id")
+        return (newest.join(dim, "user_id", "left")
+                      .withColumn("status", classify_status("value", "alarm_low", "alarm_high")))
 
     q = upsert_stream(stream, f"{work}/table", "user_id", f"{work}/checkpoint", output_mode="append",
                       trigger="availableNow", order_by=["ts"], unique=True, transform=per_batch)

@@ -19,8 +19,8 @@ Merge of a batch:
 1. the batch is cast to the table schema and written to ``_staging`` (this
    cuts the lineage, so a stateful upstream plan runs once and a lost executor
    recomputes from the staged files, not from the stream);
-2. one small aggregate checks for null keys and collects the touched bucket
-   ids (at most ``B`` values);
+2. the same write observes the row count, null keys and the touched bucket
+   ids (at most ``B`` values), so no separate job scans the batch;
 3. only the touched buckets are read; state and batch are both hash
    partitioned by bucket and full-outer-joined on the key, so the join output
    is already clustered by bucket and each bucket is written by one task;
@@ -47,7 +47,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -199,10 +199,19 @@ class KeyedTable:
 
     # ---- writes --------------------------------------------------------------
 
-    def _stage(self, df: DataFrame) -> tuple[str, DataFrame]:
+    def _stage(self, df: DataFrame, keys: list[str]) -> tuple[str, DataFrame, dict]:
+        """Write ``df`` to a staging folder; row count, null keys and touched
+        buckets are observed during that same write (no extra job)."""
         path = posixpath.join(self.path, "_staging", uuid.uuid4().hex)
-        df.write.mode("errorifexists").parquet(path)
-        return path, self.spark.read.parquet(path)
+        null_key = F.lit(False)
+        for k in keys:
+            null_key = null_key | F.col(k).isNull()
+        obs = Observation()
+        (df.observe(obs, F.count(F.lit(1)).alias("n"), F.count_if(null_key).alias("null_keys"),
+                    F.collect_set(BUCKET).alias("buckets"))
+           .write.mode("errorifexists").parquet(path))
+        stats = obs.get
+        return path, self.spark.read.schema(df.schema).parquet(path), stats
 
     def merge(self, batch: DataFrame, writer: str | None = None, batch_id: int | None = None,
               order_by: Sequence[str] | str | None = None, unique: bool = False) -> int:
@@ -227,14 +236,8 @@ class KeyedTable:
         order = [order_by] if isinstance(order_by, str) else list(order_by or [])
 
         typed = batch.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in supplied])
-        staging, staged = self._stage(typed.withColumn(BUCKET, bucket_of(keys, nb)))
+        staging, staged, stats = self._stage(typed.withColumn(BUCKET, bucket_of(keys, nb)), keys)
         try:
-            null_key = F.lit(False)
-            for k in keys:
-                null_key = null_key | F.col(k).isNull()
-            stats = staged.agg(F.count(F.lit(1)).alias("n"),
-                               F.count_if(null_key).alias("null_keys"),
-                               F.collect_set(BUCKET).alias("buckets")).first()
             if stats["null_keys"]:
                 raise ValueError(f"{stats['null_keys']} batch row(s) have a null key {keys}")
             touched = sorted(int(b) for b in stats["buckets"])
@@ -246,15 +249,15 @@ class KeyedTable:
                 self._commit(new)
                 return 0
             incoming = staged if unique else self._reduce(staged, keys, supplied, order)
-            merged = self._merged(m, schema, keys, supplied, order, incoming, touched)
+            written = Observation()
+            merged = self._merged(m, schema, keys, supplied, order, incoming, touched, written)
             out = posixpath.join(self.path, "data", f"{new['version']:020d}-{uuid.uuid4().hex}")
             self._write_buckets(merged, out)
             new["files"] = dict(m["files"])
             for b in touched:
                 new["files"][str(b)] = posixpath.join(out, f"{BUCKET}={b}")
             self._commit(new)
-            written = stats["n"] if unique else incoming.count()
-            return int(written)
+            return int(written.get["written"])
         finally:
             self.fs.delete(staging)
 
@@ -270,7 +273,8 @@ class KeyedTable:
         return staged.groupBy(*keys).agg(pick.alias("_w")).select(*keys, "_w.*")
 
     def _merged(self, m: dict, schema: T.StructType, keys: list[str], supplied: list[str],
-                order: list[str], incoming: DataFrame, touched: list[int]) -> DataFrame:
+                order: list[str], incoming: DataFrame, touched: list[int],
+                written: Observation | None = None) -> DataFrame:
         nb = int(m["buckets"])
         current = self._read_files(m, touched).withColumn(BUCKET, bucket_of(keys, nb))
         # Both sides clustered by bucket only: the join then needs no further
@@ -279,6 +283,8 @@ class KeyedTable:
         b = incoming.repartition(BUCKET).withColumn("_in_b", F.lit(True)).alias("b")
         j = s.join(b, keys + [BUCKET], "full_outer")
         in_s, in_b = F.col("s._in_s").isNotNull(), F.col("b._in_b").isNotNull()
+        if written is not None:
+            j = j.observe(written, F.count_if(in_b).alias("written"))
         take_b = in_b
         if order:
             s_ord = F.struct(*[F.col(f"s.{c}") for c in order])
@@ -327,13 +333,8 @@ class KeyedTable:
             else:
                 dflt = F.expr(defaults[f.name]) if f.name in defaults else F.lit(None)
                 cols.append(dflt.cast(f.dataType).alias(f.name))
-        staging, staged = self._stage(df.select(*cols).withColumn(BUCKET, bucket_of(keys, nb)))
+        staging, staged, stats = self._stage(df.select(*cols).withColumn(BUCKET, bucket_of(keys, nb)), keys)
         try:
-            null_key = F.lit(False)
-            for k in keys:
-                null_key = null_key | F.col(k).isNull()
-            stats = staged.agg(F.count(F.lit(1)).alias("n"), F.count_if(null_key).alias("null_keys"),
-                               F.collect_set(BUCKET).alias("buckets")).first()
             if stats["null_keys"]:
                 raise ValueError(f"{stats['null_keys']} row(s) have a null key {keys}")
             new = dict(m, version=int(m["version"]) + 1, files={})
