@@ -22,11 +22,19 @@ def test_row_number_matches_window_on_a_hot_key(spark):
     # key 0 holds about a third of all rows
     data = [(0 if rnd.random() < 0.34 else rnd.randint(1, 20), rnd.randint(0, 500), i) for i in range(3000)]
     df = spark.createDataFrame(data, "g long, o long, tb long")
-    got = group_row_number(df, ["g"], ["o", "tb"], "rn", chunks=16)
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o", "tb")))
-    a = {(r.g, r.tb): r.rn for r in got.collect()}
     b = {(r.g, r.tb): r.rn for r in want.collect()}
-    assert a == b
+    for chunks in (16, None):
+        got = group_row_number(df, ["g"], ["o", "tb"], "rn", chunks=chunks)
+        assert {(r.g, r.tb): r.rn for r in got.collect()} == b
+
+
+def test_split_is_chosen_by_size(spark, monkeypatch):
+    import tidemark.operators.ranking as ranking
+    df = spark.range(100).select((F.col("id") % 2).alias("g"))
+    assert ranking.choose_chunks(df, ["g"], None) == 1
+    monkeypatch.setattr(ranking, "SPLIT_ABOVE_ROWS", 10)
+    assert ranking.choose_chunks(df, ["g"], None) >= ranking.DEFAULT_CHUNKS
 
 
 def test_quantiles_match_python(spark):
@@ -35,14 +43,15 @@ def test_quantiles_match_python(spark):
               3: [float(x) for x in range(6)], 4: [2.0, 2.0, 2.0, 9.0]}
     df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs] + [(5, None)], "g long, v double")
     qs = {"p50": 0.5, "p95": 0.95, "p0": 0.0, "p100": 1.0}
-    cont = {r.g: r for r in group_quantiles(df, ["g"], "v", qs, "cont", chunks=8).collect()}
-    near = {r.g: r for r in group_quantiles(df, ["g"], "v", qs, "nearest", chunks=8).collect()}
-    assert 5 not in cont
-    for g, vs in groups.items():
-        s = sorted(vs)
-        for name, q in qs.items():
-            assert abs(cont[g][name] - cont_quantile(vs, q)) < 1e-9
-            assert near[g][name] == s[nearest_rank_index(len(s), q)]
+    for chunks in (8, None):     # forced split, and the size-checked plain path
+        cont = {r.g: r for r in group_quantiles(df, ["g"], "v", qs, "cont", chunks=chunks).collect()}
+        near = {r.g: r for r in group_quantiles(df, ["g"], "v", qs, "nearest", chunks=chunks).collect()}
+        assert 5 not in cont
+        for g, vs in groups.items():
+            s = sorted(vs)
+            for name, q in qs.items():
+                assert abs(cont[g][name] - cont_quantile(vs, q)) < 1e-9
+                assert near[g][name] == s[nearest_rank_index(len(s), q)]
 
 
 def test_fifo_and_delivery(spark):

@@ -20,6 +20,12 @@ holds the wanted rank, so only that chunk is sorted.
 The bounds table has one row per group; it is broadcast when it has at most
 ``MAX_BROADCAST_GROUPS`` rows and joined by a shuffle (which AQE splits when
 skewed) above that.
+
+Splitting costs a few extra stages, so it is chosen by a size check, like a
+broadcast: one partial aggregate finds the largest group; if it holds at most
+``SPLIT_ABOVE_ROWS`` rows every group fits one task and the plain window plan
+is used, otherwise the chunked plan with enough chunks to bring the largest
+group under that bound.
 """
 
 from __future__ import annotations
@@ -33,8 +39,27 @@ from pyspark.sql import functions as F
 from tidemark.operators.enrich import bounded_broadcast
 
 DEFAULT_CHUNKS = 64
+MAX_CHUNKS = 4096
 APPROX_ACCURACY = 10_000
 MAX_BROADCAST_GROUPS = 10_000
+# A group above this many rows is split over several tasks.
+SPLIT_ABOVE_ROWS = 5_000_000
+
+
+def max_group_size(df: DataFrame, by: Sequence[str]) -> int:
+    """Rows in the largest group (partial aggregation; one small job)."""
+    r = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return int(r or 0)
+
+
+def choose_chunks(df: DataFrame, by: Sequence[str], chunks: int | None) -> int:
+    """``chunks`` if given; else 1 when the largest group fits one task, else enough chunks."""
+    if chunks is not None:
+        return chunks
+    biggest = max_group_size(df, by)
+    if biggest <= SPLIT_ABOVE_ROWS:
+        return 1
+    return min(MAX_CHUNKS, max(DEFAULT_CHUNKS, 4 * math.ceil(biggest / SPLIT_ABOVE_ROWS)))
 
 
 def _order_value(c: Column | str) -> Column:
@@ -64,14 +89,18 @@ def _chunk_offsets(x: DataFrame, by: list[str]) -> DataFrame:
 
 
 def group_row_number(df: DataFrame, by: Sequence[str], order: Sequence[str],
-                     name: str = "rn", chunks: int = DEFAULT_CHUNKS) -> DataFrame:
+                     name: str = "rn", chunks: int | None = None) -> DataFrame:
     """``row_number() over (partition by by order by order)`` for skewed groups.
 
     The first ``order`` column must be numeric or a timestamp; it must not be
     null (filter nulls first).  Ties on the whole ``order`` list get distinct
-    but unspecified numbers, as with ``row_number``.
+    but unspecified numbers, as with ``row_number``.  ``chunks=None`` decides
+    by the size check; ``chunks=1`` forces the plain window.
     """
     by, order = list(by), list(order)
+    chunks = choose_chunks(df, by, chunks)
+    if chunks <= 1:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long"))
     lead = order[0]
     okey = "_okey"
     lead_type = dict(df.dtypes)[lead]
@@ -87,7 +116,7 @@ def group_row_number(df: DataFrame, by: Sequence[str], order: Sequence[str],
 
 def group_quantiles(df: DataFrame, by: Sequence[str], value: str,
                     quantiles: Mapping[str, float], method: str = "cont",
-                    chunks: int = DEFAULT_CHUNKS) -> DataFrame:
+                    chunks: int | None = None) -> DataFrame:
     """Exact quantiles of ``value`` per group; one row per group with a column per quantile.
 
     ``method="cont"``: linear interpolation between the values at ranks
@@ -98,25 +127,35 @@ def group_quantiles(df: DataFrame, by: Sequence[str], value: str,
     if method not in ("cont", "nearest"):
         raise ValueError(f"unknown quantile method {method!r}")
     by = list(by)
-    x = _with_chunks(df.select(*by, F.col(value).alias("_v")).where(F.col("_v").isNotNull()),
-                     by, "_v", chunks)
-    offs = _chunk_offsets(x, by)
+    vals = df.select(*by, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
+    chunks = choose_chunks(vals, by, chunks)
 
     # One target per (quantile, end): the 0-based rank wanted in the sorted group.
     n1 = (F.col("_n") - 1).cast("double")
-    targets = []
+    ranks: list[tuple[str, int, Column]] = []
     for qname, q in quantiles.items():
         if not 0.0 <= q <= 1.0:
             raise ValueError(f"quantile {q} outside [0, 1]")
         pos = n1 * F.lit(float(q))
         if method == "nearest":
-            k = F.least(F.col("_n") - 1, F.bround(pos, 0).cast("long"))
-            targets.append(F.struct(F.lit(qname).alias("q"), F.lit(0).alias("end"), k.alias("k")))
+            ranks.append((qname, 0, F.least(F.col("_n") - 1, F.bround(pos, 0).cast("long"))))
         else:
-            targets.append(F.struct(F.lit(qname).alias("q"), F.lit(0).alias("end"),
-                                    F.floor(pos).cast("long").alias("k")))
-            targets.append(F.struct(F.lit(qname).alias("q"), F.lit(1).alias("end"),
-                                    F.ceil(pos).cast("long").alias("k")))
+            ranks.append((qname, 0, F.floor(pos).cast("long")))
+            ranks.append((qname, 1, F.ceil(pos).cast("long")))
+
+    if chunks <= 1:
+        # Every group fits one task: rank within the group, then pick the target ranks.
+        ranked = (vals.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy("_v")) - 1)
+                      .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*by))))
+        aggs = [F.max("_n").alias("_n")]
+        for qname, end, k in ranks:
+            aggs.append(F.max(F.when(F.col("_r") == k, F.col("_v"))).alias(f"{qname}__{'hi' if end else 'lo'}"))
+        return _finish(ranked.groupBy(*by).agg(*aggs), by, quantiles, method)
+
+    x = _with_chunks(vals, by, "_v", chunks)
+    offs = _chunk_offsets(x, by)
+    targets = [F.struct(F.lit(qname).alias("q"), F.lit(end).alias("end"), k.alias("k"))
+               for qname, end, k in ranks]
     sizes = offs.select(*by, "_n").distinct()
     wanted = sizes.select(*by, "_n", F.explode(F.array(*targets)).alias("_t")).select(
         *by, "_n", "_t.q", "_t.end", "_t.k")
@@ -134,7 +173,10 @@ def group_quantiles(df: DataFrame, by: Sequence[str], value: str,
         aggs.append(F.max(F.when((F.col("q") == qname) & (F.col("end") == 0), F.col("_v"))).alias(f"{qname}__lo"))
         if method == "cont":
             aggs.append(F.max(F.when((F.col("q") == qname) & (F.col("end") == 1), F.col("_v"))).alias(f"{qname}__hi"))
-    out = picked.groupBy(*by).agg(*aggs)
+    return _finish(picked.groupBy(*by).agg(*aggs), by, quantiles, method)
+
+
+def _finish(out: DataFrame, by: list[str], quantiles: Mapping[str, float], method: str) -> DataFrame:
     cols = [F.col(c) for c in by]
     for qname, q in quantiles.items():
         lo = F.col(f"{qname}__lo")
