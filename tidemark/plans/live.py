@@ -53,3 +53,38 @@ def sensor_live(history: DataFrame, dim: DataFrame, watermark: str | None = None
                       max_broadcast_rows=max_broadcast_rows)
             .withColumn("updated_ts", F.current_timestamp())
             .select(*LIVE_COLUMNS))
+
+
+def start_live_state(spark, history_path: str, dim_path: str, target: str, checkpoint: str,
+                     watermark: str = "30 seconds", trigger=None, output_mode: str = "update",
+                     reload_dim: bool = False, query_name: str = "asset_live_state",
+                     max_files_per_trigger: int | None = None):
+    """The whole job: stream the history, keep the newest reading per sensor,
+    enrich, classify and upsert into the keyed live table.
+
+    With ``reload_dim`` the dimension is re-read inside every micro-batch, so a
+    changed dimension is picked up without a restart (a plain static
+    DataFrame pins its file list when the query starts).
+    """
+    from tidemark import schemas
+    from tidemark.sources.history import read_table, stream_history
+    from tidemark.streaming.sink import upsert_stream
+
+    history = stream_history(spark, history_path, max_files_per_trigger)
+    if not reload_dim:
+        live = sensor_live(history, read_table(spark, dim_path, schemas.DIMENSION), watermark)
+        return upsert_stream(live, target, "sensor_asset_id", checkpoint, output_mode=output_mode,
+                             trigger=trigger, unique=True, defaults=schemas.LIVE_STATE_DEFAULTS,
+                             query_name=query_name)
+
+    latest = sensor_latest(history, watermark)
+
+    def enrich(batch: DataFrame) -> DataFrame:
+        dim = read_table(batch.sparkSession, dim_path, schemas.DIMENSION)
+        return (live_rows(batch, dim.select(*SENSOR_DIM_COLUMNS), "sensor_asset_id")
+                .withColumn("updated_ts", F.current_timestamp())
+                .select(*LIVE_COLUMNS))
+
+    return upsert_stream(latest, target, "sensor_asset_id", checkpoint, output_mode=output_mode,
+                         trigger=trigger, unique=True, transform=enrich,
+                         defaults=schemas.LIVE_STATE_DEFAULTS, query_name=query_name)

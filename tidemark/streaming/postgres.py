@@ -95,3 +95,36 @@ def write_postgres(df: DataFrame, conninfo: str, table: str, keys: Sequence[str]
         write_partition_rows(rows, connect, sql, batch_size, retries)
 
     out.foreachPartition(run)
+
+
+def postgres_upsert_stream(df: DataFrame, conninfo: str, table: str, key: str | Sequence[str],
+                           checkpoint: str, output_mode: str = "update", trigger=None,
+                           query_name: str | None = None, batch_size: int = 1000, retries: int = 3):
+    """Stream into a Postgres table by endpoint/database/table coordinates (``conninfo``).
+
+    Each micro-batch is reduced to one row per key (a row store refuses two
+    updates of one key in one statement batch) and upserted, key-sorted, by
+    ``write_postgres``.  A replayed batch re-sends the same upserts, which is
+    harmless for ``ON CONFLICT DO UPDATE``.
+    """
+    from pyspark.sql import functions as F
+
+    from tidemark.streaming.sink import parse_key, trigger_args, validate_key, validate_output_mode
+
+    keys = parse_key(key)
+    validate_key(df.schema, keys)
+    mode = validate_output_mode(output_mode)
+    payload = [c for c in df.columns if c not in keys]
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        one = batch
+        if payload:
+            one = (batch.groupBy(*keys).agg(F.max(F.struct(*payload)).alias("_r"))
+                        .select(*keys, "_r.*"))
+        write_postgres(one.select(*df.columns), conninfo, table, keys, batch_size, retries)
+
+    w = (df.writeStream.outputMode(mode).foreachBatch(run)
+         .option("checkpointLocation", checkpoint).trigger(**trigger_args(trigger)))
+    if query_name:
+        w = w.queryName(query_name)
+    return w.start()
