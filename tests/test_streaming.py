@@ -123,3 +123,50 @@ def test_insert_only_stream_and_sources(spark, workdir):
     q = rate.writeStream.format("memory").queryName("rate_t").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert set(spark.table("rate_t").columns) == {"device_id", "temperature", "humidity", "status", "event_ts"}
+
+
+def test_start_live_state_with_dimension_reload(spark, workdir):
+    """The one-call job; with reload_dim a changed dimension applies from the next micro-batch."""
+    from tidemark import schemas
+    from tidemark.plans.fleet import fleet_dimension
+    from tidemark.plans.live import start_live_state
+    dim_path, hist = f"{workdir}/dim", f"{workdir}/history"
+    dim = fleet_dimension(spark)
+    dim.write.parquet(dim_path)
+    sid = "IRON-BMS01-SOH"
+    ts = dt.datetime(2026, 6, 23, 10, 0)
+    row = (sid, "IRON_BMS01_SOH_PV", "IRON", ts, 80.0, 192, ts)
+    spark.createDataFrame([row], schemas.HISTORY).write.mode("append").parquet(hist)
+    q = start_live_state(spark, hist, dim_path, f"{workdir}/live", f"{workdir}/chk", trigger="availableNow",
+                         reload_dim=True)
+    sink.await_completion(q, 300)
+    assert KeyedTable(spark, f"{workdir}/live").lookup(sid).first().status == "OK"
+    # raise the SOH low band above the reading: the next batch re-reads the dimension
+    dim.withColumn("alarm_low", F.when(F.col("sensor_asset_id") == sid, F.lit(90.0)).otherwise(F.col("alarm_low"))) \
+       .write.mode("overwrite").parquet(dim_path)
+    later = dt.datetime(2026, 6, 23, 10, 1)
+    spark.createDataFrame([(sid, "IRON_BMS01_SOH_PV", "IRON", later, 81.0, 192, later)],
+                          schemas.HISTORY).write.mode("append").parquet(hist)
+    q = start_live_state(spark, hist, dim_path, f"{workdir}/live", f"{workdir}/chk", trigger="availableNow",
+                         reload_dim=True)
+    sink.await_completion(q, 300)
+    r = KeyedTable(spark, f"{workdir}/live").lookup(sid).first()
+    assert (r.value, r.status) == (81.0, "LOW") and r.updated_ts is not None
+
+
+def test_table_overwrite_and_approx_landing(spark, workdir):
+    from tidemark.plans.reports import landing_report
+    from tidemark.sources.tables import overwrite
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    overwrite(df, f"{workdir}/t")
+    overwrite(df.limit(1).select("k"), f"{workdir}/t")
+    assert spark.read.parquet(f"{workdir}/t").columns == ["k"]
+    t0 = dt.datetime(2024, 1, 1)
+    live = spark.createDataFrame([(str(i), t0, t0 + dt.timedelta(milliseconds=i)) for i in range(101)],
+                                 "sensor_asset_id string, reading_ts timestamp, updated_ts timestamp")
+    as_of = F.lit(dt.datetime(2024, 1, 1, 0, 0, 1))
+    exact = landing_report(live, as_of, 10).first()
+    approx = landing_report(live, as_of, 10, approx=True).first()
+    assert (exact.total, exact.win_upserts, exact.win_sensors) == (101, 101, 101)
+    assert exact.p50_ms == 50.0 and exact.p95_ms == 95.0 and exact.staleness_ms == 900.0
+    assert abs(approx.p50_ms - 50.0) <= 1 and abs(approx.p95_ms - 95.0) <= 1
