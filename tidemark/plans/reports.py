@@ -49,8 +49,7 @@ def landing_report(live: DataFrame, as_of: Column, window_seconds: int,
     single task collects the window's values.
     """
     win = in_window(updated_ts, as_of, window_seconds)
-    g = F.lit(0).alias("_g")
-    base = live.groupBy(g).agg(
+    base = live.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(win).alias("win_upserts"),
         F.count_distinct(F.when(win, F.col(key))).alias("win_sensors"),
@@ -62,5 +61,7 @@ def landing_report(live: DataFrame, as_of: Column, window_seconds: int,
                                   F.percentile_approx("lat_s", 0.95, 10_000).alias("p95"))
     else:
         q = group_quantiles(lat, ["_g"], "lat_s", {"p50": 0.5, "p95": 0.95}, method="cont")
-    q = q.select("_g", F.round(F.col("p50") * 1000).alias("p50_ms"), F.round(F.col("p95") * 1000).alias("p95_ms"))
-    return base.join(q, "_g", "left").drop("_g")
+    q = q.select(F.round(F.col("p50") * 1000).alias("p50_ms"), F.round(F.col("p95") * 1000).alias("p95_ms"))
+    # Two one-row results side by side: union them and take each column's non-null value.
+    both = base.unionByName(q, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in base.columns + q.columns])
