@@ -27,3 +27,15 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "status" in df.columns
+
+
+SPLIT_QUERIES = ["fifo_match", "nearest_rank", "delivery_report", "landing_report"]
+
+
+@pytest.mark.parametrize("name", SPLIT_QUERIES)
+def test_split_path_matches_oracle(spark, con, name, monkeypatch):
+    """Force the chunked (hot-group) plan on the given tables; results must not change."""
+    import tidemark.operators.ranking as ranking
+    monkeypatch.setattr(ranking, "SPLIT_ABOVE_ROWS", 5)
+    r = compare(spark, SF_SMALL, name, entry.queries()[name], entry.oracle_sql()[name], con)
+    assert r["match"], r

@@ -276,6 +276,20 @@ class KeyedTable:
                 order: list[str], incoming: DataFrame, touched: list[int],
                 written: Observation | None = None) -> DataFrame:
         nb = int(m["buckets"])
+        if not any(str(b) in m["files"] for b in touched):
+            # Nothing stored in these buckets yet: every incoming row is an insert.
+            defaults = m.get("defaults", {})
+            out = incoming
+            if written is not None:
+                out = out.observe(written, F.count(F.lit(1)).alias("written"))
+            cols = []
+            for f in schema.fields:
+                if f.name in supplied:
+                    cols.append(F.col(f.name))
+                else:
+                    dflt = F.expr(defaults[f.name]) if f.name in defaults else F.lit(None)
+                    cols.append(dflt.cast(f.dataType).alias(f.name))
+            return out.select(*cols, F.col(BUCKET)).repartition(BUCKET)
         current = self._read_files(m, touched).withColumn(BUCKET, bucket_of(keys, nb))
         # Both sides clustered by bucket only: the join then needs no further
         # exchange and its output is clustered by bucket for the write.

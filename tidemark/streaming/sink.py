@@ -108,8 +108,13 @@ def upsert_batch_fn(target: str, keys: Sequence[str], writer: str,
                     order_by: Sequence[str] | str | None = None, unique: bool = False,
                     transform: Callable[[DataFrame], DataFrame] | None = None,
                     defaults: Mapping[str, str] | None = None, buckets: int = DEFAULT_BUCKETS,
-                    retries: int = 2, backoff: float = 1.0) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function of an upsert stream (usable on its own for batch jobs)."""
+                    retries: int = 2, backoff: float = 1.0, vacuum_every: int = 100,
+                    keep_versions: int = 10) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function of an upsert stream (usable on its own for batch jobs).
+
+    Every ``vacuum_every`` batches, versions older than the newest
+    ``keep_versions`` are dropped, so a continuous job keeps bounded storage.
+    """
     keys = list(keys)
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -123,6 +128,8 @@ def upsert_batch_fn(target: str, keys: Sequence[str], writer: str,
             table = KeyedTable.create(spark, target, b.schema, keys, defaults, buckets)
         n = _merge_with_retry(table, b, writer, batch_id, order_by, unique, retries, backoff)
         SINK_ROWS[(writer, int(batch_id))] = n
+        if vacuum_every and batch_id > 0 and batch_id % vacuum_every == 0:
+            table.vacuum(keep_versions)
 
     return run
 
