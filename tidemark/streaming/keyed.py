@@ -100,14 +100,19 @@ class KeyedTable:
 
     @classmethod
     def create(cls, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] | str,
-               defaults: Mapping[str, str] | None = None, buckets: int = DEFAULT_BUCKETS,
+               defaults: Mapping[str, str] | None = None, buckets: int | None = None,
                if_not_exists: bool = True) -> "KeyedTable":
         """Create the table; with ``if_not_exists`` an existing table with the same key is reused.
 
         ``defaults`` maps a column to a SQL expression used when an insert does
         not supply it (e.g. ``{"updated_ts": "current_timestamp()"}``).
+        ``buckets`` defaults to the session's ``spark.sql.shuffle.partitions``,
+        the parallelism the session is already sized for; size it so a bucket
+        holds roughly 128 MB to 1 GB.
         """
         keys = [keys] if isinstance(keys, str) else list(keys)
+        if buckets is None:
+            buckets = int(spark.conf.get("spark.sql.shuffle.partitions", str(DEFAULT_BUCKETS)))
         t = cls(spark, path)
         if t._versions():
             if not if_not_exists:
@@ -289,12 +294,14 @@ class KeyedTable:
                 else:
                     dflt = F.expr(defaults[f.name]) if f.name in defaults else F.lit(None)
                     cols.append(dflt.cast(f.dataType).alias(f.name))
-            return out.select(*cols, F.col(BUCKET)).repartition(BUCKET)
+            return out.select(*cols, F.col(BUCKET)).repartition(len(touched), BUCKET)
         current = self._read_files(m, touched).withColumn(BUCKET, bucket_of(keys, nb))
-        # Both sides clustered by bucket only: the join then needs no further
-        # exchange and its output is clustered by bucket for the write.
-        s = current.repartition(BUCKET).withColumn("_in_s", F.lit(True)).alias("s")
-        b = incoming.repartition(BUCKET).withColumn("_in_b", F.lit(True)).alias("b")
+        # Both sides clustered by bucket only (one partition per touched bucket):
+        # the join then needs no further exchange and its output is clustered by
+        # bucket for the write.
+        parts = len(touched)
+        s = current.repartition(parts, BUCKET).withColumn("_in_s", F.lit(True)).alias("s")
+        b = incoming.repartition(parts, BUCKET).withColumn("_in_b", F.lit(True)).alias("b")
         j = s.join(b, keys + [BUCKET], "full_outer")
         in_s, in_b = F.col("s._in_s").isNotNull(), F.col("b._in_b").isNotNull()
         if written is not None:
@@ -357,7 +364,8 @@ class KeyedTable:
                 new["writers"][writer] = int(batch_id)
             if stats["n"]:
                 out = posixpath.join(self.path, "data", f"{new['version']:020d}-{uuid.uuid4().hex}")
-                staged.repartition(BUCKET).write.mode("errorifexists").partitionBy(BUCKET).parquet(out)
+                (staged.repartition(len(stats["buckets"]), BUCKET)
+                       .write.mode("errorifexists").partitionBy(BUCKET).parquet(out))
                 new["files"] = {str(int(b)): posixpath.join(out, f"{BUCKET}={int(b)}")
                                 for b in stats["buckets"]}
             self._commit(new)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.streaming.keyed import DEFAULT_BUCKETS, KEY_TYPES, ConcurrentWriteError, KeyedTable
+from tidemark.streaming.keyed import KEY_TYPES, ConcurrentWriteError, KeyedTable
 
 # Rows written per (writer, batch id), read by the progress log, since a
 # foreachBatch sink reports numOutputRows = -1.
@@ -107,7 +107,7 @@ def _merge_with_retry(table: KeyedTable, batch: DataFrame, writer: str, batch_id
 def upsert_batch_fn(target: str, keys: Sequence[str], writer: str,
                     order_by: Sequence[str] | str | None = None, unique: bool = False,
                     transform: Callable[[DataFrame], DataFrame] | None = None,
-                    defaults: Mapping[str, str] | None = None, buckets: int = DEFAULT_BUCKETS,
+                    defaults: Mapping[str, str] | None = None, buckets: int | None = None,
                     retries: int = 2, backoff: float = 1.0, vacuum_every: int = 100,
                     keep_versions: int = 10) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function of an upsert stream (usable on its own for batch jobs).
@@ -138,7 +138,7 @@ def upsert_stream(df: DataFrame, target: str, key: str | Sequence[str], checkpoi
                   output_mode: str = "update", trigger: str | Mapping | None = None,
                   query_name: str | None = None, order_by: Sequence[str] | str | None = None,
                   unique: bool = False, transform: Callable[[DataFrame], DataFrame] | None = None,
-                  defaults: Mapping[str, str] | None = None, buckets: int = DEFAULT_BUCKETS,
+                  defaults: Mapping[str, str] | None = None, buckets: int | None = None,
                   retries: int = 2) -> StreamingQuery:
     """Start a stream that upserts every micro-batch into the keyed table at ``target``.
 

@@ -14,14 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.sources.history import stream_table
-from tidemark.streaming.keyed import DEFAULT_BUCKETS, KeyedTable
+from tidemark.streaming.keyed import KeyedTable
 from tidemark.streaming.sink import upsert_stream
 
 MODES = ("snapshot", "triggered", "continuous")
 
 
 def sync_snapshot(source: DataFrame, target: str, keys: Sequence[str] | str,
-                  buckets: int = DEFAULT_BUCKETS) -> KeyedTable:
+                  buckets: int | None = None) -> KeyedTable:
     spark = source.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
     table = KeyedTable.create(spark, target, source.schema, keys, buckets=buckets)
@@ -31,7 +31,7 @@ def sync_snapshot(source: DataFrame, target: str, keys: Sequence[str] | str,
 
 def sync_table(spark: SparkSession, source_path: str, target: str, keys: Sequence[str] | str,
                checkpoint: str | None = None, mode: str = "snapshot",
-               interval: str = "1 second", buckets: int = DEFAULT_BUCKETS) -> KeyedTable | StreamingQuery:
+               interval: str = "1 second", buckets: int | None = None) -> KeyedTable | StreamingQuery:
     """Sync ``source_path`` (Parquet) into the keyed table at ``target``.
 
     Returns the table for ``snapshot``, the running query otherwise.
