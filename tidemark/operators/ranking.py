@@ -70,9 +70,16 @@ def _with_chunks(df: DataFrame, by: list[str], okey: str, chunks: int) -> DataFr
     """Add ``_chunk`` in [0, chunks) by per-group approximate quantiles of ``okey``."""
     if chunks <= 1:
         return df.withColumn("_chunk", F.lit(0))
+    from tidemark.session import _checkpoint_base
     probs = [i / chunks for i in range(1, chunks)]
     bounds = df.groupBy(*by).agg(
         F.percentile_approx(okey, probs, APPROX_ACCURACY).alias("_bounds"))
+    # The bounds are used by two branches (offsets and numbering) and must be
+    # identical in both, also when a lost executor forces a recomputation: a
+    # merged sketch can depend on merge order, so the small bounds table (one
+    # row per group) is checkpointed to the shared checkpoint folder.
+    _checkpoint_base(df.sparkSession)
+    bounds = bounds.checkpoint(eager=True)
     bounds, _ = bounded_broadcast(bounds, MAX_BROADCAST_GROUPS)
     return (df.join(bounds, by)
               .withColumn("_chunk", F.size(F.filter("_bounds", lambda b: b < F.col(okey))))
