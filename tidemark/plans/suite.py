@@ -20,8 +20,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import classify_status, clip_to_range, compose_id, compose_tag, micros_between
+from tidemark.operators.changes import change_history
+from tidemark.operators.enrich import bounded_broadcast, enrich_left
+from tidemark.operators.expand import expand_units
+from tidemark.operators.latency import delivery_report, fifo_match, nearest_rank
 from tidemark.operators.latest import latest_per_key
 from tidemark.plans.live import live_rows
+from tidemark.plans.reports import alarm_counts, alarms_now, landing_report, recent_updates, status_breakdown
+from tidemark.session import shared_dir
+from tidemark.sources.history import stream_table
+from tidemark.streaming.keyed import KeyedTable
+from tidemark.streaming.progress import parse_progress, progress_report, running_totals
+from tidemark.streaming.sink import await_completion, insert_stream, upsert_stream
+from tidemark.streaming.sync import sync_snapshot
 
 # ---- fixed values ---------------------------------------------------------
 # Alarm bands (low, high) per market segment; None = no band on that side.
@@ -66,7 +78,6 @@ def latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.operators.enrich import enrich_left
     return enrich_left(latest_events(spark, sf_dir), dimension(spark, sf_dir), "user_id")
 
 
@@ -91,8 +102,6 @@ def q_enrich_left(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_status_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.operators.enrich import enrich_left
-    from tidemark.functions import classify_status
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
     dim = dimension(spark, sf_dir).select("user_id", "alarm_low", "alarm_high")
     return (enrich_left(events, dim, "user_id")
@@ -112,14 +121,12 @@ def _ntz_out(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def _events_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    from tidemark.sources.history import stream_table
     return stream_table(spark, path, max_files_per_trigger=max_files).withColumn(
         "ts", F.col("ts").cast("timestamp"))
 
 
 def _split_events(spark: SparkSession, sf_dir: str, parts: int = 8) -> str:
     """Write the events table as ``parts`` files, so a stream sees several micro-batches."""
-    from tidemark.session import shared_dir
     path = shared_dir(spark, "events_split")
     table(spark, sf_dir, "events").repartition(parts).write.mode("overwrite").parquet(path)
     return path
@@ -132,8 +139,6 @@ LIVE_OUT = ["user_id", "ts", "value", "event_type", "event_id", "c_name", "n_nam
 # ---- S1/S13: streaming scans into an insert-only sink ------------------------
 
 def _insert_only_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.session import shared_dir
-    from tidemark.streaming.sink import await_completion, insert_stream
     work = shared_dir(spark, "insert_only")
     src = _events_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet")
     q = insert_stream(src, f"{work}/table", f"{work}/checkpoint", trigger="availableNow")
@@ -154,9 +159,6 @@ def q_insert_only_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_live_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream events → newest per key (watermark 30 s) → dimension → status → keyed upsert."""
-    from tidemark.session import shared_dir
-    from tidemark.streaming.keyed import KeyedTable
-    from tidemark.streaming.sink import await_completion, upsert_stream
     work = shared_dir(spark, "live_state")
     stream = _events_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet")
     latest = latest_per_key(stream.withWatermark("ts", "30 seconds"), "user_id", "ts",
@@ -171,11 +173,6 @@ def q_live_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_live_state_stateless(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No stream state; each micro-batch is reduced, enriched and merged with a ts guard."""
-    from tidemark.session import shared_dir
-    from tidemark.streaming.keyed import KeyedTable
-    from tidemark.streaming.sink import await_completion, upsert_stream
-    from tidemark.functions import classify_status
-    from tidemark.operators.enrich import bounded_broadcast
     work = shared_dir(spark, "live_state_stateless")
     stream = _events_stream(spark, _split_events(spark, sf_dir), max_files=1)
     dim, _ = bounded_broadcast(dimension(spark, sf_dir))  # size checked once per stream
@@ -193,9 +190,6 @@ def q_live_state_stateless(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_composite_key_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A two-column upsert key, newest wins across micro-batches."""
-    from tidemark.session import shared_dir
-    from tidemark.streaming.keyed import KeyedTable
-    from tidemark.streaming.sink import await_completion, upsert_stream
     work = shared_dir(spark, "composite_key")
     stream = _events_stream(spark, _split_events(spark, sf_dir), max_files=1).select(
         "user_id", "event_type", "ts", "value")
@@ -207,8 +201,6 @@ def q_composite_key_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live row of one key, read from its bucket only."""
-    from tidemark.session import shared_dir
-    from tidemark.streaming.keyed import KeyedTable
     work = shared_dir(spark, "point_lookup")
     rows = live(spark, sf_dir)
     t = KeyedTable.create(spark, f"{work}/table", rows.schema, "user_id")
@@ -219,7 +211,6 @@ def q_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- S9/C13, S10/C11, C12 ----------------------------------------------------
 
 def q_wire_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.functions import micros_between
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     e = table(spark, sf_dir, "events").select("event_id", "ts")
     e = e.withColumn("ts_micros", micros_between("ts", epoch))
@@ -235,7 +226,6 @@ def q_json_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_clip_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.functions import clip_to_range
     e = table(spark, sf_dir, "events")
     return e.select("event_id", "value", clip_to_range("value", 1.0, 100.0, 3).alias("clipped"))
 
@@ -255,8 +245,6 @@ UNIT_SPECS = [
 
 def q_dim_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations as plants (1-3 units by nation key), region as type, four specs per unit."""
-    from tidemark.functions import compose_id, compose_tag
-    from tidemark.operators.expand import expand_units
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     plants = (nation.join(region, nation.n_regionkey == region.r_regionkey)
                     .select(F.col("n_name").alias("site_code"), F.col("r_name").alias("type"),
@@ -278,28 +266,23 @@ def q_dim_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- L1-L5, A14: reports over the live state ---------------------------------
 
 def q_alarms_now(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.plans.reports import alarms_now
     return alarms_now(live(spark, sf_dir), "ts").select("user_id", "ts", "value", "status", "c_mktsegment")
 
 
 def q_recent_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.plans.reports import recent_updates
     return recent_updates(with_upd(live(spark, sf_dir)), "upd", "user_id", 20).select(
         "user_id", "upd", "ts", "value", "status")
 
 
 def q_alarm_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.plans.reports import alarm_counts
     return alarm_counts(live(spark, sf_dir))
 
 
 def q_status_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.plans.reports import status_breakdown
     return status_breakdown(live(spark, sf_dir))
 
 
 def q_landing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.plans.reports import landing_report
     return landing_report(with_upd(latest_events(spark, sf_dir)), as_of(), WINDOW_SECONDS,
                           key="user_id", event_ts="ts", updated_ts="upd")
 
@@ -332,18 +315,15 @@ def progress_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_progress_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.streaming.progress import parse_progress
     return _ntz_out(parse_progress(progress_json(spark, sf_dir)), "event_ts")
 
 
 def q_progress_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.streaming.progress import parse_progress, progress_report
     rows = _ntz_out(parse_progress(progress_json(spark, sf_dir)), "event_ts")
     return progress_report(rows, as_of(), WINDOW_SECONDS)
 
 
 def q_progress_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.streaming.progress import running_totals
     e = table(spark, sf_dir, "events")
     day = F.to_date("ts").cast("timestamp_ntz")
     return running_totals(e, day, "rows").withColumnRenamed("period", "day")
@@ -352,7 +332,6 @@ def q_progress_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- J3, A12, A13: delivery latency --------------------------------------------
 
 def _fifo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.operators.latency import fifo_match
     e = table(spark, sf_dir, "events")
     sends = e.where(F.col("event_type") == "click").select("user_id", F.col("ts").alias("sent_ts"), "event_id")
     acks = e.where(F.col("event_type") == "view").select("user_id", F.col("ts").alias("acked_ts"), "event_id")
@@ -364,12 +343,10 @@ def q_fifo_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_nearest_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.operators.latency import nearest_rank
     return nearest_rank(table(spark, sf_dir, "events"), ["event_type"], "value", {"p50": 0.5, "p95": 0.95})
 
 
 def q_delivery_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.operators.latency import delivery_report
     return delivery_report(_fifo(spark, sf_dir), "user_id")
 
 
@@ -377,9 +354,6 @@ def q_delivery_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_sync_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A keyed copy of ``customer``: first loaded with stale rows, then replaced by a snapshot."""
-    from tidemark.session import shared_dir
-    from tidemark.streaming.keyed import KeyedTable
-    from tidemark.streaming.sync import sync_snapshot
     work = shared_dir(spark, "sync_snapshot")
     cust = table(spark, sf_dir, "customer")
     stale = cust.where(F.col("c_acctbal") < 0).withColumn("c_custkey", F.col("c_custkey") + 10_000_000)
@@ -401,7 +375,6 @@ def orders_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_change_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.operators.changes import change_history
     out = change_history(table(spark, sf_dir, "orders"), orders_v2(spark, sf_dir), "o_orderkey", 2,
                          ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
     return out.select("o_orderkey", "change_type", "version", "old_o_totalprice", "new_o_totalprice",
