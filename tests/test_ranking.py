@@ -68,3 +68,7 @@ def test_fifo_and_delivery(spark):
     # latencies 4000 and 3000: n=2, q=.5 → index round_half_even(0.5) = 0 → 3000
     assert rep["s"].p50_ms == 3000.0 and rep["s"].p95_ms == 4000.0 and rep["s"].max_ms == 4000.0
     assert rep["u"].sent == 0 and rep["u"].acked == 1 and rep["u"].p50_ms is None
+    errors = spark.createDataFrame([("s",), ("s",), ("t",)], "stream string")
+    rep = {r.stream: r for r in delivery_report(fifo_match(sends, acks, "stream"), "stream", errors).collect()}
+    assert (rep["s"].errors, rep["t"].errors, rep["u"].errors) == (2, 1, 0)
+    assert rep["s"].sent == 3                  # errors consume no send

@@ -170,3 +170,18 @@ def test_table_overwrite_and_approx_landing(spark, workdir):
     assert (exact.total, exact.win_upserts, exact.win_sensors) == (101, 101, 101)
     assert exact.p50_ms == 50.0 and exact.p95_ms == 95.0 and exact.staleness_ms == 900.0
     assert abs(approx.p50_ms - 50.0) <= 1 and abs(approx.p95_ms - 95.0) <= 1
+
+
+def test_sync_triggered_and_kafka_gate(spark, workdir):
+    from tidemark.sources.history import kafka_events
+    from tidemark.streaming.sync import sync_table
+    src = f"{workdir}/cust"
+    spark.read.parquet("/root/testdata/sf0.001/customer.parquet").write.parquet(src)
+    q = sync_table(spark, src, f"{workdir}/copy", "c_custkey", f"{workdir}/chk", mode="triggered")
+    sink.await_completion(q, 300)
+    got = KeyedTable(spark, f"{workdir}/copy").read()
+    assert got.count() == spark.read.parquet(src).count()
+    snap = sync_table(spark, src, f"{workdir}/snap", "c_custkey", mode="snapshot")
+    assert snap.read().count() == got.count()
+    with pytest.raises(Exception, match="(?i)kafka"):
+        kafka_events(spark, "localhost:9092", "t")

@@ -76,7 +76,14 @@ def kafka_events(spark: SparkSession, servers: str, topic: str,
          .option("kafka.bootstrap.servers", servers).option("subscribe", topic))
     for k, v in options.items():
         r = r.option(k, v)
-    return parse_json_events(r.load(), schema)
+    try:
+        raw = r.load()
+    except Exception as e:
+        if "kafka" in str(e).lower() and ("not found" in str(e).lower() or "find data source" in str(e).lower()):
+            raise RuntimeError("the Kafka source needs the spark-sql-kafka connector on the classpath "
+                               "(spark.jars.packages)") from e
+        raise
+    return parse_json_events(raw, schema)
 
 
 def rate_events(spark: SparkSession, rows_per_second: int = 100, devices: int = 10,
