@@ -116,16 +116,22 @@ def upsert_batch_fn(target: str, keys: Sequence[str], writer: str,
     ``keep_versions`` are dropped, so a continuous job keeps bounded storage.
     """
     keys = list(keys)
+    opened: dict[str, KeyedTable] = {}
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         b = transform(batch) if transform else batch
-        if KeyedTable.exists(spark, target):
-            table = KeyedTable(spark, target)
-            validate_key(b.schema, keys, table.keys)
+        table = opened.get("t")
+        if table is None:
+            if KeyedTable.exists(spark, target):
+                table = KeyedTable(spark, target)
+                validate_key(b.schema, keys, table.keys)
+            else:
+                validate_key(b.schema, keys)
+                table = KeyedTable.create(spark, target, b.schema, keys, defaults, buckets)
+            opened["t"] = table
         else:
             validate_key(b.schema, keys)
-            table = KeyedTable.create(spark, target, b.schema, keys, defaults, buckets)
         n = _merge_with_retry(table, b, writer, batch_id, order_by, unique, retries, backoff)
         SINK_ROWS[(writer, int(batch_id))] = n
         if vacuum_every and batch_id > 0 and batch_id % vacuum_every == 0:
