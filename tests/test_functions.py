@@ -55,3 +55,18 @@ def test_latest_has_partial_aggregation(spark):
     plan = latest_per_key(df, "k", "ts", ["v"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan
 
+
+
+def test_micros_to_ntz_ignores_session_zone(spark):
+    from tidemark.functions import micros_between, micros_to_ntz
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        micros = 1_704_067_200_123_456
+        r = spark.createDataFrame([(micros,)], "m long").select(micros_to_ntz("m").alias("t")).first()
+        assert r.t == dt.datetime(2024, 1, 1, 0, 0, 0, 123456)
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        back = spark.createDataFrame([(r.t,)], "t timestamp_ntz").select(micros_between("t", epoch).alias("m")).first()
+        assert back.m == micros
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)

@@ -6,6 +6,7 @@ from tidemark.functions.scalar import (
     compose_id,
     compose_tag,
     micros_between,
+    micros_to_ntz,
     micros_to_ts,
     ms_between,
     seconds_between,
@@ -15,6 +16,6 @@ from tidemark.functions.scalar import (
 )
 
 __all__ = [
-    "classify_status", "clip_to_range", "compose_id", "compose_tag", "micros_between", "micros_to_ts",
+    "classify_status", "clip_to_range", "compose_id", "compose_tag", "micros_between", "micros_to_ntz", "micros_to_ts",
     "ms_between", "seconds_between", "to_ntz", "to_ts", "ts_to_micros",
 ]

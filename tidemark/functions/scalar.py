@@ -54,6 +54,12 @@ def micros_to_ts(micros: ColumnOrName) -> Column:
     return F.timestamp_micros(_c(micros))
 
 
+def micros_to_ntz(micros: ColumnOrName) -> Column:
+    """Epoch microseconds to TIMESTAMP_NTZ holding the UTC wall clock (independent of the session zone)."""
+    secs = (_c(micros).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=secs)
+
+
 def ts_to_micros(ts: ColumnOrName) -> Column:
     """TIMESTAMP (or TIMESTAMP_NTZ, read as UTC) to epoch microseconds."""
     return F.unix_micros(to_ts(ts))

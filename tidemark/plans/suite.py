@@ -20,7 +20,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import classify_status, clip_to_range, compose_id, compose_tag, micros_between
+from tidemark.functions import (
+    classify_status,
+    clip_to_range,
+    compose_id,
+    compose_tag,
+    micros_between,
+    micros_to_ntz,
+)
 from tidemark.operators.changes import change_history
 from tidemark.operators.enrich import bounded_broadcast, enrich_left
 from tidemark.operators.expand import expand_units
@@ -214,7 +221,7 @@ def q_wire_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     e = table(spark, sf_dir, "events").select("event_id", "ts")
     e = e.withColumn("ts_micros", micros_between("ts", epoch))
-    e = e.withColumn("ts_back", F.timestamp_micros("ts_micros").cast("timestamp_ntz"))
+    e = e.withColumn("ts_back", micros_to_ntz("ts_micros"))
     return e.select("event_id", "ts_micros", "ts_back", (F.col("ts_back") == F.col("ts")).alias("same"))
 
 
