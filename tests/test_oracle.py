@@ -39,3 +39,18 @@ def test_split_path_matches_oracle(spark, con, name, monkeypatch):
     monkeypatch.setattr(ranking, "SPLIT_ABOVE_ROWS", 5)
     r = compare(spark, SF_SMALL, name, entry.queries()[name], entry.oracle_sql()[name], con)
     assert r["match"], r
+
+
+ZONE_SENSITIVE = ["wire_timestamp", "progress_parse", "landing_report", "live_state", "recent_updates"]
+
+
+@pytest.mark.parametrize("name", ZONE_SENSITIVE)
+def test_results_do_not_depend_on_session_zone(spark, con, name):
+    """Zone-less inputs must give the same answers in a non-UTC session."""
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Australia/Sydney")
+    try:
+        r = compare(spark, SF_SMALL, name, entry.queries()[name], entry.oracle_sql()[name], con)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert r["match"], r
