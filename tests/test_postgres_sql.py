@@ -54,3 +54,36 @@ def test_upsert_semantics_on_duckdb():
     write_partition_rows(iter([(1, "x2", None)]), lambda: _Conn(con), sql)
     assert con.execute("SELECT k, a, b, note FROM t ORDER BY k").fetchall() == [
         (1, "x2", None, "custom"), (2, "y", 2.0, "kept"), (3, "z", 3.0, "kept")]
+
+
+def test_pages_flush_by_size_or_time():
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (k INTEGER PRIMARY KEY, a TEXT)")
+    sql = upsert_sql("t", ["k", "a"], ["k"], placeholder="?")
+    pages = []
+
+    class Counting(_Conn):
+        def cursor(self):
+            inner = super().cursor()
+
+            class Cur:
+                def __enter__(self):
+                    return self
+
+                def __exit__(self, *a):
+                    return False
+
+                def executemany(self, q, rows):
+                    pages.append(len(rows))
+                    inner.executemany(q, rows)
+            return Cur()
+
+    ticks = iter(range(0, 10_000, 60))           # 60 ms between rows
+    n = write_partition_rows(iter([(i, "x") for i in range(7)]), lambda: Counting(con), sql,
+                             batch_size=1000, flush_interval_ms=100, clock=lambda: next(ticks) / 1000)
+    assert n == 7 and sum(pages) == 7 and max(pages) <= 3      # time-based flushes
+    pages.clear()
+    n = write_partition_rows(iter([(i, "y") for i in range(7)]), lambda: Counting(con), sql,
+                             batch_size=3, flush_interval_ms=1e9)
+    assert pages == [3, 3, 1]                                   # size-based flushes
+    assert con.execute("SELECT count(*), min(a) FROM t").fetchone() == (7, "y")

@@ -42,10 +42,16 @@ TRANSIENT_SQLSTATES = {"40001", "40P01", "53300", "57P01", "08000", "08003", "08
 
 
 def write_partition_rows(rows, connect: Callable, sql: str, batch_size: int = 1000,
-                         retries: int = 3, backoff: float = 0.5) -> int:
-    """Write an iterator of tuples in pages; returns the number of rows written."""
+                         retries: int = 3, backoff: float = 0.5, flush_interval_ms: float = 100.0,
+                         clock: Callable[[], float] = time.monotonic) -> int:
+    """Write an iterator of tuples in pages; returns the number of rows written.
+
+    A page is sent when it holds ``batch_size`` rows or when ``flush_interval_ms``
+    have passed since its first row, whichever comes first.
+    """
     conn = connect()
     written = 0
+    started = None
     try:
         page: list = []
 
@@ -67,8 +73,10 @@ def write_partition_rows(rows, connect: Callable, sql: str, batch_size: int = 10
                     time.sleep(backoff * (2 ** attempt))
 
         for r in rows:
+            if not page:
+                started = clock()
             page.append(tuple(r))
-            if len(page) >= batch_size:
+            if len(page) >= batch_size or (clock() - started) * 1000.0 >= flush_interval_ms:
                 flush(page)
                 written += len(page)
                 page = []
@@ -81,7 +89,7 @@ def write_partition_rows(rows, connect: Callable, sql: str, batch_size: int = 10
 
 
 def write_postgres(df: DataFrame, conninfo: str, table: str, keys: Sequence[str] | None = None,
-                   batch_size: int = 1000, retries: int = 3) -> None:
+                   batch_size: int = 1000, retries: int = 3, flush_interval_ms: float = 100.0) -> None:
     """Upsert (``keys`` given) or insert ``df`` into ``table``; key-sorted within partitions."""
     columns = df.columns
     sql = upsert_sql(table, columns, keys) if keys else insert_sql(table, columns)
@@ -92,7 +100,7 @@ def write_postgres(df: DataFrame, conninfo: str, table: str, keys: Sequence[str]
         return psycopg.connect(conninfo)
 
     def run(rows):
-        write_partition_rows(rows, connect, sql, batch_size, retries)
+        write_partition_rows(rows, connect, sql, batch_size, retries, flush_interval_ms=flush_interval_ms)
 
     out.foreachPartition(run)
 
