@@ -169,6 +169,7 @@ def test_table_overwrite_and_approx_landing(spark, workdir):
     approx = landing_report(live, as_of, 10, approx=True).first()
     assert (exact.total, exact.win_upserts, exact.win_sensors) == (101, 101, 101)
     assert exact.p50_ms == 50.0 and exact.p95_ms == 95.0 and exact.staleness_ms == 900.0
+    assert exact.upserts_per_s == 10.1
     assert abs(approx.p50_ms - 50.0) <= 1 and abs(approx.p95_ms - 95.0) <= 1
 
 

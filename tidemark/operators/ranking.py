@@ -62,10 +62,6 @@ def choose_chunks(df: DataFrame, by: Sequence[str], chunks: int | None) -> int:
     return min(MAX_CHUNKS, max(DEFAULT_CHUNKS, 4 * math.ceil(biggest / SPLIT_ABOVE_ROWS)))
 
 
-def _order_value(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def _with_chunks(df: DataFrame, by: list[str], okey: str, chunks: int) -> DataFrame:
     """Add ``_chunk`` in [0, chunks) by per-group approximate quantiles of ``okey``."""
     if chunks <= 1:

@@ -73,7 +73,7 @@ def start_live_state(spark, history_path: str, dim_path: str, target: str, check
     history = stream_history(spark, history_path, max_files_per_trigger)
     if not reload_dim:
         live = sensor_live(history, read_table(spark, dim_path, schemas.DIMENSION), watermark)
-        return upsert_stream(live, target, "sensor_asset_id", checkpoint, output_mode=output_mode,
+        return upsert_stream(live, target, schemas.LIVE_STATE_KEY, checkpoint, output_mode=output_mode,
                              trigger=trigger, unique=True, defaults=schemas.LIVE_STATE_DEFAULTS,
                              query_name=query_name)
 
@@ -85,6 +85,6 @@ def start_live_state(spark, history_path: str, dim_path: str, target: str, check
                 .withColumn("updated_ts", F.current_timestamp())
                 .select(*LIVE_COLUMNS))
 
-    return upsert_stream(latest, target, "sensor_asset_id", checkpoint, output_mode=output_mode,
+    return upsert_stream(latest, target, schemas.LIVE_STATE_KEY, checkpoint, output_mode=output_mode,
                          trigger=trigger, unique=True, transform=enrich,
                          defaults=schemas.LIVE_STATE_DEFAULTS, query_name=query_name)

@@ -40,7 +40,7 @@ def status_breakdown(live: DataFrame) -> DataFrame:
 def landing_report(live: DataFrame, as_of: Column, window_seconds: int,
                    key: str = "sensor_asset_id", event_ts: str = "reading_ts",
                    updated_ts: str = "updated_ts", approx: bool = False) -> DataFrame:
-    """Total rows, rows and keys updated in the window, staleness, event-to-upsert p50/p95.
+    """Total rows, rows and keys updated in the window (and per second), staleness, event-to-upsert p50/p95.
 
     "Upserts in the window" counts rows whose last update falls in it (one row
     per key).  Percentiles are exact (``percentile_cont``), in whole ms, and
@@ -64,4 +64,5 @@ def landing_report(live: DataFrame, as_of: Column, window_seconds: int,
     q = q.select(F.round(F.col("p50") * 1000).alias("p50_ms"), F.round(F.col("p95") * 1000).alias("p95_ms"))
     # Two one-row results side by side: union them and take each column's non-null value.
     both = base.unionByName(q, allowMissingColumns=True)
-    return both.agg(*[F.max(c).alias(c) for c in base.columns + q.columns])
+    return (both.agg(*[F.max(c).alias(c) for c in base.columns + q.columns])
+                .withColumn("upserts_per_s", F.col("win_upserts") / F.lit(float(window_seconds))))

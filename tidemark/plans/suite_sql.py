@@ -119,7 +119,8 @@ SELECT count(*) AS total,
        round(quantile_cont((epoch_us(upd) - epoch_us(ts)) / 1000.0::DOUBLE / 1000.0::DOUBLE, 0.5)
              FILTER (WHERE {_WIN}) * 1000) AS p50_ms,
        round(quantile_cont((epoch_us(upd) - epoch_us(ts)) / 1000.0::DOUBLE / 1000.0::DOUBLE, 0.95)
-             FILTER (WHERE {_WIN}) * 1000) AS p95_ms
+             FILTER (WHERE {_WIN}) * 1000) AS p95_ms,
+       count(*) FILTER (WHERE {_WIN}) / 864000.0::DOUBLE AS upserts_per_s
 FROM u"""
 
 PROGRESS = """progress AS (
