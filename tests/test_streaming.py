@@ -186,3 +186,29 @@ def test_sync_triggered_and_kafka_gate(spark, workdir):
     assert snap.read().count() == got.count()
     with pytest.raises(Exception, match="(?i)kafka"):
         kafka_events(spark, "localhost:9092", "t")
+
+
+def test_max_lateness_drops_late_rows_and_bounds_state(spark, workdir):
+    """Opt-in: rows later than max_lateness are dropped and old windows leave the state."""
+    from tidemark import schemas
+    from tidemark.plans.fleet import fleet_dimension
+    from tidemark.plans.live import start_live_state
+    dim_path, hist = f"{workdir}/dim", f"{workdir}/history"
+    fleet_dimension(spark).write.parquet(dim_path)
+    a, b = "IRON-BMS01-SOH", "IRON-BMS01-SOC"
+    t = lambda m: dt.datetime(2026, 6, 23, 10, m)
+
+    def run(rows):
+        spark.createDataFrame([(k, "tag", "IRON", ts, v, 192, ts) for k, ts, v in rows],
+                              schemas.HISTORY).write.mode("append").parquet(hist)
+        q = start_live_state(spark, hist, dim_path, f"{workdir}/live", f"{workdir}/chk",
+                             trigger="availableNow", max_lateness="5 minutes")
+        sink.await_completion(q, 300)
+        return q
+
+    run([(a, t(0), 80.0), (a, t(30), 81.0)])
+    q = run([(a, t(1), 99.0), (b, t(2), 50.0), (a, t(31), 82.0)])   # a@10:01 and b@10:02 are late
+    live = {r.sensor_asset_id: r.value for r in KeyedTable(spark, f"{workdir}/live").read().collect()}
+    assert live == {a: 82.0}                                         # late rows dropped, newest kept
+    dropped = sum(o.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for o in p["stateOperators"])
+    assert dropped == 2

@@ -12,11 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str] | str, ts: str,
+def latest_per_key(df: DataFrame, keys: Sequence[str | Column] | str, ts: str,
                    cols: Sequence[str] | None = None,
                    tiebreak: Sequence[str] = ()) -> DataFrame:
     """One row per key: the row with the greatest ``ts``.
@@ -27,13 +27,14 @@ def latest_per_key(df: DataFrame, keys: Sequence[str] | str, ts: str,
       wins), otherwise the winner among tied rows is unspecified.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    names = [k for k in keys if isinstance(k, str)]
     if cols is None:
-        cols = [c for c in df.columns if c not in keys and c != ts]
-    payload = [ts] + [c for c in cols if c != ts and c not in keys]
+        cols = [c for c in df.columns if c not in names and c != ts]
+    payload = [ts] + [c for c in cols if c != ts and c not in names]
     if tiebreak:
         order = F.when(F.col(ts).isNotNull(), F.struct(ts, *tiebreak))
     else:
         order = F.col(ts)
-    return (df.groupBy(*keys)
-              .agg(F.max_by(F.struct(*payload), order).alias("_latest"))
-              .select(*keys, "_latest.*"))
+    grouped = df.groupBy(*keys).agg(F.max_by(F.struct(*payload), order).alias("_latest"))
+    key_cols = [c for c in grouped.columns if c != "_latest"]
+    return grouped.select(*key_cols, "_latest.*")

@@ -33,22 +33,35 @@ def live_rows(latest: DataFrame, dim: DataFrame, keys: Sequence[str] | str,
             .withColumn("status", classify_status(value, low, high)))
 
 
-def sensor_latest(history: DataFrame, watermark: str | None = None) -> DataFrame:
+def sensor_latest(history: DataFrame, watermark: str | None = None,
+                  max_lateness: str | None = None) -> DataFrame:
     """Newest reading per sensor (optionally under an event-time watermark).
 
     The watermark is not a grouping key here, so it neither drops late rows nor
     expires state: a late row for a known key re-emits the unchanged newest row.
+
+    ``max_lateness`` (opt-in, not the default behaviour) groups by key and a
+    tumbling event-time window of that length under a watermark of the same
+    delay: rows later than the watermark are dropped and a window's state is
+    evicted once the watermark passes its end, so state holds recently active
+    keys only.  A key can then appear once per window; merge with
+    ``order_by="reading_ts"`` to keep the newest.
     """
+    payload = ["value", "quality_code", "scada_tag"]
+    if max_lateness:
+        h = history.withWatermark("reading_ts", max_lateness)
+        return latest_per_key(h, ["sensor_asset_id", F.window("reading_ts", max_lateness).alias("_w")],
+                              "reading_ts", payload).drop("_w")
     if watermark:
         history = history.withWatermark("reading_ts", watermark)
-    return latest_per_key(history, "sensor_asset_id", "reading_ts",
-                          ["value", "quality_code", "scada_tag"])
+    return latest_per_key(history, "sensor_asset_id", "reading_ts", payload)
 
 
 def sensor_live(history: DataFrame, dim: DataFrame, watermark: str | None = None,
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                max_lateness: str | None = None) -> DataFrame:
     """History (batch or stream) → rows of the live table, ``updated_ts`` = now."""
-    latest = sensor_latest(history, watermark)
+    latest = sensor_latest(history, watermark, max_lateness)
     return (live_rows(latest, dim.select(*SENSOR_DIM_COLUMNS), "sensor_asset_id",
                       max_broadcast_rows=max_broadcast_rows)
             .withColumn("updated_ts", F.current_timestamp())
@@ -58,7 +71,7 @@ def sensor_live(history: DataFrame, dim: DataFrame, watermark: str | None = None
 def start_live_state(spark, history_path: str, dim_path: str, target: str, checkpoint: str,
                      watermark: str = "30 seconds", trigger=None, output_mode: str = "update",
                      reload_dim: bool = False, query_name: str = "asset_live_state",
-                     max_files_per_trigger: int | None = None):
+                     max_files_per_trigger: int | None = None, max_lateness: str | None = None):
     """The whole job: stream the history, keep the newest reading per sensor,
     enrich, classify and upsert into the keyed live table.
 
@@ -71,13 +84,16 @@ def start_live_state(spark, history_path: str, dim_path: str, target: str, check
     from tidemark.streaming.sink import upsert_stream
 
     history = stream_history(spark, history_path, max_files_per_trigger)
+    # With max_lateness a key may come once per window: reduce and keep the newest.
+    guard = {"order_by": ["reading_ts"], "unique": False} if max_lateness else {"unique": True}
     if not reload_dim:
-        live = sensor_live(history, read_table(spark, dim_path, schemas.DIMENSION), watermark)
+        live = sensor_live(history, read_table(spark, dim_path, schemas.DIMENSION), watermark,
+                           max_lateness=max_lateness)
         return upsert_stream(live, target, schemas.LIVE_STATE_KEY, checkpoint, output_mode=output_mode,
-                             trigger=trigger, unique=True, defaults=schemas.LIVE_STATE_DEFAULTS,
-                             query_name=query_name)
+                             trigger=trigger, defaults=schemas.LIVE_STATE_DEFAULTS,
+                             query_name=query_name, **guard)
 
-    latest = sensor_latest(history, watermark)
+    latest = sensor_latest(history, watermark, max_lateness)
 
     def enrich(batch: DataFrame) -> DataFrame:
         dim = read_table(batch.sparkSession, dim_path, schemas.DIMENSION)
@@ -86,5 +102,5 @@ def start_live_state(spark, history_path: str, dim_path: str, target: str, check
                 .select(*LIVE_COLUMNS))
 
     return upsert_stream(latest, target, schemas.LIVE_STATE_KEY, checkpoint, output_mode=output_mode,
-                         trigger=trigger, unique=True, transform=enrich,
-                         defaults=schemas.LIVE_STATE_DEFAULTS, query_name=query_name)
+                         trigger=trigger, transform=enrich,
+                         defaults=schemas.LIVE_STATE_DEFAULTS, query_name=query_name, **guard)
