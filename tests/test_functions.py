@@ -70,3 +70,22 @@ def test_micros_to_ntz_ignores_session_zone(spark):
         assert back.m == micros
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+def test_from_wire(spark):
+    from tidemark import schemas
+    from tidemark.sources.history import from_wire
+    micros = 1_704_067_200_000_000
+    wire = spark.createDataFrame([("S-1", "S_1_PV", "SITE", micros, 1.5, 192, micros + 1)], schemas.WIRE)
+    r = from_wire(wire).first()
+    assert [f.name for f in from_wire(wire).schema] == schemas.HISTORY.names
+    assert r.reading_ts.replace(tzinfo=None) == dt.datetime(2024, 1, 1) and r.quality_code == 192
+    assert (r.ingest_ts - r.reading_ts) == dt.timedelta(microseconds=1)
+
+
+def test_fleet_ranges_clip(spark):
+    from tidemark.plans.fleet import fleet_ranges
+    readings = spark.createDataFrame([("SOC", 120.0), ("PWR", -3000.0), ("SOH", None)], "key string, v double")
+    got = {r.key: r.c for r in readings.join(fleet_ranges(spark), "key")
+           .select("key", clip_to_range("v", F.col("min"), F.col("max")).alias("c")).collect()}
+    assert got == {"SOC": 100.0, "PWR": -2500.0, "SOH": None}
