@@ -212,3 +212,25 @@ def test_max_lateness_drops_late_rows_and_bounds_state(spark, workdir):
     assert live == {a: 82.0}                                         # late rows dropped, newest kept
     dropped = sum(o.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for o in p["stateOperators"])
     assert dropped == 2
+
+
+def test_job_run_and_report(spark, workdir, capsys):
+    """The command-line job: run the stream with a progress log, then print both reports."""
+    from tidemark import schemas
+    from tidemark.job import main
+    from tidemark.plans.fleet import fleet_dimension
+    dim = fleet_dimension(spark)
+    dim.write.parquet(f"{workdir}/dim")
+    ts = dt.datetime(2026, 6, 23, 10, 0)
+    rows = [(r.sensor_asset_id, r.scada_tag, r.site_code, ts, 1.0, 192, ts) for r in dim.collect()]
+    spark.createDataFrame(rows, schemas.HISTORY).write.parquet(f"{workdir}/history")
+    args = ["run", "--history", f"{workdir}/history", "--dim", f"{workdir}/dim", "--target", f"{workdir}/live",
+            "--checkpoint", f"{workdir}/chk", "--trigger", "availableNow", "--progress", f"{workdir}/progress"]
+    assert main(args, spark) == 0
+    capsys.readouterr()
+    assert main(["report", "--target", f"{workdir}/live", "--progress", f"{workdir}/progress",
+                 "--window", "3600"], spark) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["landing"]["total"] == 184 and out["landing"]["win_upserts"] == 184
+    assert out["progress"]["batches"] >= 1 and out["progress"]["in_rows"] == 184
+    assert out["progress"]["out_rows"] == 184 and out["progress"]["out_unknown"] is False
