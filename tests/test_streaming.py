@@ -234,3 +234,22 @@ def test_job_run_and_report(spark, workdir, capsys):
     assert out["landing"]["total"] == 184 and out["landing"]["win_upserts"] == 184
     assert out["progress"]["batches"] >= 1 and out["progress"]["in_rows"] == 184
     assert out["progress"]["out_rows"] == 184 and out["progress"]["out_unknown"] is False
+
+
+def test_processing_time_stream_picks_up_new_files(spark, workdir):
+    """A running stream on the default 1 s trigger upserts files as they arrive (continuous sync)."""
+    from tidemark.streaming.sync import sync_table
+    src = f"{workdir}/src"
+    schema = "k string, ts timestamp, v double"
+    spark.createDataFrame([("a", dt.datetime(2024, 1, 1), 1.0)], schema).write.mode("append").parquet(src)
+    q = sync_table(spark, src, f"{workdir}/copy", "k", f"{workdir}/chk", mode="continuous", interval="1 second")
+    try:
+        q.processAllAvailable()
+        assert {r.k: r.v for r in KeyedTable(spark, f"{workdir}/copy").read().collect()} == {"a": 1.0}
+        spark.createDataFrame([("a", dt.datetime(2024, 1, 2), 2.0), ("b", dt.datetime(2024, 1, 2), 3.0)],
+                              schema).write.mode("append").parquet(src)
+        q.processAllAvailable()
+        assert {r.k: r.v for r in KeyedTable(spark, f"{workdir}/copy").read().collect()} == {"a": 2.0, "b": 3.0}
+        assert q.isActive
+    finally:
+        q.stop()
