@@ -253,3 +253,29 @@ def test_processing_time_stream_picks_up_new_files(spark, workdir):
         assert q.isActive
     finally:
         q.stop()
+
+
+def test_keyed_dimension_reads_only_touched_buckets(spark, workdir):
+    from tidemark import schemas
+    from tidemark.operators.enrich import enrich_from_keyed
+    from tidemark.plans.fleet import fleet_dimension
+    from tidemark.plans.live import start_live_state
+    dim = fleet_dimension(spark)
+    table = KeyedTable.create(spark, f"{workdir}/dim", dim.schema, "sensor_asset_id", buckets=32)
+    table.merge(dim, unique=True)
+    few = dim.limit(3).select("sensor_asset_id")
+    touched = table.buckets_of(few)
+    assert 1 <= len(touched) <= 3
+    assert table.read_buckets(touched).count() < 184
+    joined = enrich_from_keyed(few, table, "sensor_asset_id", ["site_code", "alarm_high"])
+    assert joined.count() == 3 and joined.where(F.col("site_code").isNull()).count() == 0
+    # the live job with a keyed dimension (re-read per batch, pruned to touched buckets)
+    sid = "IRON-BMS01-SOH"
+    ts = dt.datetime(2026, 6, 23, 10, 0)
+    spark.createDataFrame([(sid, "IRON_BMS01_SOH_PV", "IRON", ts, 65.0, 192, ts)],
+                          schemas.HISTORY).write.parquet(f"{workdir}/history")
+    q = start_live_state(spark, f"{workdir}/history", f"{workdir}/dim", f"{workdir}/live", f"{workdir}/chk",
+                         trigger="availableNow", reload_dim=True)
+    sink.await_completion(q, 300)
+    r = KeyedTable(spark, f"{workdir}/live").lookup(sid).first()
+    assert (r.site_code, r.status) == ("IRON", "LOW")

@@ -29,3 +29,20 @@ def enrich_left(readings: DataFrame, dim: DataFrame, keys: Sequence[str] | str,
     keys = [keys] if isinstance(keys, str) else list(keys)
     side, _ = bounded_broadcast(dim, max_broadcast_rows)
     return readings.join(side, keys, "left")
+
+
+def enrich_from_keyed(readings: DataFrame, dim_table, keys: Sequence[str] | str,
+                      columns: Sequence[str] | None = None,
+                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Left join to a dimension stored as a ``KeyedTable``, reading only the buckets the keys fall in.
+
+    For a micro-batch against a large dimension this replaces shuffling the
+    whole dimension every batch: the touched buckets are found first (at most
+    ``B`` ids), and the pruned dimension is broadcast when proven small or
+    joined by a shuffle otherwise.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    dim = dim_table.read_buckets(dim_table.buckets_of(readings.select(*keys)))
+    if columns is not None:
+        dim = dim.select(*keys, *[c for c in columns if c not in keys])
+    return enrich_left(readings, dim, keys, max_broadcast_rows)

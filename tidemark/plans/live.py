@@ -77,7 +77,9 @@ def start_live_state(spark, history_path: str, dim_path: str, target: str, check
 
     With ``reload_dim`` the dimension is re-read inside every micro-batch, so a
     changed dimension is picked up without a restart (a plain static
-    DataFrame pins its file list when the query starts).
+    DataFrame pins its file list when the query starts).  If ``dim_path``
+    holds a keyed table, each batch reads only the dimension buckets its keys
+    fall in, instead of joining against the whole dimension.
     """
     from tidemark import schemas
     from tidemark.sources.history import read_table, stream_history
@@ -94,13 +96,21 @@ def start_live_state(spark, history_path: str, dim_path: str, target: str, check
                              query_name=query_name, **guard)
 
     latest = sensor_latest(history, watermark, max_lateness)
+    from tidemark.operators.enrich import enrich_from_keyed
+    from tidemark.streaming.keyed import KeyedTable
+    keyed_dim = KeyedTable.exists(spark, dim_path)
 
     def enrich(batch: DataFrame) -> DataFrame:
-        dim = read_table(batch.sparkSession, dim_path, schemas.DIMENSION)
-        return (live_rows(batch, dim.select(*SENSOR_DIM_COLUMNS), "sensor_asset_id")
-                .withColumn("updated_ts", F.current_timestamp())
-                .select(*LIVE_COLUMNS))
+        if keyed_dim:
+            # A dimension kept as a keyed table: read only the buckets this batch touches.
+            joined = enrich_from_keyed(batch, KeyedTable(batch.sparkSession, dim_path), "sensor_asset_id",
+                                       SENSOR_DIM_COLUMNS)
+            rows = joined.withColumn("status", classify_status("value", "alarm_low", "alarm_high"))
+        else:
+            dim = read_table(batch.sparkSession, dim_path, schemas.DIMENSION)
+            rows = live_rows(batch, dim.select(*SENSOR_DIM_COLUMNS), "sensor_asset_id")
+        return rows.withColumn("updated_ts", F.current_timestamp()).select(*LIVE_COLUMNS)
 
     return upsert_stream(latest, target, schemas.LIVE_STATE_KEY, checkpoint, output_mode=output_mode,
-                         trigger=trigger, transform=enrich,
+                         trigger=trigger, transform=enrich, stage_before_transform=keyed_dim,
                          defaults=schemas.LIVE_STATE_DEFAULTS, query_name=query_name, **guard)

@@ -186,6 +186,17 @@ class KeyedTable:
         """The current rows."""
         return self._read_files(self.manifest())
 
+    def read_buckets(self, buckets: Sequence[int]) -> DataFrame:
+        """The current rows of the given buckets only."""
+        return self._read_files(self.manifest(), buckets)
+
+    def buckets_of(self, df: DataFrame) -> list[int]:
+        """Bucket ids that the keys of ``df`` fall in (at most ``B`` values, one small job)."""
+        m = self.manifest()
+        got = (df.select(bucket_of(m["keys"], int(m["buckets"])).alias("_b")).distinct()
+                 .agg(F.collect_list("_b")).first()[0])
+        return sorted(int(b) for b in (got or []))
+
     def lookup(self, *key_values) -> DataFrame:
         """Rows for one key; only the key's bucket is read."""
         m = self.manifest()

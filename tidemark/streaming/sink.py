@@ -12,12 +12,14 @@ it had already been committed.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.sources.files import FileSystem
 from tidemark.streaming.keyed import KEY_TYPES, ConcurrentWriteError, KeyedTable
 
 # Rows written per (writer, batch id), read by the progress log, since a
@@ -109,18 +111,37 @@ def upsert_batch_fn(target: str, keys: Sequence[str], writer: str,
                     transform: Callable[[DataFrame], DataFrame] | None = None,
                     defaults: Mapping[str, str] | None = None, buckets: int | None = None,
                     retries: int = 2, backoff: float = 1.0, vacuum_every: int = 100,
-                    keep_versions: int = 10) -> Callable[[DataFrame, int], None]:
+                    keep_versions: int = 10,
+                    stage_before_transform: bool = False) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function of an upsert stream (usable on its own for batch jobs).
 
     Every ``vacuum_every`` batches, versions older than the newest
     ``keep_versions`` are dropped, so a continuous job keeps bounded storage.
+    ``stage_before_transform`` writes the raw micro-batch to the shared folder
+    before ``transform`` runs, for transforms that run several actions (each
+    action on a micro-batch would otherwise re-run a stateful upstream plan).
     """
     keys = list(keys)
     opened: dict[str, KeyedTable] = {}
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        b = transform(batch) if transform else batch
+        known = opened.get("t") or (KeyedTable(spark, target) if KeyedTable.exists(spark, target) else None)
+        if known is not None and known.last_batch(writer) >= batch_id:
+            SINK_ROWS[(writer, int(batch_id))] = 0      # a replay of a committed batch
+            return
+        raw_dir = None
+        if transform and stage_before_transform:
+            raw_dir = f"{target.rstrip('/')}/_staging/in-{uuid.uuid4().hex}"
+            batch.write.mode("errorifexists").parquet(raw_dir)
+            batch = spark.read.schema(batch.schema).parquet(raw_dir)
+        try:
+            _upsert(spark, transform(batch) if transform else batch, batch_id)
+        finally:
+            if raw_dir:
+                FileSystem(spark, raw_dir).delete(raw_dir)
+
+    def _upsert(spark, b: DataFrame, batch_id: int) -> None:
         table = opened.get("t")
         if table is None:
             if KeyedTable.exists(spark, target):
@@ -145,7 +166,7 @@ def upsert_stream(df: DataFrame, target: str, key: str | Sequence[str], checkpoi
                   query_name: str | None = None, order_by: Sequence[str] | str | None = None,
                   unique: bool = False, transform: Callable[[DataFrame], DataFrame] | None = None,
                   defaults: Mapping[str, str] | None = None, buckets: int | None = None,
-                  retries: int = 2) -> StreamingQuery:
+                  retries: int = 2, stage_before_transform: bool = False) -> StreamingQuery:
     """Start a stream that upserts every micro-batch into the keyed table at ``target``.
 
     - ``key``: upsert key, a column name, comma-separated names or a list;
@@ -166,7 +187,8 @@ def upsert_stream(df: DataFrame, target: str, key: str | Sequence[str], checkpoi
         validate_key(df.schema, keys)
     if KeyedTable.exists(df.sparkSession, target) and transform is None:
         validate_key(df.schema, keys, KeyedTable(df.sparkSession, target).keys)
-    fn = upsert_batch_fn(target, keys, checkpoint, order_by, unique, transform, defaults, buckets, retries)
+    fn = upsert_batch_fn(target, keys, checkpoint, order_by, unique, transform, defaults, buckets, retries,
+                         stage_before_transform=stage_before_transform)
     w = (df.writeStream.outputMode(mode).foreachBatch(fn)
          .option("checkpointLocation", checkpoint).trigger(**trigger_args(trigger)))
     if query_name:
