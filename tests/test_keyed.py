@@ -160,3 +160,11 @@ def test_properties_idempotent_and_boundary_free(spark, workdir, bs):
         newest[k] = max(newest.get(k, -1), ts)
     assert {k: r["ts"] for k, r in rows(split).items()} == newest
     assert {k: r["ts"] for k, r in rows(whole).items()} == newest
+
+
+def test_order_by_must_be_supplied_and_overwrite_reduces(spark, workdir):
+    t = table(spark, workdir)
+    with pytest.raises(ValueError, match="order_by"):
+        t.merge(spark.createDataFrame([(1, 1.0)], "k long, v double"), order_by="ts")
+    n = t.overwrite(spark.createDataFrame([(1, 1.0), (1, 2.0), (2, 3.0)], "k long, v double"))
+    assert n == 2 and t.read().count() == 2 and rows(t)[1]["v"] in (1.0, 2.0)

@@ -250,6 +250,9 @@ class KeyedTable:
             raise ValueError(f"batch has columns not in the table: {unknown}")
         supplied = [c for c in tcols if c in batch.columns]
         order = [order_by] if isinstance(order_by, str) else list(order_by or [])
+        absent = [c for c in order if c not in supplied]
+        if absent:
+            raise ValueError(f"order_by column(s) {absent} not supplied by the batch")
 
         typed = batch.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in supplied])
         staging, staged, stats = self._stage(typed.withColumn(BUCKET, bucket_of(keys, nb)), keys)
@@ -347,8 +350,13 @@ class KeyedTable:
             else:
                 conf.set("spark.sql.requireAllClusterKeysForCoPartition", prev)
 
-    def overwrite(self, df: DataFrame, writer: str | None = None, batch_id: int | None = None) -> int:
-        """Replace all rows (a snapshot sync); rows must be unique per key."""
+    def overwrite(self, df: DataFrame, writer: str | None = None, batch_id: int | None = None,
+                  unique: bool = False) -> int:
+        """Replace all rows (a snapshot sync).
+
+        Several rows for one key are reduced to one (deterministically)
+        unless ``unique=True`` promises one row per key.
+        """
         m = self.manifest()
         if writer is not None and batch_id is not None and int(m["writers"].get(writer, -1)) >= batch_id:
             return 0
@@ -369,18 +377,24 @@ class KeyedTable:
         try:
             if stats["null_keys"]:
                 raise ValueError(f"{stats['null_keys']} row(s) have a null key {keys}")
+            if not unique:
+                staged = self._reduce(staged, keys, schema.names, [])
             new = dict(m, version=int(m["version"]) + 1, files={})
             new["writers"] = dict(m["writers"])
             if writer is not None and batch_id is not None:
                 new["writers"][writer] = int(batch_id)
+            written = 0
             if stats["n"]:
                 out = posixpath.join(self.path, "data", f"{new['version']:020d}-{uuid.uuid4().hex}")
-                (staged.repartition(len(stats["buckets"]), BUCKET)
+                obs = Observation()
+                (staged.select(*schema.names, BUCKET).observe(obs, F.count(F.lit(1)).alias("n"))
+                       .repartition(len(stats["buckets"]), BUCKET)
                        .write.mode("errorifexists").partitionBy(BUCKET).parquet(out))
+                written = int(obs.get["n"])
                 new["files"] = {str(int(b)): posixpath.join(out, f"{BUCKET}={int(b)}")
                                 for b in stats["buckets"]}
             self._commit(new)
-            return int(stats["n"])
+            return written
         finally:
             self.fs.delete(staging)
 
