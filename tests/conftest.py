@@ -8,8 +8,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from tidemark.session import get_spark
-    s = get_spark("local[*]", app="tidemark-tests", shuffle_partitions=8)
+    s = get_spark("local[*]", app="tidemark-tests", shuffle_partitions=8,
+                  spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="tidemark-warehouse-"))
     yield s
     s.stop()
 

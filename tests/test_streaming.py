@@ -279,3 +279,15 @@ def test_keyed_dimension_reads_only_touched_buckets(spark, workdir):
     sink.await_completion(q, 300)
     r = KeyedTable(spark, f"{workdir}/live").lookup(sid).first()
     assert (r.site_code, r.status) == ("IRON", "LOW")
+
+
+def test_target_by_table_name(spark, workdir):
+    name = f"live_{abs(hash(workdir)) % 10**8}"
+    path = sink.resolve_target(spark, name)
+    assert path.endswith("/" + name) and sink.resolve_target(spark, "/a/b") == "/a/b"
+    src = f"{workdir}/src"
+    spark.createDataFrame([("a", dt.datetime(2024, 1, 1), 1.0)], SCHEMA).write.parquet(src)
+    stream = stream_table(spark, src, schema=spark.createDataFrame([], SCHEMA).schema)
+    q = sink.upsert_stream(stream, name, "k", f"{workdir}/chk", output_mode="append", trigger="availableNow")
+    sink.await_completion(q, 300)
+    assert KeyedTable(spark, path).read().count() == 1

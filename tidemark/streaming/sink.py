@@ -56,6 +56,15 @@ def validate_key(schema: T.StructType, keys: Sequence[str], target_keys: Sequenc
         raise ValueError(f"upsert key {list(keys)} differs from the target's key {list(target_keys)}")
 
 
+def resolve_target(spark, target: str) -> str:
+    """A path, or a bare table name placed under the session's warehouse folder (``toTable`` style)."""
+    if "/" in target or "://" in target:
+        return target
+    name = target.replace(".", "/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return f"{warehouse}/{name}"
+
+
 def validate_output_mode(mode: str) -> str:
     m = mode.lower()
     if m == "complete":
@@ -167,7 +176,8 @@ def upsert_stream(df: DataFrame, target: str, key: str | Sequence[str], checkpoi
                   unique: bool = False, transform: Callable[[DataFrame], DataFrame] | None = None,
                   defaults: Mapping[str, str] | None = None, buckets: int | None = None,
                   retries: int = 2, stage_before_transform: bool = False) -> StreamingQuery:
-    """Start a stream that upserts every micro-batch into the keyed table at ``target``.
+    """Start a stream that upserts every micro-batch into the keyed table at ``target``
+    (a path, or a table name placed under the warehouse folder).
 
     - ``key``: upsert key, a column name, comma-separated names or a list;
     - ``checkpoint``: required; it also identifies the writer for replay checks;
@@ -182,6 +192,7 @@ def upsert_stream(df: DataFrame, target: str, key: str | Sequence[str], checkpoi
     if not checkpoint:
         raise ValueError("checkpoint location is required")
     mode = validate_output_mode(output_mode)
+    target = resolve_target(df.sparkSession, target)
     keys = parse_key(key)
     if transform is None:
         validate_key(df.schema, keys)
