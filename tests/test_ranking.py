@@ -72,3 +72,34 @@ def test_fifo_and_delivery(spark):
     rep = {r.stream: r for r in delivery_report(fifo_match(sends, acks, "stream"), "stream", errors).collect()}
     assert (rep["s"].errors, rep["t"].errors, rep["u"].errors) == (2, 1, 0)
     assert rep["s"].sent == 3                  # errors consume no send
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+samples = st.lists(st.tuples(st.sampled_from([0, 0, 0, 1, 2]), st.integers(-5, 5)), min_size=1, max_size=60)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(samples)
+def test_split_quantiles_and_ranks_match_python_on_random_groups(spark, rows):
+    """Group 0 is hot and values repeat: forced chunking must still give exact answers."""
+    df = spark.createDataFrame([(g, float(v), i) for i, (g, v) in enumerate(rows)], "g long, v double, i long")
+    qs = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p100": 1.0}
+    groups = {}
+    for g, v in rows:
+        groups.setdefault(g, []).append(float(v))
+    cont = {r.g: r for r in group_quantiles(df, ["g"], "v", qs, "cont", chunks=4).collect()}
+    near = {r.g: r for r in group_quantiles(df, ["g"], "v", qs, "nearest", chunks=4).collect()}
+    assert set(cont) == set(groups) == set(near)
+    for g, vs in groups.items():
+        s = sorted(vs)
+        for name, q in qs.items():
+            assert abs(cont[g][name] - cont_quantile(vs, q)) < 1e-9
+            assert near[g][name] == s[nearest_rank_index(len(s), q)]
+    ranked = group_row_number(df, ["g"], ["v", "i"], "rn", chunks=4).collect()
+    want = {}
+    for g, vs in groups.items():
+        order = sorted((float(v), i) for i, (gg, v) in enumerate(rows) if gg == g)
+        want.update({(g, i): n + 1 for n, (_, i) in enumerate(order)})
+    assert {(r.g, r.i): r.rn for r in ranked} == want
