@@ -291,3 +291,32 @@ def test_target_by_table_name(spark, workdir):
     q = sink.upsert_stream(stream, name, "k", f"{workdir}/chk", output_mode="append", trigger="availableNow")
     sink.await_completion(q, 300)
     assert KeyedTable(spark, path).read().count() == 1
+
+
+def test_stream_recovers_after_a_failed_commit(spark, workdir, monkeypatch):
+    """The merge of a micro-batch dies after writing data, before its commit; the query
+    fails; a restart from the checkpoint replays that batch and the state is exact."""
+    src, target, chk = f"{workdir}/src", f"{workdir}/live", f"{workdir}/chk"
+    t = lambda d: dt.datetime(2024, 1, d)
+    spark.createDataFrame([("a", t(1), 1.0), ("b", t(1), 2.0)], SCHEMA).write.mode("append").parquet(src)
+    _run(spark, src, target, chk)                                   # batch 0 committed
+    spark.createDataFrame([("a", t(2), 3.0), ("c", t(2), 4.0)], SCHEMA).write.mode("append").parquet(src)
+    real = KeyedTable._commit
+    calls = {"n": 0}
+
+    def crash_once(self, manifest):
+        calls["n"] += 1
+        if calls["n"] == 1:
+            raise OSError("simulated crash after the data write, before the manifest rename")
+        return real(self, manifest)
+
+    monkeypatch.setattr(KeyedTable, "_commit", crash_once)
+    stream = stream_table(spark, src, schema=spark.createDataFrame([], SCHEMA).schema)
+    latest = latest_per_key(stream.withWatermark("ts", "30 seconds"), "k", "ts", ["v"])
+    q = sink.upsert_stream(latest, target, "k", chk, trigger="availableNow", unique=True, retries=0)
+    with pytest.raises(Exception):
+        sink.await_completion(q, 300)
+    assert {r.k: r.v for r in KeyedTable(spark, target).read().collect()} == {"a": 1.0, "b": 2.0}
+    _run(spark, src, target, chk)                                   # restart replays the batch
+    assert {r.k: r.v for r in KeyedTable(spark, target).read().collect()} == {"a": 3.0, "b": 2.0, "c": 4.0}
+    assert calls["n"] >= 2
