@@ -168,3 +168,16 @@ def test_order_by_must_be_supplied_and_overwrite_reduces(spark, workdir):
         t.merge(spark.createDataFrame([(1, 1.0)], "k long, v double"), order_by="ts")
     n = t.overwrite(spark.createDataFrame([(1, 1.0), (1, 2.0), (2, 3.0)], "k long, v double"))
     assert n == 2 and t.read().count() == 2 and rows(t)[1]["v"] in (1.0, 2.0)
+
+
+def test_periodic_vacuum_bounds_versions(spark, workdir):
+    from tidemark.streaming.sink import upsert_batch_fn
+    target = f"{workdir}/v"
+    fn = upsert_batch_fn(target, ["k"], writer="w", vacuum_every=3, keep_versions=2)
+    for i in range(8):
+        fn(spark.createDataFrame([(i % 3, float(i))], "k long, v double"), i)
+    t = KeyedTable(spark, target)
+    assert len(t._versions()) <= 2 + 3          # at most keep_versions plus the batches since the last vacuum
+    data = t.fs.list_names(f"{target}/data")
+    assert len(data) <= 2 + 3
+    assert {k: r["v"] for k, r in {r.k: r.asDict() for r in t.read().collect()}.items()} == {0: 6.0, 1: 7.0, 2: 5.0}
