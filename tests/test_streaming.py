@@ -320,3 +320,24 @@ def test_stream_recovers_after_a_failed_commit(spark, workdir, monkeypatch):
     _run(spark, src, target, chk)                                   # restart replays the batch
     assert {r.k: r.v for r in KeyedTable(spark, target).read().collect()} == {"a": 3.0, "b": 2.0, "c": 4.0}
     assert calls["n"] >= 2
+
+
+def test_live_stream_plan_shape(spark, workdir):
+    """The stateful stream pre-aggregates before its shuffle and broadcasts the (proven small) dimension."""
+    import contextlib
+    import io
+
+    from tidemark.plans import suite
+    from tidemark.plans.live import live_rows
+    sf = "/root/testdata/sf0.001"
+    stream = stream_table(spark, f"{sf}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    latest = latest_per_key(stream.withWatermark("ts", "30 seconds"), "user_id", "ts", ["value"])
+    out = live_rows(latest, suite.dimension(spark, sf), "user_id")
+    q = (out.writeStream.outputMode("update").format("noop").option("checkpointLocation", f"{workdir}/chk")
+         .trigger(availableNow=True).start())
+    sink.await_completion(q, 300)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain()
+    plan = buf.getvalue()
+    assert "partial_max_by" in plan and "StateStoreSave" in plan and "BroadcastHashJoin" in plan
