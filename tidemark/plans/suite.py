@@ -133,9 +133,15 @@ def _events_stream(spark: SparkSession, path: str, max_files: int | None = None)
 
 
 def _split_events(spark: SparkSession, sf_dir: str, parts: int = 8) -> str:
-    """Write the events table as ``parts`` files, so a stream sees several micro-batches."""
+    """Write the events table as several files, so a stream sees several micro-batches.
+
+    Files are cut by ``maxRecordsPerFile`` as the tasks write them, so no
+    shuffle is needed (the row count comes from Parquet metadata).
+    """
     path = shared_dir(spark, "events_split")
-    table(spark, sf_dir, "events").repartition(parts).write.mode("overwrite").parquet(path)
+    events = table(spark, sf_dir, "events")
+    per_file = max(1, -(-events.count() // parts))
+    events.write.mode("overwrite").option("maxRecordsPerFile", per_file).parquet(path)
     return path
 
 
