@@ -1,7 +1,8 @@
 """Run registered queries against their DuckDB SQL and compare results.
 
-Mirrors the correctness gate: row count, column names and types, and an
-order-insensitive hash of the values (columns sorted by name).
+Mirrors the correctness gate: row count, column names, column types (Spark
+type mapped to the DuckDB type) and an order-insensitive hash of the values
+(columns sorted by name).
 
     python -m tests.oracle [name ...] [--sf /root/testdata/sf0.01]
 """
@@ -21,6 +22,12 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+# Spark type → DuckDB type of the same values.
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "date": "DATE",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
@@ -32,7 +39,7 @@ def _norm(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
         return None
     if isinstance(v, float):
-        return round(v, 6)
+        return repr(v)          # exact: no tolerance
     if isinstance(v, pd.Timestamp):
         return v.to_pydatetime().replace(tzinfo=None).isoformat()
     if hasattr(v, "isoformat"):
@@ -57,13 +64,20 @@ def compare(spark, sf_dir: str, name: str, query, sql: str | None, con=None) ->
     if sql is None:
         out["match"] = None
         return out
-    dpdf = con.execute(sql).df()
+    rel = con.sql(sql)
+    d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    s_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in s_schema.items()}
+    out["types_match"] = s_types == d_types
+    if not out["types_match"]:
+        out["type_diff"] = {c: (s_types.get(c), d_types.get(c)) for c in set(s_types) | set(d_types)
+                            if s_types.get(c) != d_types.get(c)}
+    dpdf = rel.df()
     out["oracle_rows"] = len(dpdf)
     s_cols, s_hash = frame_digest(spdf)
     d_cols, d_hash = frame_digest(dpdf)
     out["cols_match"] = s_cols == d_cols
     out["hash_match"] = s_hash == d_hash
-    out["match"] = out["cols_match"] and out["hash_match"] and len(spdf) == len(dpdf)
+    out["match"] = out["cols_match"] and out["hash_match"] and out["types_match"] and len(spdf) == len(dpdf)
     if not out["cols_match"]:
         out["spark_cols"], out["oracle_cols"] = s_cols, d_cols
     elif not out["hash_match"]:
