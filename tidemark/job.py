@@ -80,8 +80,9 @@ def report(spark: SparkSession, args: argparse.Namespace) -> dict:
     from tidemark.streaming.keyed import KeyedTable
     from tidemark.streaming.progress import ProgressLog, progress_report
 
-    as_of = F.lit(dt.datetime.fromisoformat(args.as_of) if args.as_of else dt.datetime.now(dt.timezone.utc)
-                  .replace(tzinfo=None)).cast("timestamp_ntz")
+    # Table times are cast to wall clock in the session zone; "now" is cast the same way.
+    as_of = (F.lit(dt.datetime.fromisoformat(args.as_of)).cast("timestamp_ntz") if args.as_of
+             else F.current_timestamp().cast("timestamp_ntz"))
     live = KeyedTable(spark, args.target).read()
     live = live.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in ("reading_ts", "updated_ts") else F.col(c)
                          for c in live.columns])
