@@ -74,6 +74,11 @@ def to_ntz(ts: ColumnOrName) -> Column:
     return _c(ts).cast("timestamp_ntz")
 
 
+def utc_wall_clock(ts: ColumnOrName) -> Column:
+    """An instant (TIMESTAMP) as the TIMESTAMP_NTZ of its UTC wall clock, whatever the session zone."""
+    return F.to_utc_timestamp(_c(ts), F.current_timezone()).cast("timestamp_ntz")
+
+
 def micros_between(later: ColumnOrName, earlier: ColumnOrName) -> Column:
     """Whole microseconds from ``earlier`` to ``later`` (zone-free for TIMESTAMP_NTZ)."""
     return F.timestamp_diff("MICROSECOND", _c(earlier), _c(later))

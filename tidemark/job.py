@@ -44,7 +44,7 @@ def _parser() -> argparse.ArgumentParser:
     rep.add_argument("--target", required=True)
     rep.add_argument("--progress", default=None)
     rep.add_argument("--window", type=int, default=60, help="window in seconds")
-    rep.add_argument("--as-of", default=None, help="instant replacing now(), ISO format (default: now)")
+    rep.add_argument("--as-of", default=None, help="UTC instant replacing now(), ISO format (default: now)")
     return ap
 
 
@@ -80,11 +80,14 @@ def report(spark: SparkSession, args: argparse.Namespace) -> dict:
     from tidemark.streaming.keyed import KeyedTable
     from tidemark.streaming.progress import ProgressLog, progress_report
 
-    # Table times are cast to wall clock in the session zone; "now" is cast the same way.
+    from tidemark.functions import utc_wall_clock
+
+    # Everything in UTC wall clock, like the progress log's event times: the
+    # table's instants, and "now" (``--as-of`` is read as UTC).
     as_of = (F.lit(dt.datetime.fromisoformat(args.as_of)).cast("timestamp_ntz") if args.as_of
-             else F.current_timestamp().cast("timestamp_ntz"))
+             else utc_wall_clock(F.current_timestamp()))
     live = KeyedTable(spark, args.target).read()
-    live = live.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in ("reading_ts", "updated_ts") else F.col(c)
+    live = live.select(*[utc_wall_clock(c).alias(c) if c in ("reading_ts", "updated_ts") else F.col(c)
                          for c in live.columns])
     out = {"landing": landing_report(live, as_of, args.window).first().asDict()}
     if args.progress:
