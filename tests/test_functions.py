@@ -92,3 +92,16 @@ def test_fleet_ranges_clip(spark):
     got = {r.key: r.c for r in readings.join(fleet_ranges(spark), "key")
            .select("key", clip_to_range("v", F.col("min"), F.col("max")).alias("c")).collect()}
     assert got == {"SOC": 100.0, "PWR": -2500.0, "SOH": None}
+
+
+def test_utc_wall_clock(spark):
+    from tidemark.functions import utc_wall_clock
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "Asia/Kolkata", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            r = spark.createDataFrame([(1_704_067_200_000_000,)], "m long").select(
+                utc_wall_clock(micros_to_ts("m")).alias("t")).first()
+            assert r.t == dt.datetime(2024, 1, 1), zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
