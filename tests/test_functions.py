@@ -105,3 +105,11 @@ def test_utc_wall_clock(spark):
             assert r.t == dt.datetime(2024, 1, 1), zone
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+def test_bounded_broadcast_bound(spark):
+    from tidemark.operators.enrich import bounded_broadcast
+    df = spark.range(100)
+    assert bounded_broadcast(df, 100)[1] is True
+    assert bounded_broadcast(df, 99)[1] is False
+    assert bounded_broadcast(spark.range(0), 0)[1] is True

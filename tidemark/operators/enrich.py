@@ -14,11 +14,13 @@ DEFAULT_BROADCAST_ROWS = 200_000
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """Return ``(broadcast(df), True)`` if ``df`` has at most ``max_rows`` rows.
 
-    The check is a bounded action (``limit(max_rows + 1).count()``); above the
-    bound the frame comes back unhinted and the planner picks a shuffle join.
+    The check asks whether anything is left after skipping ``max_rows`` rows
+    (``offset(max_rows).isEmpty()``). Spark answers it with an incremental
+    take: one partition first, more only if needed, and only a boolean
+    reaches Python.  Above the bound the frame comes back unhinted and the
+    planner picks a shuffle join.
     """
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
+    if df.select(F.lit(1).alias("_one")).offset(max_rows).isEmpty():
         return F.broadcast(df), True
     return df, False
 
