@@ -56,6 +56,8 @@ def choose_chunks(df: DataFrame, by: Sequence[str], chunks: int | None) -> int:
     """``chunks`` if given; else 1 when the largest group fits one task, else enough chunks."""
     if chunks is not None:
         return chunks
+    if df.select(F.lit(1).alias("_one")).offset(SPLIT_ABOVE_ROWS).isEmpty():
+        return 1                      # the whole input fits the bound, so every group does
     biggest = max_group_size(df, by)
     if biggest <= SPLIT_ABOVE_ROWS:
         return 1
