@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, exact_dedup, near_dedup, packing, toxicity
+from tidemark.llm import decontaminate, exact_dedup, near_dedup, packing, pii, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1,
+    "op3_pii": pii.op3,
     "op4_toxicity": toxicity.op4,
     "op6_packing": packing.op6,
     "op7_near_dedup": near_dedup.op7,
+    "op8_suffix_dedup": suffix_dedup.op8,
     "op10_exact_dedup": exact_dedup.op10,
 }
 
 SQL = {
+    "op8_suffix_dedup": suffix_dedup.op8,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
 }
