@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import load, text_or_empty, written
+from tidemark.llm.fingerprints import by_value, repeated
 from tidemark.llm.near_dedup import mix
 
 LENGTH = 50
@@ -86,15 +87,6 @@ def _digest(text: bytes) -> bytes:
     return hashlib.blake2b(text, digest_size=16).digest()
 
 
-def _by(order_key: np.ndarray):
-    """Yields (value, indices) of equal values, in order."""
-    order = np.argsort(order_key, kind="stable")
-    k = order_key[order]
-    edges = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1], [True])))
-    for x, y in zip(edges[:-1], edges[1:]):
-        yield int(k[x]), order[x:y]
-
-
 # 1. Documents
 
 def _features(texts: DataFrame) -> DataFrame:
@@ -112,54 +104,17 @@ def _features(texts: DataFrame) -> DataFrame:
 
 # 2. Anchors that occur in two texts
 
-def _fingerprints(texts: DataFrame, buckets: int) -> DataFrame:
-    """Per batch and bucket: sorted fingerprints with the text (number in the batch) and offset of each."""
-    def run(batches):
-        for batch in batches:
-            g, doc, pos, k8 = [], [], [], []
-            for i, t in enumerate(batch.column(1)):
-                text = t.as_buffer().to_pybytes()
-                k8.append(int.from_bytes(_digest(text)[:8], "little", signed=True))
-                found = anchors(text)
-                if found:
-                    h, a = found
-                    p = a[_runs(a)]
-                    g.append(mix(h[p]))
-                    pos.append(p)
-                    doc.append(np.full(len(p), i))
-            if not g:
-                continue
-            g, doc, pos, k8 = np.concatenate(g), np.concatenate(doc), np.concatenate(pos).astype("<u4"), np.asarray(k8, "<i8")
-            fp = (g >> _U(32)).astype("<u4")
-            rows = []
-            for b, at in _by(((g & _U(0xFFFFFFFF)) % _U(buckets)).astype(np.int64)):
-                at = at[np.argsort(fp[at], kind="stable")]
-                here, local = np.unique(doc[at], return_inverse=True)
-                rows.append((b, k8[here].tobytes(), fp[at].tobytes(), local.astype("<u4").tobytes(), pos[at].tobytes()))
-            cols = list(zip(*rows))
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])],
-                                             names=["bucket", "k8", "fp", "doc", "pos"])
-
-    return texts.mapInArrow(run, "bucket int, k8 binary, fp binary, doc binary, pos binary")
-
-
-def _repeated(table: pa.Table) -> pa.Table:
-    """Of one bucket: offsets of the anchors whose fingerprint is in two texts, by text."""
-    fp, k8, pos = [], [], []
-    for r in zip(*(table.column(c) for c in ("k8", "fp", "doc", "pos"))):
-        own, f, d, p = (x.as_buffer() for x in r)
-        fp.append(np.frombuffer(f, "<u4"))
-        k8.append(np.frombuffer(own, "<i8")[np.frombuffer(d, "<u4")])
-        pos.append(np.frombuffer(p, "<u4"))
-    fp, k8, pos = np.concatenate(fp), np.concatenate(k8), np.concatenate(pos)
-    order = np.argsort(fp, kind="stable")
-    fp, k8, pos = fp[order], k8[order], pos[order]
-    first = np.flatnonzero(np.concatenate(([True], fp[1:] != fp[:-1])))
-    several = np.minimum.reduceat(k8, first) != np.maximum.reduceat(k8, first)
-    keep = np.repeat(several, np.diff(np.concatenate((first, [len(fp)]))))
-    k8, pos = k8[keep], pos[keep]
-    rows = [(k, np.unique(pos[at]).tobytes()) for k, at in _by(k8)]
-    return pa.table({"k8": pa.array([r[0] for r in rows], pa.int64()), "pos": pa.array([r[1] for r in rows], pa.binary())})
+def _anchor_hashes():
+    def find(_, text: bytes):
+        name = int.from_bytes(_digest(text)[:8], "little", signed=True)
+        found = anchors(text)
+        if not found:
+            return name, np.zeros(0, _U), np.zeros(0, np.int64)
+        h, a = found
+        p = a[_runs(a)]
+        return name, mix(h[p]), p
+
+    return find
 
 
 # 3. Sorted suffix runs and their merge
@@ -214,7 +169,7 @@ def _suffix_runs(joined: DataFrame, buckets: int) -> DataFrame:
             order = np.argsort(keys.view(f"S{_KEY}").ravel(), kind="stable")
             keys, pos, oid, bucket = keys[order], pos[order], oid[order], (bucket[order] % _U(buckets)).astype(np.int64)
             rows = []
-            for b, at in _by(bucket):
+            for b, at in by_value(bucket):
                 ids, local = np.unique(oid[at], return_inverse=True)
                 lcp, rest = front_coded(keys[at])
                 rows.append((b, lcp, rest, ids.astype("<i8").tobytes(), local.astype("<u4").tobytes(), pos[at].tobytes()))
@@ -390,7 +345,7 @@ def _covered(table: pa.Table) -> pa.Table:
         stops.append(np.repeat(pos[e], n) - back[off[which]] + LENGTH)
         docs.append(np.repeat(ids[e], n))
     starts, stops, docs = np.concatenate(starts), np.concatenate(stops), np.concatenate(docs)
-    rows = [(d, np.stack((starts[at], stops[at]), 1).astype("<u4").tobytes()) for d, at in _by(docs)]
+    rows = [(d, np.stack((starts[at], stops[at]), 1).astype("<u4").tobytes()) for d, at in by_value(docs)]
     return pa.table({"oid": pa.array([r[0] for r in rows], pa.int64()), "spans": pa.array([r[1] for r in rows], pa.binary())})
 
 
@@ -403,7 +358,7 @@ def _least_in_parts(ctx: np.ndarray, owner: np.ndarray, back: np.ndarray, least:
         h = mix((h + _M[o % 3]) ^ v[at + o])
     out = np.empty(len(at), np.int64)
     parts = len(at) // 1_000_000 + 1
-    for _, i in _by((h % _U(parts)).astype(np.int64)):
+    for _, i in by_value((h % _U(parts)).astype(np.int64)):
         out[i] = _least_by_window(np.ascontiguousarray(ctx[owner[i]]), back[i], least[owner[i]])
     return out
 
@@ -453,7 +408,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     total = feats.agg(F.sum("n")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / BUCKET_BYTES))
     classes = feats.groupBy("digest", "k8").agg(F.min("oid").alias("oid"))
-    found = _fingerprints(texts, buckets).groupBy("bucket").applyInArrow(_repeated, "k8 long, pos binary")
+    found = repeated(texts, buckets, _anchor_hashes).select(F.col("own").alias("k8"), "pos")
     wanted = found.groupBy("k8").agg(F.collect_list("pos").alias("wanted")).join(classes, "k8").select("oid", "digest", "wanted")
     joined = texts.join(written(wanted, "suffix_anchors"), "oid").select("oid", "text", "digest", "wanted")
     covered = _suffix_runs(joined, buckets).groupBy("bucket").applyInArrow(_covered, "oid long, spans binary")

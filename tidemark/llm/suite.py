@@ -2,19 +2,34 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, exact_dedup, near_dedup, packing, pii, suffix_dedup, toxicity
+from tidemark.llm import (
+    decontaminate,
+    exact_dedup,
+    near_dedup,
+    packing,
+    paragraph_dedup,
+    pii,
+    preference,
+    quality,
+    suffix_dedup,
+    toxicity,
+)
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1,
+    "op2_paragraph_dedup": paragraph_dedup.op2,
     "op3_pii": pii.op3,
     "op4_toxicity": toxicity.op4,
+    "op5_preference": preference.op5,
     "op6_packing": packing.op6,
     "op7_near_dedup": near_dedup.op7,
     "op8_suffix_dedup": suffix_dedup.op8,
+    "op9_quality": quality.op9,
     "op10_exact_dedup": exact_dedup.op10,
 }
 
 SQL = {
+    "op5_preference": preference.OP5_SQL,
     "op8_suffix_dedup": suffix_dedup.op8,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
 }
