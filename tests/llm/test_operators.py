@@ -19,7 +19,7 @@ AWKWARD = [
     (5, "one  two\tthree four five", "en", "s", 0), (6, "one two three four five", "en", "s", 0),
     (6, "one two three four five", "en", "s", 0), (7, LONG, "en", "s", 0), (8, LONG + " x", "en", "s", 0),
     (9, LONG, "en", "s", 0), (None, "one two three four five", None, None, None), (None, None, None, None, None),
-    (10, "Before it. " + PASSAGE + " After that.", "en", "s", 0), (11, "Other words here. " + PASSAGE + " The end.", "en", "s", 0),
+    (10, "These are words that come in front of it here. " + PASSAGE + " After that.", "en", "s", 0), (11, "Other words stand here before the passage in this line. " + PASSAGE + " The end.", "en", "s", 0),
     (12, "É" * 40 + " ß 😀 " * 30, "de", "s", 0), (13, "É" * 40 + " ß 😀 " * 30, "de", "s", 0),
 ]
 UNIQUE = [r for i, r in enumerate(AWKWARD) if r[0] is not None and i != 6]
@@ -147,8 +147,10 @@ def test_near_duplicates(spark, unique, awkward, empty):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 2, 3, 4, 5, 7, 10, 11, 12]
 
 
-def test_near_chain_of_edits(spark):
+@pytest.mark.parametrize("limit", [near_dedup.GROUP_SHINGLES, 500])
+def test_near_chain_of_edits(spark, monkeypatch, limit):
     """Each text is near the next one only; a hub with many near copies; all found without pairs of a bucket."""
+    monkeypatch.setattr(near_dedup, "GROUP_SHINGLES", limit)   # the small limit sends groups through the rounds
     base = [f"t{i}" for i in range(100)]
     rows, words = [], list(base)
     for i in range(40):
@@ -227,7 +229,7 @@ def test_loser_tree_merges_front_coded_runs():
 def test_paragraph_dedup(unique, awkward, empty, docs):
     out = {r.id: r for r in paragraph_dedup.remove_paragraphs(unique).collect()}
     assert len(out) == len(UNIQUE)
-    assert out[11].n_removed >= 1 and "p30" not in out[11].text and "Other words here." in out[11].text and "The end." in out[11].text
+    assert out[11].n_removed >= 1 and "p30" not in out[11].text and "Other words stand" in out[11].text and "The end." in out[11].text
     assert out[10].n_removed == 0 and out[10].text == UNIQUE[[r[0] for r in UNIQUE].index(10)][1]
     assert out[9].n_removed == 1 and out[8].n_removed == 1 and out[7].n_removed == 0
     assert all(out[k].n_removed == 0 for k in (1, 2, 3, 4, 5, 6))
@@ -369,12 +371,16 @@ def test_packing(docs, texts, unique, empty, buffer_tokens):
     assert packing.pack(empty, path).count() == 0
 
 
-def test_word_tokenizer_matches_whole_texts():
+def test_word_tokenizer_matches_whole_texts(texts):
     from tokenizers import Tokenizer
     path = packing.default_tokenizer()
-    tok, own = Tokenizer.from_file(path), packing.WordTokenizer(path, cache_words=50)
-    for t in ["", "a\x1cb c\x1fd", "x y　z   w", "é e ́ Σας ΣΑΣ İI", "don't we'll <|endoftext|>x", "1234 $$ 漢字かな 😀😀", "\x85 \x0b\x0c"] * 2:
-        assert np.frombuffer(own.ids(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+    tok = Tokenizer.from_file(path)
+    hard = ["", "a\x1cb c\x1fd", "x\u00a0y\u3000z   w", "é e\u0301 E\u0301. Σας ΣΑΣ. ΌΣΟΣ, İI", "don't we'll, <|endoftext|>x I'M.", "1234 $$ 漢字かな, 😀😀!",
+            "\x85 \x0b\x0c", "a.,b c.,\nd!? e'. f\"! É. ñ,", None, "ſtreet ẞ ß Å K ﬁ", "\u0301a \u0301 b\u0301.", ". , ...", "\x00 a\x00b", "\u200bz \ufeffq"]
+    for cache in (50, 10_000):
+        own = packing.WordTokenizer(path, cache_words=cache)
+        for rows in (hard, [t for _, t in texts][:150], [hard[3]], hard):
+            assert [np.frombuffer(x, "<u4").tolist() for x in own.ids(rows)] == [tok.encode(t or "", add_special_tokens=False).ids for t in rows]
 
 
 # preference formatting

@@ -35,5 +35,5 @@ def test_stages(spark):
     assert {r.doc_id for r in pieces} == set(cut)
     assert all(len(r.ids) == 4 * r.length for r in pieces)
     tok = packing.WordTokenizer(packing.default_tokenizer())
-    total = sum(len(tok.ids(t)) // 4 + 1 for t in cut.values())
+    total = sum(len(x) // 4 + 1 for x in tok.ids(list(cut.values())))
     assert sum(r.length for r in pieces) == total

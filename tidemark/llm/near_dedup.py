@@ -9,9 +9,12 @@ for each shingle, and equal coordinates still estimate the Jaccard similarity wi
 The T = BANDS * ROWS coordinates are cut in bands.  Two documents of similarity s share a band with
 probability 1 - (1 - s^ROWS)^BANDS: over 0.9999995 at s = 0.8 (48 bands of 6 rows).
 
-Documents with one shingle set are one class first.  Candidates come in rounds, without emitting the pairs
-of a bucket: the least member of each bucket's slots leads; the others of a different component are
-verified with it on the full sets.  Components are updated, leaders leave, and buckets whose members
+Documents with one shingle set are one class first.  The members of a bucket are linked to its least one
+only, and the connected components of these star links are candidate groups: similar documents are in
+one group.  A group of up to GROUP_SHINGLES shingles is solved in one task, which counts the shingles that
+its members share through an inverted index and puts out one root per member, never pairs.  Larger
+groups go on in rounds: the least member of each bucket's slots leads; the others of a different component
+are verified with it on the full sets.  Components are updated, leaders leave, and buckets whose members
 are in one component are done.  Slots grow 4-fold per round, so a bucket of unrelated members is through
 in a logarithmic number of rounds and no link between two components is left untested.
 
@@ -41,6 +44,10 @@ BANDS, ROWS = 48, 6
 CACHE_WORDS = 500_000
 #: Pairs of one leader that are verified in one group, as a mean.
 CHUNK_PAIRS = 2048
+#: Shingles (8 bytes each) of a candidate group that one task solves.
+GROUP_SHINGLES = 4_000_000
+#: Ids (8 bytes each) up to which the documents of candidates are picked by a broadcast join.
+BROADCAST_IDS = 2_000_000
 
 _U = np.uint64
 _MULT = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -215,20 +222,114 @@ def _links(buckets: DataFrame, sets: DataFrame, similarity: tuple[int, int]) ->
         slots *= 4
 
 
+def roots(sets: list[np.ndarray], similarity: tuple[int, int]) -> np.ndarray:
+    """Number of the first member of each one's component.  Counts shared shingles by an inverted index."""
+    num, den = similarity
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    owner, x = np.repeat(np.arange(len(sets)), size), np.concatenate(sets)
+    order = np.argsort(x, kind="stable")
+    posting = owner[order]                      # members of each shingle, in order
+    first = np.concatenate(([True], x[order][1:] != x[order][:-1]))
+    begin = np.empty(len(x), np.int64)          # of a shingle's postings
+    at = np.empty(len(x), np.int64)             # of the member itself in them
+    begin[order] = np.maximum.accumulate(np.where(first, np.arange(len(x)), 0))
+    at[order] = np.arange(len(x))
+    root = list(range(len(sets)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    ends = np.cumsum(size)
+    for i in range(1, len(sets)):
+        lo, hi = begin[ends[i] - size[i]:ends[i]], at[ends[i] - size[i]:ends[i]]
+        n = hi - lo
+        total = int(n.sum())
+        if not total:
+            continue
+        earlier = posting[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(total)]
+        common = np.bincount(earlier, minlength=i)[:i]
+        for j in np.flatnonzero(den * common >= num * (size[:i] + size[i] - common)).tolist():
+            a, b = find(i), find(j)
+            if a != b:
+                root[max(a, b)] = min(a, b)
+    return np.fromiter((find(i) for i in range(len(sets))), np.int64, len(sets))
+
+
+def _solved(grouped: DataFrame, similarity: tuple[int, int], schema: str) -> DataFrame:
+    """(a, b): root b of the members a that aren't it.  ``grouped``: g, id, s, sorted by g and id."""
+    def run(batches):
+        def solve(ids, sets):
+            r = roots(sets, similarity)
+            moved = np.flatnonzero(r != np.arange(len(ids)))
+            return [(ids[i], ids[r[i]]) for i in moved.tolist()]
+
+        g, ids, sets, out, types = None, [], [], [], None
+        for batch in batches:
+            types = (batch.schema.field(1).type,) * 2
+            for group, key, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if group != g:
+                    if len(ids) > 1:
+                        out += solve(ids, sets)
+                    g, ids, sets = group, [], []
+                if not ids or ids[-1] != key:
+                    ids.append(key)
+                    sets.append(np.frombuffer(s.as_buffer(), _U).copy())
+            if len(out) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["a", "b"])
+                out = []
+        if len(ids) > 1:
+            out += solve(ids, sets)
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["a", "b"])
+
+    return grouped.mapInArrow(run, schema)
+
+
+def components_of(rows: DataFrame, sizes: DataFrame, sets_of, similarity: tuple[int, int]) -> DataFrame | None:
+    """(a, b): the least member b of a's component, for each a that isn't it; None when there is none.
+
+    ``rows``: key (of a bucket), id.  ``sizes``: id, n (shingles of its set).  ``sets_of(ids)`` gives id, s
+    of a table of distinct ids.
+    """
+    shared = rows.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key", "lo")
+    stars = written(rows.join(shared, "key").where("id != lo").select(F.col("id").alias("a"), F.col("lo").alias("b")).distinct(), "near_stars")
+    group = connected(stars, "near_groups")
+    members = group.select(F.col("a").alias("id"), F.col("b").alias("g")).unionByName(group.select(F.col("b").alias("id"), F.col("b").alias("g")).distinct())
+    members = written(members.join(sizes, "id"), "near_members")
+    if members.isEmpty():
+        return None
+    sets = written(sets_of(members.select("id")), "near_sets")
+    large = members.groupBy("g").agg(F.sum("n").alias("n")).where(F.col("n") > GROUP_SHINGLES).select("g")
+    large = written(members.join(large, "g", "left_semi").select("id"), "near_large")
+    few = members.select("id", "g") if large.isEmpty() else members.select("id", "g").join(large, "id", "left_anti")
+    grouped = sets.join(few, "id").select("g", "id", "s").repartition("g").sortWithinPartitions("g", "id")
+    kind = rows.schema["id"].dataType.simpleString()
+    parent = written(_solved(grouped, similarity, f"a {kind}, b {kind}"), "near_parent")
+    if not large.isEmpty():
+        more = _links(rows.join(large, "id", "left_semi").select("key", "id"), sets, similarity)
+        parent = parent if more is None else parent.unionByName(more)
+    return parent
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                     similarity: tuple[int, int] = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per document: id, n_shingles, component_id (least id of its component)."""
     feats = written(_features(docs, id_col, text_col, words, bands, rows), "near_features")
     real = feats.where("digest is not null and id is not null")
     # Classes of equal sets; only their least ids go on.
-    classes = real.groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("size"), F.first("bands").alias("bands"))
+    classes = real.groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("size"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     classes = written(classes, "near_classes")
-    rows_ = classes.select(F.col("rep").alias("id"), F.explode("bands").alias("key"))
-    shared = rows_.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
-    buckets = written(rows_.join(shared, "key", "left_semi").select("key", "id"), "near_candidates")
-    wanted = buckets.select("id").distinct()
-    sets = written(_sets(docs.join(wanted.select(F.col("id").alias(id_col)), id_col, "left_semi"), id_col, text_col, words), "near_sets")
-    parent = _links(buckets, sets, similarity)
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        ids = ids.select(F.col("id").alias(id_col)).distinct()
+        ids = F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+        return _sets(docs.select(id_col, text_col).join(ids, id_col, "left_semi"), id_col, text_col, words)
+
+    parent = components_of(classes.select(F.col("rep").alias("id"), F.explode("bands").alias("key")),
+                           classes.groupBy(F.col("rep").alias("id")).agg(F.sum("n").alias("n")), sets_of, similarity)
     moved = classes.select("digest", "rep", "size")
     if parent is not None:
         moved = moved.join(parent.select(F.col("a").alias("rep"), F.col("b").alias("root")), "rep", "left") \
