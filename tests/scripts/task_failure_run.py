@@ -48,7 +48,7 @@ out["ok_values"] = all(rows[k] == (k * 10.0 if k % 2 == 0 else float(k)) for k i
 df = spark.range(0, 3000, numPartitions=4).select(
     F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 17).alias("g"),
     flaky(F.col("id").cast("double")).alias("o"), F.col("id").alias("tb"))
-got = {(r.g, r.tb): r.rn for r in group_row_number(df, ["g"], ["o", "tb"], "rn", chunks=8).collect()}
+got = {(r.g, r.tb): r.rn for r in group_row_number(df, ["g"], ["o", "tb"], "rn").collect()}
 want = {(r.g, r.tb): r.rn for r in df.withColumn("rn", F.row_number().over(
     Window.partitionBy("g").orderBy("o", "tb"))).collect()}
 out["ranks_equal"] = got == want

@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.plans.fleet import BAD_QUALITY, GOOD_QUALITY, fleet_dimension
+from tests.fleet import BAD_QUALITY, GOOD_QUALITY, fleet_dimension
 from tidemark.plans.live import sensor_live
 from tidemark.plans.reports import alarm_counts, status_breakdown
 from tidemark.sources.history import stream_history

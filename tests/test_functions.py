@@ -87,7 +87,7 @@ def test_from_wire(spark):
 
 
 def test_fleet_ranges_clip(spark):
-    from tidemark.plans.fleet import fleet_ranges
+    from tests.fleet import fleet_ranges
     readings = spark.createDataFrame([("SOC", 120.0), ("PWR", -3000.0), ("SOH", None)], "key string, v double")
     got = {r.key: r.c for r in readings.join(fleet_ranges(spark), "key")
            .select("key", clip_to_range("v", F.col("min"), F.col("max")).alias("c")).collect()}
@@ -107,9 +107,16 @@ def test_utc_wall_clock(spark):
         spark.conf.set("spark.sql.session.timeZone", prev)
 
 
-def test_bounded_broadcast_bound(spark):
-    from tidemark.operators.enrich import bounded_broadcast
-    df = spark.range(100)
-    assert bounded_broadcast(df, 100)[1] is True
-    assert bounded_broadcast(df, 99)[1] is False
-    assert bounded_broadcast(spark.range(0), 0)[1] is True
+def test_join_strategy_follows_bytes(spark):
+    """No job runs while the plan is built; a small dimension is broadcast, a large one is shuffled."""
+    from tidemark.operators.enrich import enrich_left
+    facts, dim = spark.range(1000).withColumnRenamed("id", "k"), spark.range(100000).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 10).alias("n"))
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    plans = []
+    try:
+        for limit in ("100m", "1k"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            plans.append(enrich_left(facts, dim, "k")._jdf.queryExecution().executedPlan().toString())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" in plans[1]

@@ -6,7 +6,9 @@ import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 from tests.oracle import compare, duck
 
-NAMES = list(entry.queries())
+from tidemark.plans import suite  # noqa: E402
+
+NAMES = list(suite.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -29,18 +31,6 @@ def test_entry_smoke(spark):
     assert "status" in df.columns
 
 
-SPLIT_QUERIES = ["fifo_match", "nearest_rank", "delivery_report", "landing_report"]
-
-
-@pytest.mark.parametrize("name", SPLIT_QUERIES)
-def test_split_path_matches_oracle(spark, con, name, monkeypatch):
-    """Force the chunked (hot-group) plan on the given tables; results must not change."""
-    import tidemark.operators.ranking as ranking
-    monkeypatch.setattr(ranking, "SPLIT_ABOVE_ROWS", 5)
-    r = compare(spark, SF_SMALL, name, entry.queries()[name], entry.oracle_sql()[name], con)
-    assert r["match"], r
-
-
 ZONE_SENSITIVE = ["wire_timestamp", "progress_parse", "landing_report", "live_state", "recent_updates"]
 
 

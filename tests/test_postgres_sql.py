@@ -2,7 +2,9 @@
 
 import duckdb
 
-from tidemark.streaming.postgres import insert_sql, upsert_sql, write_partition_rows
+import pytest
+
+from tidemark.streaming.postgres import insert_sql, is_transient, newest_rows, upsert_sql, write_partition_rows
 
 
 def test_upsert_text():
@@ -87,3 +89,57 @@ def test_pages_flush_by_size_or_time():
                              batch_size=3, flush_interval_ms=1e9)
     assert pages == [3, 3, 1]                                   # size-based flushes
     assert con.execute("SELECT count(*), min(a) FROM t").fetchone() == (7, "y")
+
+
+class OperationalError(Exception):
+    """As the driver names a lost connection, which has no SQLSTATE."""
+
+    sqlstate = None
+
+
+def test_a_lost_connection_is_opened_anew():
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (k INTEGER PRIMARY KEY, a TEXT)")
+    opened, failures = [], [OperationalError("server closed the connection"), OperationalError("again")]
+
+    class Flaky(_Conn):
+        def cursor(self):
+            if self.dead:
+                raise OperationalError("connection already closed")
+            if failures:
+                self.dead = True
+                raise failures.pop()
+            return super().cursor()
+
+    def connect():
+        c = Flaky(con)
+        c.dead = False
+        opened.append(c)
+        return c
+
+    sql = upsert_sql("t", ["k", "a"], ["k"], placeholder="?")
+    n = write_partition_rows(iter([(1, "x"), (2, "y")]), connect, sql, backoff=0.0)
+    assert n == 2 and len(opened) == 3 and con.execute("SELECT count(*) FROM t").fetchone() == (2,)
+
+
+def test_errors_that_stay_are_raised_at_once():
+    class Bad(Exception):
+        sqlstate = "22P02"
+
+    opened = []
+
+    def connect():
+        opened.append(1)
+        raise Bad("invalid text")
+
+    with pytest.raises(Bad):
+        write_partition_rows(iter([(1,)]), connect, "x", backoff=0.0)
+    assert len(opened) == 1
+    assert not is_transient(KeyError("x")) and is_transient(ConnectionResetError())
+
+
+def test_newest_row_per_key(spark):
+    df = spark.createDataFrame([(1, 5, "old", 9), (1, 7, "new", 1), (2, 1, "x", 0), (2, None, "null", 99)], "k int, ts int, a string, b int")
+    got = {r.k: (r.ts, r.a) for r in newest_rows(df, ["k"], ["ts"]).collect()}
+    assert got == {1: (7, "new"), 2: (1, "x")}
+    assert newest_rows(df, ["k"]).columns == df.columns

@@ -35,7 +35,6 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--trigger", choices=["processing", "availableNow", "realtime"], default="processing")
     run.add_argument("--interval", default="1 second", help='processing interval; "0 seconds" = back-to-back')
     run.add_argument("--watermark", default="30 seconds")
-    run.add_argument("--max-lateness", default=None)
     run.add_argument("--reload-dim", action="store_true")
     run.add_argument("--max-files-per-trigger", type=int, default=None)
     run.add_argument("--progress", default=None, help="Parquet folder for the per-batch progress log")
@@ -55,22 +54,23 @@ def run(spark: SparkSession, args: argparse.Namespace):
     trigger = {"processing": args.interval, "availableNow": "availableNow", "realtime": "realtime"}[args.trigger]
     log = None
     if args.progress:
-        log = ProgressLog(spark, args.progress)
+        log = ProgressLog(spark, args.progress, args.query_name)
         spark.streams.addListener(log)
     q = start_live_state(spark, args.history, args.dim, args.target, args.checkpoint,
                          watermark=args.watermark, trigger=trigger, reload_dim=args.reload_dim,
-                         query_name=args.query_name, max_files_per_trigger=args.max_files_per_trigger,
-                         max_lateness=args.max_lateness)
+                         query_name=args.query_name, max_files_per_trigger=args.max_files_per_trigger)
     return q, log
 
 
 def await_with_progress(q, log, flush_every_sec: float = 10.0) -> None:
     """Block until the query ends, flushing the progress log periodically."""
-    while not q.awaitTermination(flush_every_sec):
-        if log is not None:
+    try:
+        while not q.awaitTermination(flush_every_sec):
+            if log is not None:
+                log.flush()
+    finally:
+        if log is not None:   # also when the query failed: its last batches are the interesting ones
             log.flush()
-    if log is not None:
-        log.flush()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
 

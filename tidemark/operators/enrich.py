@@ -1,50 +1,34 @@
-"""Left equi-join of readings to a dimension, broadcast when proven small."""
+"""Left equi-join of readings to a dimension.
+
+The join strategy is left to Spark: a dimension is broadcast when its size is
+below ``spark.sql.autoBroadcastJoinThreshold``, by the bytes of its files or,
+under adaptive execution, by the bytes measured when it was shuffled; above
+that it is joined by a shuffle, and adaptive execution splits hot keys.
+Nothing runs while the plan is built.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# A dimension side is broadcast only below this many rows (checked, not assumed).
-DEFAULT_BROADCAST_ROWS = 200_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Return ``(broadcast(df), True)`` if ``df`` has at most ``max_rows`` rows.
-
-    The check asks whether anything is left after skipping ``max_rows`` rows
-    (``offset(max_rows).isEmpty()``). Spark answers it with an incremental
-    take: one partition first, more only if needed, and only a boolean
-    reaches Python.  Above the bound the frame comes back unhinted and the
-    planner picks a shuffle join.
-    """
-    if df.select(F.lit(1).alias("_one")).offset(max_rows).isEmpty():
-        return F.broadcast(df), True
-    return df, False
-
-
-def enrich_left(readings: DataFrame, dim: DataFrame, keys: Sequence[str] | str,
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def enrich_left(readings: DataFrame, dim: DataFrame, keys: Sequence[str] | str) -> DataFrame:
     """Every reading is kept; readings without a dimension row get nulls."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    side, _ = bounded_broadcast(dim, max_broadcast_rows)
-    return readings.join(side, keys, "left")
+    return readings.join(dim, [keys] if isinstance(keys, str) else list(keys), "left")
 
 
 def enrich_from_keyed(readings: DataFrame, dim_table, keys: Sequence[str] | str,
-                      columns: Sequence[str] | None = None,
-                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                      columns: Sequence[str] | None = None) -> DataFrame:
     """Left join to a dimension stored as a ``KeyedTable``, reading only the buckets the keys fall in.
 
-    For a micro-batch against a large dimension this replaces shuffling the
+    For a micro-batch against a large dimension this replaces reading the
     whole dimension every batch: the touched buckets are found first (at most
-    ``B`` ids), and the pruned dimension is broadcast when proven small or
-    joined by a shuffle otherwise.
+    ``B`` ids).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     dim = dim_table.read_buckets(dim_table.buckets_of(readings.select(*keys)))
     if columns is not None:
         dim = dim.select(*keys, *[c for c in columns if c not in keys])
-    return enrich_left(readings, dim, keys, max_broadcast_rows)
+    return enrich_left(readings, dim, keys)

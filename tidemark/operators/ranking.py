@@ -1,212 +1,118 @@
 """Row numbers and exact order statistics per group, without one task per group.
 
 A plain ``row_number() over (partition by g order by o)`` sends every row of a
-group to one task.  When one group holds a third of all rows that task sorts a
-third of the data.  These operators split each group into ordered chunks
-first:
-
-1. per group, ``percentile_approx`` of the order column gives ``C - 1`` chunk
-   bounds (a sketch aggregate with map-side combine, so it is skew-safe);
-2. each row gets the index of its chunk (number of bounds below its value),
-   so chunks are contiguous ranges of the order column;
-3. rows per (group, chunk) are counted (partial aggregation again) and a
-   running sum over at most ``C`` rows per group gives each chunk's offset;
-4. row numbers are computed per (group, chunk) and shifted by the offset.
-
-The large shuffles are keyed by (group, chunk), which spreads a hot group over
-``C`` tasks.  Exact quantiles use the same offsets to find the one chunk that
-holds the wanted rank, so only that chunk is sorted.
-
-The bounds table has one row per group; it is broadcast when it has at most
-``MAX_BROADCAST_GROUPS`` rows and joined by a shuffle (which AQE splits when
-skewed) above that.
-
-Splitting costs a few extra stages, so it is chosen by a size check, like a
-broadcast: one partial aggregate finds the largest group; if it holds at most
-``SPLIT_ABOVE_ROWS`` rows every group fits one task and the plain window plan
-is used, otherwise the chunked plan with enough chunks to bring the largest
-group under that bound.
+group to one task.  Here the rows are first counted per (group, value) with
+map-side combine, which collapses ties, and running counts over the distinct
+values give the rank at which each value starts.  The running counts have two
+levels: a value falls in a block (about a minute of a timestamp, 65,536 whole
+numbers, one unit of a fraction), blocks are summed per group, and values are
+summed within (group, block).  So what meets in one task is the blocks of a
+group, or the values of a block, never the rows of a group.
+
+Row numbers are then ``rank of the value + row_number()`` within (group,
+value), and a quantile is the value whose ranks hold the wanted one.  It is the
+same plan at every size: no size check, no job while the plan is built.
+Groups and values may be null (null values sort first); joins are null-safe.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from tidemark.operators.enrich import bounded_broadcast
-
-DEFAULT_CHUNKS = 64
-MAX_CHUNKS = 4096
-APPROX_ACCURACY = 10_000
-MAX_BROADCAST_GROUPS = 10_000
-# A group above this many rows is split over several tasks.
-SPLIT_ABOVE_ROWS = 5_000_000
-
-
-def max_group_size(df: DataFrame, by: Sequence[str]) -> int:
-    """Rows in the largest group (partial aggregation; one small job)."""
-    r = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return int(r or 0)
-
-
-def choose_chunks(df: DataFrame, by: Sequence[str], chunks: int | None) -> int:
-    """``chunks`` if given; else 1 when the largest group fits one task, else enough chunks."""
-    if chunks is not None:
-        return chunks
-    if df.select(F.lit(1).alias("_one")).offset(SPLIT_ABOVE_ROWS).isEmpty():
-        return 1                      # the whole input fits the bound, so every group does
-    biggest = max_group_size(df, by)
-    if biggest <= SPLIT_ABOVE_ROWS:
-        return 1
-    return min(MAX_CHUNKS, max(DEFAULT_CHUNKS, 4 * math.ceil(biggest / SPLIT_ABOVE_ROWS)))
-
-
-def _with_chunks(df: DataFrame, by: list[str], okey: str, chunks: int) -> DataFrame:
-    """Add ``_chunk`` in [0, chunks) by per-group approximate quantiles of ``okey``."""
-    if chunks <= 1:
-        return df.withColumn("_chunk", F.lit(0))
-    from tidemark.session import _checkpoint_base
-    probs = [i / chunks for i in range(1, chunks)]
-    bounds = df.groupBy(*by).agg(
-        F.percentile_approx(okey, probs, APPROX_ACCURACY).alias("_bounds"))
-    # The bounds are used by two branches (offsets and numbering) and must be
-    # identical in both, also when a lost executor forces a recomputation: a
-    # merged sketch can depend on merge order, so the small bounds table (one
-    # row per group) is checkpointed to the shared checkpoint folder.
-    _checkpoint_base(df.sparkSession)
-    bounds = bounds.checkpoint(eager=True)
-    bounds, _ = bounded_broadcast(bounds, MAX_BROADCAST_GROUPS)
-    return (df.join(bounds, by)
-              .withColumn("_chunk", F.size(F.filter("_bounds", lambda b: b < F.col(okey))))
-              .drop("_bounds"))
-
-
-def _chunk_offsets(x: DataFrame, by: list[str]) -> DataFrame:
-    counts = x.groupBy(*by, "_chunk").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.partitionBy(*by).orderBy("_chunk")
-    return (counts
-            .withColumn("_off", F.coalesce(
-                F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-            .withColumn("_n", F.sum("_cnt").over(Window.partitionBy(*by))))
-
-
-def group_row_number(df: DataFrame, by: Sequence[str], order: Sequence[str],
-                     name: str = "rn", chunks: int | None = None) -> DataFrame:
-    """``row_number() over (partition by by order by order)`` for skewed groups.
-
-    The first ``order`` column must be numeric or a timestamp; it must not be
-    null (filter nulls first).  Ties on the whole ``order`` list get distinct
-    but unspecified numbers, as with ``row_number``.  ``chunks=None`` decides
-    by the size check; ``chunks=1`` forces the plain window.
+from pyspark.sql import types as T
+
+
+def _block(value: str, kind: T.DataType) -> Column:
+    """A coarse number that never falls when the value grows."""
+    v = F.col(value)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        micros = F.unix_micros(v) if isinstance(kind, T.TimestampType) else F.timestamp_diff("MICROSECOND", epoch, v)
+        return F.shiftright(micros, 26)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(v).cast("long")
+    if isinstance(kind, T.IntegralType):
+        return F.shiftright(v.cast("long"), 16)
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.when(F.isnan(v), F.lit(2**63 - 1)).otherwise(F.floor(v))   # NaN sorts last
+    if isinstance(kind, T.DecimalType):
+        return F.floor(v).cast("double")
+    return F.lit(0).cast("long")   # no coarse order for other types
+
+
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, nulls included; the keys come once, from the left."""
+    renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def _starts(df: DataFrame, by: list[str], value: str) -> DataFrame:
+    """Per (group, value): ``_c`` rows, ``_start`` rows with smaller values in the group, ``_n`` in all."""
+    counts = (df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
+                .withColumn("_block", _block(value, df.schema[value].dataType)))
+    blocks = counts.groupBy(*by, "_block").agg(F.sum("_c").alias("_bc"))
+    before = Window.partitionBy(*by).orderBy(F.col("_block").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (blocks.withColumn("_off", F.coalesce(F.sum("_bc").over(before), F.lit(0)))
+                    .withColumn("_n", F.sum("_bc").over(Window.partitionBy(*by))).drop("_bc"))
+    within = (Window.partitionBy(*by, "_block").orderBy(F.col(value).asc_nulls_first())
+                    .rowsBetween(Window.unboundedPreceding, -1))
+    inner = counts.withColumn("_in", F.coalesce(F.sum("_c").over(within), F.lit(0)))
+    return (_null_safe(inner, blocks, [*by, "_block"])
+            .withColumn("_start", F.col("_off") + F.col("_in")).drop("_off", "_in", "_block"))
+
+
+def group_row_number(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "rn") -> DataFrame:
+    """``row_number() over (partition by by order by order)`` for skewed groups, nulls first.
+
+    Ties on the whole ``order`` list get distinct but unspecified numbers, as
+    with ``row_number``.
     """
     by, order = list(by), list(order)
-    chunks = choose_chunks(df, by, chunks)
-    if chunks <= 1:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long"))
-    lead = order[0]
-    okey = "_okey"
-    lead_type = dict(df.dtypes)[lead]
-    lead_val = F.unix_micros(F.col(lead).cast("timestamp")) if lead_type.startswith("timestamp") \
-        else F.col(lead)
-    x = _with_chunks(df.withColumn(okey, lead_val), by, okey, chunks)
-    offs = _chunk_offsets(x, by).select(*by, "_chunk", "_off")
-    w = Window.partitionBy(*by, "_chunk").orderBy(*order)
-    return (x.join(offs, by + ["_chunk"])
-              .withColumn(name, F.row_number().over(w) + F.col("_off"))
-              .drop("_chunk", "_off", okey))
+    lead, rest = order[0], order[1:]
+    starts = _starts(df, by, lead).select(*by, lead, "_start")
+    w = Window.partitionBy(*by, lead).orderBy(*[F.col(c).asc_nulls_first() for c in rest or [lead]])
+    return (_null_safe(df, starts, [*by, lead])
+            .withColumn(name, (F.row_number().over(w) + F.col("_start")).cast("long")).drop("_start"))
 
 
 def group_quantiles(df: DataFrame, by: Sequence[str], value: str,
-                    quantiles: Mapping[str, float], method: str = "cont",
-                    chunks: int | None = None) -> DataFrame:
+                    quantiles: Mapping[str, float], method: str = "cont") -> DataFrame:
     """Exact quantiles of ``value`` per group; one row per group with a column per quantile.
 
     ``method="cont"``: linear interpolation between the values at ranks
-    floor and ceil of ``(n-1)q`` (as ``percentile_cont``).
+    floor and ceil of ``(n-1)q`` (as ``percentile_cont``); numbers only.
     ``method="nearest"``: the value at rank ``min(n-1, round_half_even((n-1)q))``.
     Null values are ignored; groups with no non-null value are absent.
     """
     if method not in ("cont", "nearest"):
         raise ValueError(f"unknown quantile method {method!r}")
+    for q in quantiles.values():
+        if not 0.0 <= q <= 1.0:
+            raise ValueError(f"quantile {q} outside [0, 1]")
     by = list(by)
     vals = df.select(*by, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    chunks = choose_chunks(vals, by, chunks)
+    if method == "cont" and not isinstance(vals.schema["_v"].dataType, T.NumericType):
+        raise TypeError(f"continuous quantiles need a number, not {vals.schema['_v'].dataType.simpleString()}")
+    last = (F.col("_n") - 1).cast("double")
 
-    # One target per (quantile, end): the 0-based rank wanted in the sorted group.
-    n1 = (F.col("_n") - 1).cast("double")
-    ranks: list[tuple[str, int, Column]] = []
-    for qname, q in quantiles.items():
-        if not 0.0 <= q <= 1.0:
-            raise ValueError(f"quantile {q} outside [0, 1]")
-        pos = n1 * F.lit(float(q))
-        if method == "nearest":
-            ranks.append((qname, 0, F.least(F.col("_n") - 1, F.bround(pos, 0).cast("long"))))
-        else:
-            ranks.append((qname, 0, F.floor(pos).cast("long")))
-            ranks.append((qname, 1, F.ceil(pos).cast("long")))
-
-    if chunks <= 1:
-        # Every group fits one task: rank within the group, then pick the target ranks.
-        ranked = (vals.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy("_v")) - 1)
-                      .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*by))))
-        aggs = [F.max("_n").alias("_n")]
-        for qname, end, k in ranks:
-            aggs.append(F.max(F.when(F.col("_r") == k, F.col("_v"))).alias(f"{qname}__{'hi' if end else 'lo'}"))
-        return _finish(ranked.groupBy(*by).agg(*aggs), by, quantiles, method)
-
-    x = _with_chunks(vals, by, "_v", chunks)
-    offs = _chunk_offsets(x, by)
-    targets = [F.struct(F.lit(qname).alias("q"), F.lit(end).alias("end"), k.alias("k"))
-               for qname, end, k in ranks]
-    sizes = offs.select(*by, "_n").distinct()
-    wanted = sizes.select(*by, "_n", F.explode(F.array(*targets)).alias("_t")).select(
-        *by, "_n", "_t.q", "_t.end", "_t.k")
-    # Find the chunk holding rank k: offsets has at most `chunks` rows per group.
-    located = (wanted.join(offs.select(*by, "_chunk", "_off", "_cnt"), by)
-                     .where((F.col("k") >= F.col("_off")) & (F.col("k") < F.col("_off") + F.col("_cnt")))
-                     .select(*by, "_chunk", "q", "end", "k", "_off", "_n"))
-    w = Window.partitionBy(*by, "_chunk", "q", "end").orderBy("_v")
-    picked = (x.join(located, by + ["_chunk"])
-               .withColumn("_r", F.row_number().over(w) - 1 + F.col("_off"))
-               .where(F.col("_r") == F.col("k"))
-               .select(*by, "q", "end", "_v", "_n"))
-    aggs = [F.max("_n").alias("_n")]
-    for qname in quantiles:
-        aggs.append(F.max(F.when((F.col("q") == qname) & (F.col("end") == 0), F.col("_v"))).alias(f"{qname}__lo"))
-        if method == "cont":
-            aggs.append(F.max(F.when((F.col("q") == qname) & (F.col("end") == 1), F.col("_v"))).alias(f"{qname}__hi"))
-    return _finish(picked.groupBy(*by).agg(*aggs), by, quantiles, method)
-
-
-def _finish(out: DataFrame, by: list[str], quantiles: Mapping[str, float], method: str) -> DataFrame:
-    cols = [F.col(c) for c in by]
-    for qname, q in quantiles.items():
-        lo = F.col(f"{qname}__lo")
+    def at(rank: Column) -> Column:
+        """The value whose ranks (from 0) hold ``rank``."""
+        return F.max(F.when((rank >= F.col("_start")) & (rank < F.col("_start") + F.col("_c")), F.col("_v")))
+
+    aggs, cols = [F.max("_n").alias("_n")], [F.col(c) for c in by]
+    for name, q in quantiles.items():
+        pos = last * F.lit(float(q))
         if method == "nearest":
-            cols.append(lo.alias(qname))
+            aggs.append(at(F.least(F.col("_n") - 1, F.bround(pos, 0).cast("long"))).alias(f"{name}__lo"))
+            cols.append(F.col(f"{name}__lo").alias(name))
         else:
-            pos = (F.col("_n") - 1).cast("double") * F.lit(float(q))
+            aggs += [at(F.floor(pos)).alias(f"{name}__lo"), at(F.ceil(pos)).alias(f"{name}__hi")]
             frac = pos - F.floor(pos)
-            hi = F.col(f"{qname}__hi")
-            cols.append(F.when(frac == 0, lo).otherwise(lo + frac * (hi - lo)).alias(qname))
-    return out.select(*cols)
-
-
-def nearest_rank_index(n: int, q: float) -> int | None:
-    """The rank rule in plain Python (used by tests): None for an empty sample."""
-    if n <= 0:
-        return None
-    return min(n - 1, int(round((n - 1) * q)))
-
-
-def cont_quantile(values: Sequence[float], q: float) -> float | None:
-    """percentile_cont in plain Python (used by tests)."""
-    s = sorted(values)
-    if not s:
-        return None
-    pos = (len(s) - 1) * q
-    lo, hi = math.floor(pos), math.ceil(pos)
-    return s[lo] if lo == hi else s[lo] + (pos - lo) * (s[hi] - s[lo])
+            lo, hi = F.col(f"{name}__lo"), F.col(f"{name}__hi")
+            cols.append(F.when(frac == 0, lo).otherwise(lo + frac * (hi - lo)).alias(name))
+    return _starts(vals, by, "_v").groupBy(*by).agg(*aggs).select(*cols)

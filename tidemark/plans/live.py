@@ -2,7 +2,7 @@
 
 One definition serves a batch DataFrame and a streaming one: the newest-row
 aggregate is an ordinary ``groupBy().agg(max_by(...))``, the enrichment a left
-join to a static dimension (broadcast when proven small) and the status a
+join to a static dimension and the status a
 ``CASE`` expression, all inside Catalyst.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import classify_status
-from tidemark.operators.enrich import DEFAULT_BROADCAST_ROWS, enrich_left
+from tidemark.operators.enrich import enrich_left
 from tidemark.operators.latest import latest_per_key
 
 # Columns the live table takes from the dimension (the reading brings the rest).
@@ -26,44 +26,28 @@ LIVE_COLUMNS = ["sensor_asset_id", "scada_tag", "site_code", "site_name", "energ
 
 
 def live_rows(latest: DataFrame, dim: DataFrame, keys: Sequence[str] | str,
-              value: str = "value", low: str = "alarm_low", high: str = "alarm_high",
-              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+              value: str = "value", low: str = "alarm_low", high: str = "alarm_high") -> DataFrame:
     """Left-join newest readings to the dimension and add ``status``."""
-    return (enrich_left(latest, dim, keys, max_broadcast_rows)
+    return (enrich_left(latest, dim, keys)
             .withColumn("status", classify_status(value, low, high)))
 
 
-def sensor_latest(history: DataFrame, watermark: str | None = None,
-                  max_lateness: str | None = None) -> DataFrame:
+def sensor_latest(history: DataFrame, watermark: str | None = None) -> DataFrame:
     """Newest reading per sensor (optionally under an event-time watermark).
 
     The watermark is not a grouping key here, so it neither drops late rows nor
     expires state: a late row for a known key re-emits the unchanged newest row.
-
-    ``max_lateness`` (opt-in, not the default behaviour) groups by key and a
-    tumbling event-time window of that length under a watermark of the same
-    delay: rows later than the watermark are dropped and a window's state is
-    evicted once the watermark passes its end, so state holds recently active
-    keys only.  A key can then appear once per window; merge with
-    ``order_by="reading_ts"`` to keep the newest.
     """
     payload = ["value", "quality_code", "scada_tag"]
-    if max_lateness:
-        h = history.withWatermark("reading_ts", max_lateness)
-        return latest_per_key(h, ["sensor_asset_id", F.window("reading_ts", max_lateness).alias("_w")],
-                              "reading_ts", payload).drop("_w")
     if watermark:
         history = history.withWatermark("reading_ts", watermark)
     return latest_per_key(history, "sensor_asset_id", "reading_ts", payload)
 
 
-def sensor_live(history: DataFrame, dim: DataFrame, watermark: str | None = None,
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                max_lateness: str | None = None) -> DataFrame:
+def sensor_live(history: DataFrame, dim: DataFrame, watermark: str | None = None) -> DataFrame:
     """History (batch or stream) → rows of the live table, ``updated_ts`` = now."""
-    latest = sensor_latest(history, watermark, max_lateness)
-    return (live_rows(latest, dim.select(*SENSOR_DIM_COLUMNS), "sensor_asset_id",
-                      max_broadcast_rows=max_broadcast_rows)
+    latest = sensor_latest(history, watermark)
+    return (live_rows(latest, dim.select(*SENSOR_DIM_COLUMNS), "sensor_asset_id")
             .withColumn("updated_ts", F.current_timestamp())
             .select(*LIVE_COLUMNS))
 
@@ -71,7 +55,7 @@ def sensor_live(history: DataFrame, dim: DataFrame, watermark: str | None = None
 def start_live_state(spark, history_path: str, dim_path: str, target: str, checkpoint: str,
                      watermark: str = "30 seconds", trigger=None, output_mode: str = "update",
                      reload_dim: bool = False, query_name: str = "asset_live_state",
-                     max_files_per_trigger: int | None = None, max_lateness: str | None = None):
+                     max_files_per_trigger: int | None = None):
     """The whole job: stream the history, keep the newest reading per sensor,
     enrich, classify and upsert into the keyed live table.
 
@@ -86,16 +70,13 @@ def start_live_state(spark, history_path: str, dim_path: str, target: str, check
     from tidemark.streaming.sink import upsert_stream
 
     history = stream_history(spark, history_path, max_files_per_trigger)
-    # With max_lateness a key may come once per window: reduce and keep the newest.
-    guard = {"order_by": ["reading_ts"], "unique": False} if max_lateness else {"unique": True}
     if not reload_dim:
-        live = sensor_live(history, read_table(spark, dim_path, schemas.DIMENSION), watermark,
-                           max_lateness=max_lateness)
+        live = sensor_live(history, read_table(spark, dim_path, schemas.DIMENSION), watermark)
         return upsert_stream(live, target, schemas.LIVE_STATE_KEY, checkpoint, output_mode=output_mode,
                              trigger=trigger, defaults=schemas.LIVE_STATE_DEFAULTS,
-                             query_name=query_name, **guard)
+                             query_name=query_name, unique=True)
 
-    latest = sensor_latest(history, watermark, max_lateness)
+    latest = sensor_latest(history, watermark)
     from tidemark.operators.enrich import enrich_from_keyed
     from tidemark.streaming.keyed import KeyedTable
     keyed_dim = KeyedTable.exists(spark, dim_path)
@@ -113,4 +94,4 @@ def start_live_state(spark, history_path: str, dim_path: str, target: str, check
 
     return upsert_stream(latest, target, schemas.LIVE_STATE_KEY, checkpoint, output_mode=output_mode,
                          trigger=trigger, transform=enrich, stage_before_transform=keyed_dim,
-                         defaults=schemas.LIVE_STATE_DEFAULTS, query_name=query_name, **guard)
+                         defaults=schemas.LIVE_STATE_DEFAULTS, query_name=query_name, unique=True)

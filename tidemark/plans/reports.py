@@ -39,14 +39,14 @@ def status_breakdown(live: DataFrame) -> DataFrame:
 
 def landing_report(live: DataFrame, as_of: Column, window_seconds: int,
                    key: str = "sensor_asset_id", event_ts: str = "reading_ts",
-                   updated_ts: str = "updated_ts", approx: bool = False) -> DataFrame:
+                   updated_ts: str = "updated_ts") -> DataFrame:
     """Total rows, rows and keys updated in the window (and per second), staleness, event-to-upsert p50/p95.
 
     "Upserts in the window" counts rows whose last update falls in it (one row
     per key).  Percentiles are exact (``percentile_cont``), in whole ms, and
-    null when the window is empty (``approx=True`` uses ``percentile_approx``).  Aggregates run with partial aggregation;
-    the percentiles use the chunked selection of ``group_quantiles``, so no
-    single task collects the window's values.
+    null when the window is empty.  Aggregates run with partial aggregation;
+    the percentiles come from counts per distinct latency (``group_quantiles``),
+    so no single task collects the window's rows.
     """
     win = in_window(updated_ts, as_of, window_seconds)
     base = live.agg(
@@ -55,12 +55,8 @@ def landing_report(live: DataFrame, as_of: Column, window_seconds: int,
         F.count_distinct(F.when(win, F.col(key))).alias("win_sensors"),
         F.round(micros_between(as_of, F.max(updated_ts)) / F.lit(1000.0)).alias("staleness_ms"))
     lat = (live.where(win)
-               .select(F.lit(0).alias("_g"), (ms_between(updated_ts, event_ts) / F.lit(1000.0)).alias("lat_s")))
-    if approx:  # a sketch with map-side combine, for very large windows
-        q = lat.groupBy("_g").agg(F.percentile_approx("lat_s", 0.5, 10_000).alias("p50"),
-                                  F.percentile_approx("lat_s", 0.95, 10_000).alias("p95"))
-    else:
-        q = group_quantiles(lat, ["_g"], "lat_s", {"p50": 0.5, "p95": 0.95}, method="cont")
+               .select((ms_between(updated_ts, event_ts) / F.lit(1000.0)).alias("lat_s")))
+    q = group_quantiles(lat, [], "lat_s", {"p50": 0.5, "p95": 0.95}, method="cont")
     q = q.select(F.round(F.col("p50") * 1000).alias("p50_ms"), F.round(F.col("p95") * 1000).alias("p95_ms"))
     # Two one-row results side by side: union them and take each column's non-null value.
     both = base.unionByName(q, allowMissingColumns=True)

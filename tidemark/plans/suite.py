@@ -3,9 +3,7 @@
 The data model maps onto the test tables as follows:
 
 - history: ``events`` (key ``user_id``, event time ``ts``, reading ``value``);
-- dimension: ``customer`` ⋈ ``nation``, keyed by ``c_custkey`` = ``user_id``,
-  holding only accounts in good standing (``c_acctbal >= 0``) so that some
-  readings have no dimension row;
+- dimension: ``customer`` ⋈ ``nation``, keyed by ``c_custkey`` = ``user_id``;
 - alarm bands: fixed per market segment (below);
 - ``upd``: a stand-in for ``updated_ts`` derived from the data
   (``ts + (event_id % 5000)`` ms), so clock-dependent reports are deterministic;
@@ -19,28 +17,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions import (
-    classify_status,
-    clip_to_range,
-    compose_id,
-    compose_tag,
-    micros_between,
-    micros_to_ntz,
-)
+from tidemark import schemas
+from tidemark.functions import classify_status, clip_to_range, micros_between, utc_wall_clock
 from tidemark.operators.changes import change_history
-from tidemark.operators.enrich import bounded_broadcast, enrich_left
-from tidemark.operators.expand import expand_units
-from tidemark.operators.latency import delivery_report, fifo_match, nearest_rank
+from tidemark.operators.enrich import enrich_left
+from tidemark.operators.expand import expand_dimension
+from tidemark.operators.latency import delivery_overall, delivery_per_second, delivery_report, fifo_match, nearest_rank
 from tidemark.operators.latest import latest_per_key
 from tidemark.plans.live import live_rows
 from tidemark.plans.reports import alarm_counts, alarms_now, landing_report, recent_updates, status_breakdown
 from tidemark.session import shared_dir
-from tidemark.sources.history import stream_table
+from tidemark.sources.history import from_wire, parse_json_events, read_table, stream_table
+from tidemark.sources.tables import append_history, overwrite
 from tidemark.streaming.keyed import KeyedTable
 from tidemark.streaming.progress import parse_progress, progress_report, running_totals
 from tidemark.streaming.sink import await_completion, insert_stream, upsert_stream
-from tidemark.streaming.sync import sync_snapshot
+from tidemark.streaming.sync import sync_snapshot, sync_table
 
 # ---- fixed values ---------------------------------------------------------
 # Alarm bands (low, high) per market segment; None = no band on that side.
@@ -71,7 +65,7 @@ def _band(seg: Column, side: int) -> Column:
 
 def dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per user: name, nation, segment and alarm bands."""
-    cust = table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
+    cust = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
     seg = F.col("c_mktsegment")
     return (cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left")
@@ -132,17 +126,15 @@ def _events_stream(spark: SparkSession, path: str, max_files: int | None = None)
         "ts", F.col("ts").cast("timestamp"))
 
 
-def _split_events(spark: SparkSession, sf_dir: str, parts: int = 8) -> str:
-    """Write the events table as several files, so a stream sees several micro-batches.
+def events_folder(spark: SparkSession, sf_dir: str, files: int = 8) -> DataFrame:
+    """The events dealt to ``files`` numbers, so every file spans the whole time and later files hold late rows."""
+    return table(spark, sf_dir, "events").withColumn("_file", F.pmod(F.xxhash64("event_id"), F.lit(files)).cast("int"))
 
-    Files are cut by ``maxRecordsPerFile`` as the tasks write them, so no
-    shuffle is needed (the row count comes from Parquet metadata).
-    """
-    path = shared_dir(spark, "events_split")
-    events = table(spark, sf_dir, "events")
-    per_file = max(1, -(-events.count() // parts))
-    events.write.mode("overwrite").option("maxRecordsPerFile", per_file).parquet(path)
-    return path
+
+def write_files(df: DataFrame, path: str, first: int, last: int) -> None:
+    """Append files ``first`` to ``last - 1`` of a numbered frame, one Parquet file each."""
+    part = df.where(F.col("_file").between(first, last - 1))
+    part.repartitionById(last - first, F.col("_file") - first).drop("_file").write.mode("append").parquet(path)
 
 
 LIVE_OUT = ["user_id", "ts", "value", "event_type", "event_id", "c_name", "n_name",
@@ -171,29 +163,59 @@ def q_insert_only_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- S12/T1-T3/T7/T11: the streaming upsert of the live state -----------------
 
 def q_live_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream events → newest per key (watermark 30 s) → dimension → status → keyed upsert."""
+    """Stream events → newest per key (watermark 30 s) → dimension → status → keyed upsert.
+
+    Eight files are eight micro-batches: the state is carried from one to the
+    next, and as every file spans the whole time, each but the first brings
+    late rows.  Between the fourth and the fifth the stream is started anew
+    from its checkpoint.
+    """
     work = shared_dir(spark, "live_state")
-    stream = _events_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet")
-    latest = latest_per_key(stream.withWatermark("ts", "30 seconds"), "user_id", "ts",
-                            ["value", "event_type", "event_id"])
-    out = (live_rows(latest, dimension(spark, sf_dir), "user_id")
-           .withColumn("updated_ts", F.current_timestamp()))
-    q = upsert_stream(out, f"{work}/table", "user_id", f"{work}/checkpoint", output_mode="update",
-                      trigger="availableNow", unique=True, query_name=None)
-    await_completion(q)
+    events, folder = events_folder(spark, sf_dir), f"{work}/events.parquet"
+    for first in (0, 4):
+        write_files(events, folder, first, first + 4)
+        stream = _events_stream(spark, folder, max_files=1)
+        latest = latest_per_key(stream.withWatermark("ts", "30 seconds"), "user_id", "ts",
+                                ["value", "event_type", "event_id"])
+        out = (live_rows(latest, dimension(spark, sf_dir), "user_id")
+               .withColumn("updated_ts", F.current_timestamp()))
+        q = upsert_stream(out, f"{work}/table", "user_id", f"{work}/checkpoint", output_mode="update",
+                          trigger="availableNow", unique=True, query_name=None)
+        await_completion(q)
     return _ntz_out(KeyedTable(spark, f"{work}/table").read().select(*LIVE_OUT), "ts")
 
 
+def q_stream_dir_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that is a folder of files with a name like a file's."""
+    work = shared_dir(spark, "stream_dir")
+    write_files(events_folder(spark, sf_dir), f"{work}/events.parquet", 0, 8)
+    q = insert_stream(_events_stream(spark, f"{work}/events.parquet"), f"{work}/table", f"{work}/checkpoint", trigger="availableNow")
+    await_completion(q)
+    return spark.read.parquet(f"{work}/table").groupBy("event_type").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checkpoint is lost; a new one reads all files again and its batches all count."""
+    work = shared_dir(spark, "stream_restart")
+    events, folder = events_folder(spark, sf_dir), f"{work}/events.parquet"
+    for run, (first, last) in enumerate(((0, 3), (3, 8))):
+        write_files(events, folder, first, last)
+        stream = _events_stream(spark, folder, max_files=2).select("user_id", "ts", "value")
+        q = upsert_stream(stream, f"{work}/table", "user_id", f"{work}/checkpoint-{run}", output_mode="append",
+                          trigger="availableNow", order_by=["ts"])
+        await_completion(q)
+    return _ntz_out(KeyedTable(spark, f"{work}/table").read(), "ts")
+
+
 def q_live_state_stateless(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No stream state; each micro-batch is reduced, enriched and merged with a ts guard."""
     work = shared_dir(spark, "live_state_stateless")
-    stream = _events_stream(spark, _split_events(spark, sf_dir), max_files=1)
-    dim, _ = bounded_broadcast(dimension(spark, sf_dir))  # size checked once per stream
+    write_files(events_folder(spark, sf_dir), f"{work}/events", 0, 8)
+    stream = _events_stream(spark, f"{work}/events", max_files=1)
+    dim = dimension(spark, sf_dir)
 
     def per_batch(b: DataFrame) -> DataFrame:
-        newest = latest_per_key(b, "user_id", "ts", ["value", "event_type", "event_id"])
-        return (newest.join(dim, "user_id", "left")
-                      .withColumn("status", classify_status("value", "alarm_low", "alarm_high")))
+        return live_rows(latest_per_key(b, "user_id", "ts", ["value", "event_type", "event_id"]), dim, "user_id")
 
     q = upsert_stream(stream, f"{work}/table", "user_id", f"{work}/checkpoint", output_mode="append",
                       trigger="availableNow", order_by=["ts"], unique=True, transform=per_batch)
@@ -204,9 +226,9 @@ def q_live_state_stateless(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_composite_key_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A two-column upsert key, newest wins across micro-batches."""
     work = shared_dir(spark, "composite_key")
-    stream = _events_stream(spark, _split_events(spark, sf_dir), max_files=1).select(
-        "user_id", "event_type", "ts", "value")
-    q = upsert_stream(stream, f"{work}/table", "user_id, event_type", f"{work}/checkpoint",
+    write_files(events_folder(spark, sf_dir), f"{work}/events", 0, 8)
+    stream = _events_stream(spark, f"{work}/events", max_files=1).select("user_id", "event_type", "ts", "value")
+    q = upsert_stream(stream, f"{work}/table", "event_type, user_id", f"{work}/checkpoint",
                       output_mode="append", trigger="availableNow", order_by=["ts"])
     await_completion(q)
     return _ntz_out(KeyedTable(spark, f"{work}/table").read(), "ts")
@@ -224,18 +246,26 @@ def q_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- S9/C13, S10/C11, C12 ----------------------------------------------------
 
 def q_wire_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as wire records (times as epoch microseconds) and back to history rows."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    e = table(spark, sf_dir, "events").select("event_id", "ts")
-    e = e.withColumn("ts_micros", micros_between("ts", epoch))
-    e = e.withColumn("ts_back", micros_to_ntz("ts_micros"))
-    return e.select("event_id", "ts_micros", "ts_back", (F.col("ts_back") == F.col("ts")).alias("same"))
+    e = table(spark, sf_dir, "events")
+    micros = micros_between("ts", epoch)
+    wire = e.select(F.col("event_id").cast("string").alias("sensor_asset_id"), F.col("event_type").alias("scada_tag"),
+                    F.col("user_id").cast("string").alias("site_code"), micros.alias("reading_ts"), "value",
+                    F.lit(192).alias("quality_code"), micros.alias("ingest_ts"))
+    back = utc_wall_clock("reading_ts")
+    rows = from_wire(wire).select(F.col("sensor_asset_id").cast("long").alias("event_id"), back.alias("ts_back"), "value", "quality_code")
+    return (rows.join(e.select("event_id", "ts"), "event_id")
+                .select("event_id", micros_between("ts", epoch).alias("ts_micros"), "ts_back", "value", "quality_code",
+                        (F.col("ts_back") == F.col("ts")).alias("same")))
 
 
 def q_json_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
-    k = F.from_json(F.col("props"), "k int").getField("k")
-    return (e.select("event_type", k.alias("k"))
-             .groupBy("event_type").agg(F.sum("k").alias("k_sum"), F.count("k").alias("k_count")))
+    """Bus records whose value is JSON as bytes."""
+    record = F.to_json(F.struct("event_type", F.from_json("props", "k int").getField("k").alias("k"))).cast("binary")
+    bus = table(spark, sf_dir, "events").select(record.alias("value"))
+    parsed = parse_json_events(bus, T.StructType.fromDDL("event_type string, k int"))
+    return parsed.groupBy("event_type").agg(F.sum("k").alias("k_sum"), F.count("k").alias("k_count"))
 
 
 def q_clip_range(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,34 +275,28 @@ def q_clip_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- P4/C5/C6: dimension expansion -------------------------------------------
 
-# ---- fixed values ---------------------------------------------------------
-# Sensor specs attached to every unit: (key, measurement, unit, alarm_low, alarm_high).
-UNIT_SPECS = [
-    ("GBX-OIL-T", "temperature", "degC", 15, 75),
-    ("GEN-BRG-T", "temperature", "degC", 15, 95),
-    ("PWR-ACT", "power", "kW", None, None),
-    ("NAC-VIB", "vibration", "mm/s", None, 8),
-]
-# ---------------------------------------------------------------------------
+def unit_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Specs per plant type from ``part``: each type (a region) takes the part types whose hash it shares."""
+    part = table(spark, sf_dir, "part").groupBy("p_type").agg(
+        F.min("p_partkey").alias("first"), F.min("p_size").alias("low"), F.max("p_size").alias("high"))
+    regions = table(spark, sf_dir, "region").select(F.col("r_name").alias("type"), F.col("r_regionkey").alias("rk"))
+    # One pair of rests per spec and type: an equi-join on the rest of a division.
+    return (part.withColumn("rest", F.explode(F.array(F.col("first") % 5, (F.col("first") + 2) % 5))).join(
+                regions.withColumn("rest", F.col("rk") % 5), "rest")
+            .select("type", F.upper("p_type").alias("key"), F.lower("p_type").alias("measurement_type"),
+                    F.lit("pcs").alias("unit_of_measure"), F.when(F.col("low") > 1, F.col("low")).alias("alarm_low"),
+                    F.col("high").alias("alarm_high")))
 
 
 def q_dim_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations as plants (1-3 units by nation key), region as type, four specs per unit."""
+    """Nations as plants (1-3 units by nation key), region as type, specs of the type for every unit."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     plants = (nation.join(region, nation.n_regionkey == region.r_regionkey)
                     .select(F.col("n_name").alias("site_code"), F.col("r_name").alias("type"),
                             F.upper(F.substring("r_name", 1, 3)).alias("unit_prefix"),
                             (F.col("n_nationkey") % 3 + 1).alias("num_units")))
-    specs = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(m).alias("measurement_type"),
-                               F.lit(u).alias("unit_of_measure"),
-                               F.lit(lo).cast("double").alias("alarm_low"),
-                               F.lit(hi).cast("double").alias("alarm_high"))
-                      for k, m, u, lo, hi in UNIT_SPECS])
-    rows = expand_units(plants).withColumn("spec", F.explode(specs)).select("*", "spec.*").drop("spec")
-    return rows.select(
-        compose_id("site_code", "unit_prefix", "unit", "key").alias("sensor_asset_id"),
-        compose_tag("site_code", "unit_prefix", "unit", "key").alias("scada_tag"),
-        "site_code", "type", F.format_string("%s-%s%02d", "site_code", "unit_prefix", "unit").alias("unit_id"),
+    return expand_dimension(plants, unit_specs(spark, sf_dir)).select(
+        "sensor_asset_id", "scada_tag", "site_code", "type", "unit_id",
         "measurement_type", "unit_of_measure", "alarm_low", "alarm_high")
 
 
@@ -359,8 +383,20 @@ def q_nearest_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_rank(table(spark, sf_dir, "events"), ["event_type"], "value", {"p50": 0.5, "p95": 0.95})
 
 
+def _errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").where(F.col("event_type") == "error").select("user_id", F.col("ts").alias("failed_ts"))
+
+
 def q_delivery_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return delivery_report(_fifo(spark, sf_dir), "user_id")
+    return delivery_report(_fifo(spark, sf_dir), "user_id", _errors(spark, sf_dir))
+
+
+def q_delivery_per_second(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delivery_per_second(_fifo(spark, sf_dir), _errors(spark, sf_dir))
+
+
+def q_delivery_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delivery_overall(_fifo(spark, sf_dir), _errors(spark, sf_dir))
 
 
 # ---- M1, M2: sync and change history --------------------------------------------
@@ -394,12 +430,53 @@ def q_change_history(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "old_o_orderstatus", "new_o_orderstatus")
 
 
+def q_keyed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 on a keyed table: urgent orders repriced and pending ones re-keyed by a merge, between two stored versions."""
+    work = shared_dir(spark, "keyed_changes")
+    o = table(spark, sf_dir, "orders")
+    t = KeyedTable.create(spark, f"{work}/table", o.schema, "o_orderkey")
+    t.overwrite(o, unique=True)
+    before = t.version
+    urgent = o.where(F.col("o_orderpriority") == "1-URGENT").select("o_orderkey", (F.col("o_totalprice") + 100.0).alias("o_totalprice"))
+    t.merge(urgent, unique=True)
+    t.merge(o.where(F.col("o_orderstatus") == "P").withColumn("o_orderkey", F.col("o_orderkey") + 10_000_000), unique=True)
+    out = t.changes(before, columns=["o_totalprice", "o_orderstatus"])
+    return out.select("o_orderkey", "change_type", "old_o_totalprice", "new_o_totalprice", "old_o_orderstatus", "new_o_orderstatus")
+
+
+def q_sync_triggered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1, triggered: a keyed copy of the newest event per user, fed by an available-now stream of the files."""
+    work = shared_dir(spark, "sync_triggered")
+    write_files(events_folder(spark, sf_dir, 4).drop("props"), f"{work}/source", 0, 4)
+    q = sync_table(spark, f"{work}/source", f"{work}/table", "user_id", mode="triggered", checkpoint=f"{work}/checkpoint", order_by=["ts", "event_id"])
+    await_completion(q)
+    return KeyedTable(spark, f"{work}/table").read()
+
+
+def q_history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings appended twice as a clustered history; the second load overwrites a summary."""
+    work = shared_dir(spark, "history_append")
+    e = table(spark, sf_dir, "events")
+    rows = e.select(F.col("user_id").cast("string").alias("sensor_asset_id"), F.col("event_type").alias("scada_tag"),
+                    F.concat(F.lit("S"), (F.col("user_id") % 7).cast("string")).alias("site_code"), F.col("ts").alias("reading_ts"),
+                    "value", F.lit(192).alias("quality_code"), F.col("ts").alias("ingest_ts"))
+    for rest in (0, 1):
+        append_history(rows.where(F.col("user_id") % 2 == rest), f"{work}/history")
+    history = read_table(spark, f"{work}/history", schemas.HISTORY)
+    per_site = history.groupBy("site_code").agg(F.count(F.lit(1)).alias("readings"), F.max("value").alias("max_value"))
+    overwrite(per_site.limit(0), f"{work}/summary")
+    overwrite(per_site, f"{work}/summary")
+    return read_table(spark, f"{work}/summary")
+
+
 QUERIES = {
     "latest_per_key": q_latest_per_key,
     "enrich_left": q_enrich_left,
     "status_classify": q_status_classify,
     "stream_scan_count": q_stream_scan_count,
     "insert_only_stream": q_insert_only_stream,
+    "stream_dir_scan": q_stream_dir_scan,
+    "stream_restart": q_stream_restart,
     "live_state": q_live_state,
     "live_state_stateless": q_live_state_stateless,
     "composite_key_upsert": q_composite_key_upsert,
@@ -419,6 +496,11 @@ QUERIES = {
     "fifo_match": q_fifo_match,
     "nearest_rank": q_nearest_rank,
     "delivery_report": q_delivery_report,
+    "delivery_per_second": q_delivery_per_second,
+    "delivery_overall": q_delivery_overall,
+    "history_append": q_history_append,
     "sync_snapshot": q_sync_snapshot,
+    "sync_triggered": q_sync_triggered,
     "change_history": q_change_history,
+    "keyed_changes": q_keyed_changes,
 }

@@ -13,7 +13,6 @@ DIM = """dim AS (
          CASE c.c_mktsegment WHEN 'BUILDING' THEN 60.0::DOUBLE WHEN 'HOUSEHOLD' THEN 80.0::DOUBLE
               WHEN 'MACHINERY' THEN 75.0::DOUBLE ELSE NULL::DOUBLE END AS alarm_high
   FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
-  WHERE c.c_acctbal >= 0
 )"""
 
 LATEST = """latest AS (
@@ -62,6 +61,10 @@ SQL["insert_only_stream"] = "SELECT event_id, user_id, event_type, ts, value FRO
 
 SQL["live_state"] = BASE + f"SELECT {LIVE_COLS} FROM live"
 
+SQL["stream_dir_scan"] = SQL["stream_scan_count"]
+
+SQL["stream_restart"] = "SELECT user_id, max(ts) AS ts, arg_max(value, ts) AS value FROM events GROUP BY user_id"
+
 SQL["live_state_stateless"] = BASE + f"SELECT {LIVE_COLS} FROM live"
 
 SQL["composite_key_upsert"] = """SELECT user_id, event_type, max(ts) AS ts, arg_max(value, ts) AS value
@@ -70,7 +73,7 @@ FROM events GROUP BY user_id, event_type"""
 SQL["point_lookup"] = BASE + f"SELECT {LIVE_COLS} FROM live WHERE user_id = 7"
 
 SQL["wire_timestamp"] = """SELECT event_id, epoch_us(ts) AS ts_micros, make_timestamp(epoch_us(ts)) AS ts_back,
-       make_timestamp(epoch_us(ts)) = ts AS same
+       value, CAST(192 AS INTEGER) AS quality_code, make_timestamp(epoch_us(ts)) = ts AS same
 FROM events"""
 
 SQL["json_parse"] = """SELECT event_type, CAST(sum(CAST(json_extract(props, '$.k') AS INTEGER)) AS BIGINT) AS k_sum,
@@ -81,12 +84,13 @@ SQL["clip_range"] = """SELECT event_id, value,
        CASE WHEN value IS NOT NULL THEN round(least(100.0::DOUBLE, greatest(1.0::DOUBLE, value)), 3) END AS clipped
 FROM events"""
 
-SQL["dim_expand"] = """WITH specs(key, measurement_type, unit_of_measure, alarm_low, alarm_high) AS (
-  VALUES ('GBX-OIL-T', 'temperature', 'degC', 15.0::DOUBLE, 75.0::DOUBLE),
-         ('GEN-BRG-T', 'temperature', 'degC', 15.0::DOUBLE, 95.0::DOUBLE),
-         ('PWR-ACT', 'power', 'kW', NULL::DOUBLE, NULL::DOUBLE),
-         ('NAC-VIB', 'vibration', 'mm/s', NULL::DOUBLE, 8.0::DOUBLE)
-),
+SQL["dim_expand"] = """WITH kinds AS (
+  SELECT p_type, min(p_partkey) AS first, min(p_size) AS low, max(p_size) AS high FROM part GROUP BY p_type),
+specs AS (
+  SELECT r.r_name AS type, upper(p_type) AS key, lower(p_type) AS measurement_type,
+         CASE WHEN low > 1 THEN CAST(low AS DOUBLE) END AS alarm_low, CAST(high AS DOUBLE) AS alarm_high
+  FROM (SELECT *, first % 5 AS rest FROM kinds UNION ALL SELECT *, (first + 2) % 5 FROM kinds) k
+  JOIN region r ON r.r_regionkey % 5 = k.rest),
 plants AS (
   SELECT n.n_name AS site_code, r.r_name AS type, upper(substr(r.r_name, 1, 3)) AS unit_prefix,
          n.n_nationkey % 3 + 1 AS num_units
@@ -95,8 +99,8 @@ plants AS (
 SELECT printf('%s-%s%02d-%s', p.site_code, p.unit_prefix, g.u, s.key) AS sensor_asset_id,
        printf('%s_%s%02d_%s_PV', p.site_code, p.unit_prefix, g.u, s.key) AS scada_tag,
        p.site_code, p.type, printf('%s-%s%02d', p.site_code, p.unit_prefix, g.u) AS unit_id,
-       s.measurement_type, s.unit_of_measure, s.alarm_low, s.alarm_high
-FROM plants p, generate_series(1, p.num_units) AS g(u), specs s"""
+       s.measurement_type, 'pcs' AS unit_of_measure, s.alarm_low, s.alarm_high
+FROM plants p JOIN specs s ON s.type = p.type, generate_series(1, p.num_units) AS g(u)"""
 
 SQL["alarms_now"] = BASE + """SELECT user_id, ts, value, status, c_mktsegment FROM live
 WHERE status <> 'OK' ORDER BY ts DESC"""
@@ -181,7 +185,43 @@ cnt AS (SELECT user_id, count(sent_ts) AS sent, count(acked_ts) AS acked,
                count(*) FILTER (WHERE sent_ts IS NOT NULL AND acked_ts IS NULL) AS in_flight,
                max(latency_ms) AS max_ms
         FROM m GROUP BY user_id)
-SELECT cnt.*, pct.p50_ms, pct.p95_ms FROM cnt LEFT JOIN pct ON cnt.user_id = pct.user_id"""
+SELECT coalesce(cnt.user_id, e.user_id) AS user_id, coalesce(sent, 0) AS sent, coalesce(acked, 0) AS acked,
+       coalesce(in_flight, 0) AS in_flight, max_ms, pct.p50_ms, pct.p95_ms, coalesce(e.errors, 0) AS errors
+FROM cnt LEFT JOIN pct ON cnt.user_id = pct.user_id
+FULL JOIN (SELECT user_id, count(*) AS errors FROM events WHERE event_type = 'error' GROUP BY user_id) e ON e.user_id = cnt.user_id"""
+
+SQL["delivery_per_second"] = f"""WITH {FIFO},
+x AS (SELECT date_trunc('second', sent_ts) AS second, 1 AS s, 0 AS a, 0 AS e, 0 AS k, NULL::DOUBLE AS latency_ms FROM m WHERE sent_ts IS NOT NULL
+      UNION ALL SELECT date_trunc('second', acked_ts), 0, 1, 0, CASE WHEN sent_ts IS NULL THEN 0 ELSE 1 END, latency_ms FROM m WHERE acked_ts IS NOT NULL
+      UNION ALL SELECT date_trunc('second', ts), 0, 0, 1, 0, NULL FROM events WHERE event_type = 'error'),
+per AS (SELECT second, CAST(sum(s) AS BIGINT) AS sent, CAST(sum(a) AS BIGINT) AS acked, CAST(sum(e) AS BIGINT) AS errors,
+               sum(s) - sum(k) AS d, max(latency_ms) AS max_ms FROM x GROUP BY second),
+pct AS {_nearest("latency_ms", "second", "x", {"p50_ms": 0.5, "p95_ms": 0.95})}
+SELECT per.second, sent, acked, errors, max_ms, CAST(sum(d) OVER (ORDER BY per.second) AS BIGINT) AS in_flight, p50_ms, p95_ms
+FROM per LEFT JOIN pct ON pct.second = per.second"""
+
+SQL["delivery_overall"] = f"""WITH {FIFO},
+g AS (SELECT *, 0 AS one FROM m),
+pct AS {_nearest("latency_ms", "one", "g", {"p50_ms": 0.5, "p95_ms": 0.95})}
+SELECT count(sent_ts) AS sent, count(acked_ts) AS acked, count(*) FILTER (WHERE sent_ts IS NOT NULL AND acked_ts IS NULL) AS in_flight,
+       (SELECT count(*) FROM events WHERE event_type = 'error') AS errors,
+       CASE WHEN max(acked_ts) > min(sent_ts) THEN count(acked_ts) * 1000.0::DOUBLE / ((epoch_us(max(acked_ts)) - epoch_us(min(sent_ts))) / 1000.0::DOUBLE) END AS acked_per_s,
+       max(latency_ms) AS max_ms, (SELECT p50_ms FROM pct) AS p50_ms, (SELECT p95_ms FROM pct) AS p95_ms
+FROM m"""
+
+SQL["history_append"] = """SELECT 'S' || CAST(user_id % 7 AS VARCHAR) AS site_code, count(*) AS readings, max(value) AS max_value
+FROM events GROUP BY 1"""
+
+SQL["sync_triggered"] = """SELECT user_id, max(ts) AS ts, arg_max(value, ts) AS value, arg_max(event_type, ts) AS event_type,
+       arg_max(event_id, ts) AS event_id FROM events GROUP BY user_id"""
+
+SQL["keyed_changes"] = """WITH v2 AS (
+  SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice + 100.0::DOUBLE ELSE o_totalprice END AS o_totalprice FROM orders
+  UNION ALL SELECT o_orderkey + 10000000, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'P')
+SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN a.o_orderkey IS NULL THEN 'insert' ELSE 'update' END AS change_type,
+       a.o_totalprice AS old_o_totalprice, b.o_totalprice AS new_o_totalprice, a.o_orderstatus AS old_o_orderstatus, b.o_orderstatus AS new_o_orderstatus
+FROM orders a FULL JOIN v2 b ON a.o_orderkey = b.o_orderkey
+WHERE a.o_orderkey IS NULL OR a.o_totalprice IS DISTINCT FROM b.o_totalprice OR a.o_orderstatus IS DISTINCT FROM b.o_orderstatus"""
 
 SQL["sync_snapshot"] = "SELECT * FROM customer"
 

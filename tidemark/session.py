@@ -3,18 +3,20 @@
 Everything the library writes between stages (staged micro-batches, keyed
 tables created by the demo queries, stream checkpoints) goes below the folder
 the cluster names in ``spark.checkpoint.dir``.  Only when that is unset (local
-runs, tests) do we pick a local temporary folder and register it.
+runs, tests) do we pick a local temporary folder and register it; on a cluster
+that is an error, as executors do not share the driver's disk.
 """
 
 from __future__ import annotations
 
-import os
 import posixpath
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from tidemark.sources.files import FileSystem
+
 
 def get_spark(master: str | None = None, app: str = "tidemark",
               shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
@@ -56,7 +58,9 @@ def _checkpoint_base(spark: SparkSession) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
-        # Unset: a local run or a test.  A cluster must name a shared folder.
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir is not set: on {master} it must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir() or base
@@ -68,6 +72,5 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     base = _checkpoint_base(spark)
     tail = list(parts) + ([uuid.uuid4().hex] if unique else [])
     path = posixpath.join(base, "tidemark", *tail)
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
+    FileSystem(spark, path).mkdirs(path)
     return path

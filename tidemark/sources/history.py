@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions import micros_to_ts
+from tidemark.sources.files import FileSystem
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -24,22 +25,22 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
                  max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None) -> DataFrame:
-    """Incremental read of an append-only Parquet table (or one file of a folder).
+    """Incremental read of an append-only Parquet table: a folder, or one file.
 
     New files are picked up in arrival order; ``max_files_per_trigger`` bounds
-    one micro-batch (backpressure).  A path ending in ``.parquet`` that names a
-    single file is read through a glob filter on its folder.
+    one micro-batch (backpressure).  A file (the file system is asked, the
+    name does not decide) is read through a glob filter on its folder.
     """
     if "/" not in path and spark.catalog.tableExists(path):
         return spark.readStream.table(path)
-    folder, name = path, None
-    if path.endswith(".parquet"):
-        folder, name = posixpath.dirname(path), posixpath.basename(path)
     if schema is None:
         schema = spark.read.parquet(path).schema
     r = spark.readStream.schema(schema)
-    if name:
-        r = r.option("pathGlobFilter", name)
+    folder = path
+    if FileSystem(spark, path).is_file(path):
+        # Only that file, and no partition columns guessed from neighbouring folders.
+        folder = posixpath.dirname(path)
+        r = r.option("pathGlobFilter", posixpath.basename(path)).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if max_bytes_per_trigger:

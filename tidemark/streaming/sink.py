@@ -5,28 +5,43 @@ micro-batch is merged as an ordinary batch job on the executors.  It accepts
 output modes ``update`` and ``append`` (both upsert; ``append`` inserts keys
 that do not exist yet and updates those that do) and rejects ``complete``.
 Replays are idempotent: the merge records the last batch id per writer (the
-checkpoint location), so the batch Spark re-runs after a failure is skipped if
-it had already been committed.
+query id that Spark keeps in the checkpoint), so the batch Spark re-runs after
+a failure is skipped if it had already been committed, and a new checkpoint is
+a new writer whose batches all count.
 """
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
+from collections import OrderedDict
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.sources.files import FileSystem
-from tidemark.streaming.keyed import KEY_TYPES, ConcurrentWriteError, KeyedTable
+from tidemark.streaming.keyed import KEY_TYPES, KeyedTable
+
+# Rows written per (query id, batch id), read by the progress log, since a
+# foreachBatch sink reports numOutputRows = -1.  The oldest are forgotten.
+SINK_ROWS: OrderedDict[tuple[str, int], int] = OrderedDict()
+SINK_ROWS_KEPT = 10_000
+
+
+def _note_rows(writer: str, batch_id: int, n: int) -> None:
+    SINK_ROWS[(writer, int(batch_id))] = n
+    while len(SINK_ROWS) > SINK_ROWS_KEPT:
+        SINK_ROWS.popitem(last=False)
+
+
+def query_id(spark, checkpoint: str) -> str:
+    """The id of the query that a checkpoint belongs to."""
+    return json.loads(FileSystem(spark, checkpoint).read_text(f"{checkpoint.rstrip('/')}/metadata"))["id"]
 
-# Rows written per (writer, batch id), read by the progress log, since a
-# foreachBatch sink reports numOutputRows = -1.
-SINK_ROWS: dict[tuple[str, int], int] = {}
-# Query id -> writer, filled when a query starts.
-QUERY_WRITERS: dict[str, str] = {}
 
 DEFAULT_TRIGGER = "1 second"
 
@@ -52,7 +67,7 @@ def validate_key(schema: T.StructType, keys: Sequence[str], target_keys: Sequenc
         t = schema[k].dataType
         if not isinstance(t, KEY_TYPES):
             raise TypeError(f"upsert key column {k!r} must be numeric or string, not {t.simpleString()}")
-    if target_keys is not None and list(target_keys) != list(keys):
+    if target_keys is not None and sorted(target_keys) != sorted(keys):
         raise ValueError(f"upsert key {list(keys)} differs from the target's key {list(target_keys)}")
 
 
@@ -101,56 +116,70 @@ def trigger_args(trigger: str | Mapping | None) -> dict:
     return spec
 
 
+#: Words in the errors of lost connections and stores that are briefly not there.
+TRANSIENT = ("timed out", "timeout", "connection", "temporarily", "unavailable", "throttl", "slow down", "reset by peer")
+
+
 def _merge_with_retry(table: KeyedTable, batch: DataFrame, writer: str, batch_id: int,
                       order_by, unique: bool, retries: int, backoff: float) -> int:
+    """Retries what may pass: a merge commits at its end only, so running it again is safe.
+
+    Errors in the plan or the data come back at once.  Commits of other
+    writers are no errors (the commit takes the next number).
+    """
     for attempt in range(retries + 1):
         try:
             return table.merge(batch, writer=writer, batch_id=batch_id, order_by=order_by, unique=unique)
-        except (ConcurrentWriteError, ValueError, TypeError):
+        except (ValueError, TypeError, AnalysisException):
             raise
-        except Exception:
-            if attempt == retries:
+        except Exception as e:
+            if attempt == retries or not (isinstance(e, OSError) or any(w in str(e).lower() for w in TRANSIENT)):
                 raise
             time.sleep(backoff * (2 ** attempt))
     return 0
 
 
-def upsert_batch_fn(target: str, keys: Sequence[str], writer: str,
+def upsert_batch_fn(target: str, keys: Sequence[str], writer: str | None = None,
                     order_by: Sequence[str] | str | None = None, unique: bool = False,
                     transform: Callable[[DataFrame], DataFrame] | None = None,
                     defaults: Mapping[str, str] | None = None, buckets: int | None = None,
                     retries: int = 2, backoff: float = 1.0, vacuum_every: int = 100,
-                    keep_versions: int = 10,
+                    retain_seconds: float = 3600.0, checkpoint: str | None = None,
                     stage_before_transform: bool = False) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function of an upsert stream (usable on its own for batch jobs).
 
-    Every ``vacuum_every`` batches, versions older than the newest
-    ``keep_versions`` are dropped, so a continuous job keeps bounded storage.
+    The writer is ``writer`` or the query id in ``checkpoint``.  Every
+    ``vacuum_every`` batches, what only reads older than ``retain_seconds``
+    could use is dropped, so a continuous job keeps bounded storage.
     ``stage_before_transform`` writes the raw micro-batch to the shared folder
     before ``transform`` runs, for transforms that run several actions (each
     action on a micro-batch would otherwise re-run a stateful upstream plan).
     """
     keys = list(keys)
     opened: dict[str, KeyedTable] = {}
+    named = {"writer": writer}
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if named["writer"] is None:
+            named["writer"] = query_id(spark, checkpoint)
+        writer = named["writer"]
         known = opened.get("t") or (KeyedTable(spark, target) if KeyedTable.exists(spark, target) else None)
         if known is not None and known.last_batch(writer) >= batch_id:
-            SINK_ROWS[(writer, int(batch_id))] = 0      # a replay of a committed batch
+            _note_rows(writer, batch_id, 0)      # a replay of a committed batch
             return
         raw_dir = None
         if transform and stage_before_transform:
-            raw_dir = f"{target.rstrip('/')}/_staging/in-{uuid.uuid4().hex}"
+            raw_dir = f"{target.rstrip('/')}/data/{int(time.time()):012d}-in-{uuid.uuid4().hex}"
             batch.write.mode("errorifexists").parquet(raw_dir)
             batch = spark.read.schema(batch.schema).parquet(raw_dir)
         try:
-            _upsert(spark, transform(batch) if transform else batch, batch_id)
+            _upsert(spark, transform(batch) if transform else batch, batch_id, writer)
         finally:
             if raw_dir:
                 FileSystem(spark, raw_dir).delete(raw_dir)
 
-    def _upsert(spark, b: DataFrame, batch_id: int) -> None:
+    def _upsert(spark, b: DataFrame, batch_id: int, writer: str) -> None:
         table = opened.get("t")
         if table is None:
             if KeyedTable.exists(spark, target):
@@ -163,9 +192,9 @@ def upsert_batch_fn(target: str, keys: Sequence[str], writer: str,
         else:
             validate_key(b.schema, keys)
         n = _merge_with_retry(table, b, writer, batch_id, order_by, unique, retries, backoff)
-        SINK_ROWS[(writer, int(batch_id))] = n
+        _note_rows(writer, batch_id, n)
         if vacuum_every and batch_id > 0 and batch_id % vacuum_every == 0:
-            table.vacuum(keep_versions)
+            table.vacuum(retain_seconds)
 
     return run
 
@@ -180,7 +209,7 @@ def upsert_stream(df: DataFrame, target: str, key: str | Sequence[str], checkpoi
     (a path, or a table name placed under the warehouse folder).
 
     - ``key``: upsert key, a column name, comma-separated names or a list;
-    - ``checkpoint``: required; it also identifies the writer for replay checks;
+    - ``checkpoint``: required; the query id kept in it identifies the writer for replay checks;
     - ``order_by``: keep the newer of stored and incoming rows by these columns
       (default: incoming always wins, like ``ON CONFLICT DO UPDATE``);
     - ``unique``: the stream has at most one row per key per batch (true for the
@@ -198,15 +227,13 @@ def upsert_stream(df: DataFrame, target: str, key: str | Sequence[str], checkpoi
         validate_key(df.schema, keys)
     if KeyedTable.exists(df.sparkSession, target) and transform is None:
         validate_key(df.schema, keys, KeyedTable(df.sparkSession, target).keys)
-    fn = upsert_batch_fn(target, keys, checkpoint, order_by, unique, transform, defaults, buckets, retries,
-                         stage_before_transform=stage_before_transform)
+    fn = upsert_batch_fn(target, keys, None, order_by, unique, transform, defaults, buckets, retries,
+                         checkpoint=checkpoint, stage_before_transform=stage_before_transform)
     w = (df.writeStream.outputMode(mode).foreachBatch(fn)
          .option("checkpointLocation", checkpoint).trigger(**trigger_args(trigger)))
     if query_name:
         w = w.queryName(query_name)
-    q = w.start()
-    QUERY_WRITERS[str(q.id)] = checkpoint
-    return q
+    return w.start()
 
 
 def insert_stream(df: DataFrame, path: str, checkpoint: str, trigger: str | Mapping | None = None,
