@@ -9,14 +9,10 @@ from tidemark.functions.scalar import (
     micros_to_ntz,
     micros_to_ts,
     ms_between,
-    seconds_between,
-    to_ntz,
-    to_ts,
-    ts_to_micros,
     utc_wall_clock,
 )
 
 __all__ = [
     "classify_status", "clip_to_range", "compose_id", "compose_tag", "micros_between", "micros_to_ntz", "micros_to_ts",
-    "ms_between", "seconds_between", "to_ntz", "to_ts", "ts_to_micros", "utc_wall_clock",
+    "ms_between", "utc_wall_clock",
 ]

@@ -60,20 +60,6 @@ def micros_to_ntz(micros: ColumnOrName) -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=secs)
 
 
-def ts_to_micros(ts: ColumnOrName) -> Column:
-    """TIMESTAMP (or TIMESTAMP_NTZ, read as UTC) to epoch microseconds."""
-    return F.unix_micros(to_ts(ts))
-
-
-def to_ts(ts: ColumnOrName) -> Column:
-    """Zone-less timestamps are read in the session zone (UTC in our sessions)."""
-    return _c(ts).cast("timestamp")
-
-
-def to_ntz(ts: ColumnOrName) -> Column:
-    return _c(ts).cast("timestamp_ntz")
-
-
 def utc_wall_clock(ts: ColumnOrName) -> Column:
     """An instant (TIMESTAMP) as the TIMESTAMP_NTZ of its UTC wall clock, whatever the session zone."""
     return F.to_utc_timestamp(_c(ts), F.current_timezone()).cast("timestamp_ntz")
@@ -84,11 +70,6 @@ def micros_between(later: ColumnOrName, earlier: ColumnOrName) -> Column:
     return F.timestamp_diff("MICROSECOND", _c(earlier), _c(later))
 
 
-def seconds_between(later: ColumnOrName, earlier: ColumnOrName) -> Column:
-    """Fractional seconds from ``earlier`` to ``later``."""
-    return micros_between(later, earlier) / F.lit(1_000_000.0)
-
-
 def ms_between(later: ColumnOrName, earlier: ColumnOrName) -> Column:
     """Fractional milliseconds from ``earlier`` to ``later``."""
     return micros_between(later, earlier) / F.lit(1000.0)
