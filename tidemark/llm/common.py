@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import pickle
 
+import numpy as np
+import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,10 @@ from tidemark.session import shared_dir
 
 #: Bytes of input text aimed at in one range or hash partition of a text shuffle.
 TARGET_PARTITION_BYTES = 256 << 20
+#: For SQL that lower-cases these letters only.
+ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Ids (8 bytes each) up to which rows are picked by a broadcast join.
+BROADCAST_IDS = 2_000_000
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +38,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def picked(df: DataFrame, ids: DataFrame, col: str, how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` whose ``col`` is in the written table ``ids`` (``left_anti``: is not).
+
+    Up to ``BROADCAST_IDS`` ids are broadcast, so ``df`` is not shuffled; more are joined by a shuffle.
+    """
+    ids = ids.select(col).distinct()
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return df.join(F.broadcast(ids) if few else ids, col, how)
+
+
 def partitions_for(spark: SparkSession, total_bytes: int | None) -> int:
     """Partitions for a text shuffle: the session's number, more when a partition would be too large."""
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -43,6 +59,23 @@ def text_or_empty(col: str):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+class WordHashes(dict):
+    """64-bit hashes of words (bytes), computed once while the cache holds them."""
+
+    def __init__(self, limit: int = 500_000):
+        super().__init__()
+        self.limit = limit
+
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > self.limit:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
 def share(spark: SparkSession, value):
     """Broadcast ``value`` pickled by value; tasks get it back with :func:`shared`."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))

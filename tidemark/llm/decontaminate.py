@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import load, share, shared
+from tidemark.llm.common import ASCII_LOWER, ASCII_UPPER, load, share, shared
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 #: Item words in one broadcast automaton (at most twice as many states, about 0.5 KB each).
@@ -304,6 +304,22 @@ def op1(spark, sf_dir: str) -> DataFrame:
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+OP1_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+g AS (SELECT item, least(10, len(ws)) AS n, list_slice(ws, i, i + least(10, len(ws)) - 1) AS g
+      FROM b, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS u(i) WHERE len(ws) > 0),
+sizes AS (SELECT DISTINCT n FROM g),
+w AS (SELECT doc_id, n, i, list_slice(ws, i, i + n - 1) AS g FROM d, sizes, unnest(range(1, len(ws) - n + 2)) AS u(i)),
+m AS (SELECT w.doc_id, w.n, w.i, g.item FROM w JOIN g ON w.n = g.n AND w.g = g.g),
+hit AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM (SELECT DISTINCT doc_id, n, i FROM m), unnest(range(0, n)) AS u(k) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM m) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+
 def brute_force(docs, items, window: int = WINDOW) -> dict:
     """What op1 must return, word window by word window (for tests)."""
     def words(t):

@@ -31,23 +31,19 @@ import math
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import load, written
+from tidemark.llm.common import ASCII_LOWER, ASCII_UPPER, WordHashes, load, picked, written
 from tidemark.llm.components import connected
 
 WORDS = 4
 SIMILARITY = (80, 100)
 BANDS, ROWS = 48, 6
-CACHE_WORDS = 500_000
 #: Pairs of one leader that are verified in one group, as a mean.
 CHUNK_PAIRS = 2048
 #: Shingles (8 bytes each) of a candidate group that one task solves.
 GROUP_SHINGLES = 4_000_000
-#: Ids (8 bytes each) up to which the documents of candidates are picked by a broadcast join.
-BROADCAST_IDS = 2_000_000
 
 _U = np.uint64
 _MULT = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -67,20 +63,10 @@ class Shingles:
     """Text to the sorted distinct 64-bit hashes of its word shingles."""
 
     def __init__(self, words: int = WORDS):
-        self.words, self.cache = words, {}
-
-    def word_hashes(self, text: str | None) -> np.ndarray:
-        cache = self.cache
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        words = (text or "").encode("utf-8", "replace").lower().split()
-        for w in set(words):
-            if w not in cache:
-                cache[w] = xxhash.xxh64_intdigest(w)
-        return np.fromiter(map(cache.__getitem__, words), _U, len(words))
+        self.words, self.hashes = words, WordHashes()
 
     def __call__(self, text: str | None) -> np.ndarray:
-        h = self.word_hashes(text)
+        h = self.hashes.of((text or "").encode("utf-8", "replace").lower().split())
         n = len(h)
         if n == 0:
             return h
@@ -324,9 +310,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = written(classes, "near_classes")
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        ids = ids.select(F.col("id").alias(id_col)).distinct()
-        ids = F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
-        return _sets(docs.select(id_col, text_col).join(ids, id_col, "left_semi"), id_col, text_col, words)
+        return _sets(picked(docs.select(id_col, text_col), ids.select(F.col("id").alias(id_col)), id_col), id_col, text_col, words)
 
     parent = components_of(classes.select(F.col("rep").alias("id"), F.explode("bands").alias("key")),
                            classes.groupBy(F.col("rep").alias("id")).agg(F.sum("n").alias("n")), sets_of, similarity)
@@ -356,6 +340,19 @@ def op7(spark, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+OP7_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_LOWER}'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, list_slice(ws, i, i + least(4, len(ws)) - 1) AS g
+      FROM d, unnest(range(1, len(ws) - least(4, len(ws)) + 2)) AS u(i) WHERE len(ws) > 0),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT p.a, p.b FROM p JOIN c x ON x.doc_id = p.a JOIN c y ON y.doc_id = p.b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b)
+SELECT d.doc_id, coalesce(c.n, 0) AS n_shingles, m.root AS component_id, d.doc_id = m.root AS kept
+FROM d LEFT JOIN c USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS root FROM reach GROUP BY a) m USING (doc_id)
+"""
+
+
 def brute_force(docs: list[tuple], words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> dict:
     """id -> (n_shingles, component_id) by comparing all pairs (for tests)."""
     import re

@@ -29,7 +29,8 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_decontaminate": decontaminate.OP1_SQL,
     "op5_preference": preference.OP5_SQL,
-    "op8_suffix_dedup": suffix_dedup.op8,
+    "op7_near_dedup": near_dedup.OP7_SQL,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
 }
