@@ -12,7 +12,9 @@ smaller id.  The work is cut down in exact steps before suffixes are sorted:
    as far as the windows of the anchor reach.  Each task sorts its suffixes, cuts them into buckets and
    front-codes each run (length of the common prefix, rest).  A bucket merges its runs with a loser tree
    whose nodes keep the common prefix with the last winner, so known prefixes are never compared again.
-   Equal suffixes come out together; their least id covers the others.
+   Equal suffixes come out together; their least id covers the others.  Equal suffixes of one run are
+   settled in the task: only the least id goes on.  Suffixes of a hot anchor (a line that very many texts
+   share) go on as single windows, which are dealt by their own hash and so do not meet in one task.
 4. Distinct suffixes of one bucket may still share windows (a passage's ends).  Their windows are grouped
    by a hash and each is compared in full with its group's first, so a hash never decides alone.
 
@@ -34,19 +36,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import load, text_or_empty, written
-from tidemark.llm.fingerprints import by_value, repeated
+from tidemark.llm.common import load, picked, text_or_empty, written
+from tidemark.llm.fingerprints import SCATTERED, by_value, gathered, repeated, scattered, squeezed, unsqueezed
 from tidemark.llm.near_dedup import mix
 
 LENGTH = 50
 K = 19
 #: Text bytes whose anchors meet in one bucket.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 8 << 20
+#: Suffixes that a task sorts into one run, and windows that a bucket compares at a time.
+RUN_SUFFIXES, PART_WINDOWS = 300_000, 500_000
 _NO_ID = (1 << 63) - 1
 _U = np.uint64
 _BACK = LENGTH - K            # bytes before an anchor that its windows reach
 _CTX = _BACK + LENGTH         # bytes around an anchor
 _KEY = _CTX + 4               # and the clipped lengths and first and last window
+_PLACES = (*range(0, LENGTH - 8, 8), LENGTH - 8)   # 8-byte pieces that make up a window
 _M = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -119,23 +124,35 @@ def _anchor_hashes():
 
 # 3. Sorted suffix runs and their merge
 
-def _suffixes(text: bytes, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys (rows of bytes), offsets and bucket numbers (before modulo) of the wanted anchors of a text."""
+def _suffixes(text: bytes, wanted: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys (rows of bytes), offsets and bucket hashes of the wanted anchors and of the windows of hot ones."""
     h, a = anchors(text)
     s0 = _runs(a)
     s1 = np.concatenate((s0[1:], [len(a)])) - 1
     p = a[s0]
-    at = np.isin(p, wanted)
-    s0, s1, p = s0[at], s1[at], p[at]
     padded = np.frombuffer(bytes(_BACK) + text + bytes(LENGTH), np.uint8)
+    split = np.isin(p, hot)
+    n = (s1 - s0 + 1)[split]
+    start = np.repeat(s0[split] - np.cumsum(n) + n, n) + np.arange(n.sum())
+    at = np.isin(p, wanted) & ~split
+    s0, s1, p = s0[at], s1[at], p[at]
+    key = np.zeros((len(p) + len(start), _KEY), np.uint8)
     around = padded[p[:, None] + np.arange(_CTX)]
-    key = np.empty((len(p), _KEY), np.uint8)
-    key[:, :LENGTH] = around[:, _BACK:]
-    key[:, LENGTH:_CTX] = around[:, :_BACK][:, ::-1]
-    key[:, _CTX] = np.minimum(LENGTH, len(text) - p)
-    key[:, _CTX + 1] = np.minimum(_BACK, p)
-    key[:, _CTX + 2], key[:, _CTX + 3] = p - s0, p - s1
-    return key, p, (mix(h[p]) & _U(0xFFFFFFFF))
+    own = key[:len(p)]
+    own[:, :LENGTH] = around[:, _BACK:]
+    own[:, LENGTH:_CTX] = around[:, :_BACK][:, ::-1]
+    own[:, _CTX] = np.minimum(LENGTH, len(text) - p)
+    own[:, _CTX + 1] = np.minimum(_BACK, p)
+    own[:, _CTX + 2], own[:, _CTX + 3] = p - s0, p - s1
+    # A window is a suffix of LENGTH bytes that reaches no byte back.
+    windows = key[len(p):]
+    windows[:, :LENGTH] = padded[(_BACK + start)[:, None] + np.arange(LENGTH)]
+    windows[:, _CTX] = LENGTH
+    deal = np.zeros(len(start), _U)
+    v = _loads(padded)
+    for j, o in enumerate(_PLACES):
+        deal = mix((deal + _M[j % 3]) ^ v[_BACK + start + o])
+    return key, np.concatenate((p, start)), np.concatenate((mix(h[p]), deal)) & _U(0xFFFFFFFF)
 
 
 def front_coded(keys: np.ndarray) -> tuple[bytes, bytes]:
@@ -147,35 +164,47 @@ def front_coded(keys: np.ndarray) -> tuple[bytes, bytes]:
 
 
 def _suffix_runs(joined: DataFrame, buckets: int) -> DataFrame:
-    """Per batch and bucket one sorted front-coded run.  ``joined``: oid, text, digest, wanted (list of offsets)."""
+    """Sorted front-coded runs, by bucket.  ``joined``: oid, text, digest, wanted and hot (offsets).
+
+    A row without ``rest`` holds spans that are known to be covered: ids, first and last bytes.
+    """
+    def sorted_run(keys, pos, oid, bucket):
+        keys, pos, oid, bucket = np.concatenate(keys), np.concatenate(pos), np.concatenate(oid), np.concatenate(bucket)
+        order = np.argsort(keys.view(f"S{_KEY}").ravel(), kind="stable")
+        keys, pos, oid, bucket = keys[order], pos[order], oid[order], bucket[order]
+        # Equal suffixes: the least id goes on (each of its places), the others are covered.
+        first = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]).any(axis=1))))
+        least = np.repeat(np.minimum.reduceat(oid, first), np.diff(np.concatenate((first, [len(oid)]))))
+        done, rows = oid > least, []
+        if done.any():
+            begin, end = pos[done].astype(np.int64) - keys[done, _CTX + 2], pos[done].astype(np.int64) - keys[done, _CTX + 3] + LENGTH
+            rows.append((int(oid[0] % buckets), b"", b"", squeezed(oid[done].astype("<i8")), squeezed(begin.astype("<u4")), squeezed(end.astype("<u4"))))
+        keys, pos, oid, bucket = keys[~done], pos[~done], oid[~done], bucket[~done]
+        for b, at in by_value((bucket % _U(buckets)).astype(np.int64)):
+            ids, local = np.unique(oid[at], return_inverse=True)
+            lcp, rest = front_coded(keys[at])
+            rows.append((b, squeezed(np.frombuffer(lcp, np.uint8)), squeezed(np.frombuffer(rest, np.uint8)), squeezed(ids.astype("<i8")),
+                         squeezed(local.astype("<u4")), squeezed(pos[at])))
+        cols = list(zip(*rows))
+        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])],
+                                          names=["bucket", "lcp", "rest", "ids", "doc", "pos"])
+
     def run(batches):
+        held, n = ([], [], [], []), 0
         for batch in batches:
-            keys, pos, oid, bucket = [], [], [], []
-            for i, t, d, w in zip(*batch.columns):
+            for i, t, d, w, hot in zip(*batch.columns):
                 text = t.as_buffer().to_pybytes()
-                if _digest(text) != d.as_py():
+                if _digest(text) != d.as_py() or len(text) < LENGTH:
                     continue   # another row with the same id
-                wanted = np.concatenate([np.frombuffer(x, "<u4") for x in w.as_py()]).astype(np.int64)
-                if len(text) < LENGTH:
-                    continue
-                key, p, b = _suffixes(text, wanted)
-                keys.append(key)
-                pos.append(p)
-                bucket.append(b)
-                oid.append(np.full(len(p), i.as_py()))
-            if not keys:
-                continue
-            keys, pos, oid, bucket = np.concatenate(keys), np.concatenate(pos).astype("<u4"), np.concatenate(oid), np.concatenate(bucket)
-            order = np.argsort(keys.view(f"S{_KEY}").ravel(), kind="stable")
-            keys, pos, oid, bucket = keys[order], pos[order], oid[order], (bucket[order] % _U(buckets)).astype(np.int64)
-            rows = []
-            for b, at in by_value(bucket):
-                ids, local = np.unique(oid[at], return_inverse=True)
-                lcp, rest = front_coded(keys[at])
-                rows.append((b, lcp, rest, ids.astype("<i8").tobytes(), local.astype("<u4").tobytes(), pos[at].tobytes()))
-            cols = list(zip(*rows))
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])],
-                                             names=["bucket", "lcp", "rest", "ids", "doc", "pos"])
+                key, p, b = _suffixes(text, *(np.frombuffer(x.as_py(), "<u4").astype(np.int64) for x in (w, hot)))
+                for of, x in zip(held, (key, p.astype("<u4"), np.full(len(p), i.as_py()), b)):
+                    of.append(x)
+                n += len(p)
+                if n >= RUN_SUFFIXES:
+                    yield sorted_run(*held)
+                    held, n = ([], [], [], []), 0
+        if n:
+            yield sorted_run(*held)
 
     return joined.mapInArrow(run, "bucket int, lcp binary, rest binary, ids binary, doc binary, pos binary")
 
@@ -269,43 +298,57 @@ def merged(runs: list[_Run]):
 
 # 4. Covered spans of a bucket
 
-def _least_by_window(ctx: np.ndarray, back: np.ndarray, least: np.ndarray) -> np.ndarray:
-    """For windows that start ``back`` bytes before the anchor of contexts: the least id with equal bytes."""
-    flat = np.concatenate((ctx.ravel(), np.zeros(8, np.uint8)))
+def _least_by_window(flat: np.ndarray, at: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """For windows that start at offsets ``at`` of ``flat``: the least id with equal bytes."""
     v = _loads(flat)
-    at = np.arange(len(ctx)) * ctx.shape[1] + _BACK - back
-    parts = [v[at + o] for o in (*range(0, LENGTH - 8, 8), LENGTH - 8)]
     h = np.zeros(len(at), _U)
-    for j, x in enumerate(parts):
-        h = mix((h + _M[j % 3]) ^ x)
-    order = np.argsort(h, kind="stable")
-    first = np.flatnonzero(np.concatenate(([True], h[order][1:] != h[order][:-1])))
-    size = np.diff(np.concatenate((first, [len(order)])))
-    head = np.repeat(order[first], size)
-    same = np.ones(len(order), bool)
-    for x in parts:
-        same &= x[order] == x[head]
-    if not same.all():
-        # Two strings with one hash: group by the bytes themselves.
-        found: dict[bytes, int] = {}
-        keys = [flat[a:a + LENGTH].tobytes() for a in at.tolist()]
-        for key, i in zip(keys, least.tolist()):
-            found[key] = min(i, found.get(key, i))
-        return np.asarray([found[key] for key in keys])
-    out = np.empty(len(order), np.int64)
-    out[order] = np.repeat(np.minimum.reduceat(least[order], first), size)
+    for j, o in enumerate(_PLACES):
+        h = mix((h + _M[j % 3]) ^ v[at + o])
+    out = np.empty(len(at), np.int64)
+    # Parts by hash keep equal windows together and bound the memory.
+    for _, part in by_value((h % _U(len(at) // PART_WINDOWS + 1)).astype(np.int64)):
+        order = part[np.argsort(h[part], kind="stable")]
+        first = np.flatnonzero(np.concatenate(([True], h[order][1:] != h[order][:-1])))
+        head = np.repeat(order[first], np.diff(np.concatenate((first, [len(order)]))))
+        if all((v[at[order] + o] == v[at[head] + o]).all() for o in _PLACES):
+            out[order] = np.repeat(np.minimum.reduceat(least[order], first), np.diff(np.concatenate((first, [len(order)]))))
+        else:
+            # Two strings with one hash: group by the bytes themselves.
+            found: dict[bytes, int] = {}
+            keys = [flat[a:a + LENGTH].tobytes() for a in at[order].tolist()]
+            for key, i in zip(keys, least[order].tolist()):
+                found[key] = min(i, found.get(key, i))
+            out[order] = [found[key] for key in keys]
     return out
 
 
-def _covered(table: pa.Table) -> pa.Table:
-    """Of one bucket: covered spans by document."""
-    runs, ids, pos, base = [], [], [], [0]
-    for lcp, rest, own, doc, p in zip(*(table.column(c) for c in ("lcp", "rest", "ids", "doc", "pos"))):
-        runs.append(_Run(len(runs), lcp.as_py(), rest.as_py()))
-        ids.append(np.frombuffer(own.as_buffer(), "<i8")[np.frombuffer(doc.as_buffer(), "<u4")])
-        pos.append(np.frombuffer(p.as_buffer(), "<u4").astype(np.int64))
-        base.append(base[-1] + len(pos[-1]))
-    ids, pos = np.concatenate(ids), np.concatenate(pos)
+def _covered(parts: int):
+    def covered(table: pa.Table) -> pa.Table:
+        """Of one bucket: first and last bytes of covered spans, by document."""
+        runs, ids, pos, base, found = [], [], [], [0], []
+        for lcp, rest, own, doc, p in zip(*(table.column(c).to_pylist() for c in ("lcp", "rest", "ids", "doc", "pos"))):
+            if not rest:   # settled in the run
+                found.append([unsqueezed(x, kind).astype(np.int64) for x, kind in ((own, "<i8"), (doc, "<u4"), (p, "<u4"))])
+                continue
+            runs.append(_Run(len(runs), unsqueezed(lcp, "u1").tobytes(), unsqueezed(rest, "u1").tobytes()))
+            ids.append(unsqueezed(own, "<i8")[unsqueezed(doc, "<u4")])
+            pos.append(unsqueezed(p, "<u4").astype(np.int64))
+            base.append(base[-1] + len(pos[-1]))
+        if runs:
+            found.append(_compared(runs, np.concatenate(ids), np.concatenate(pos), base))
+        docs, starts, stops = (np.concatenate(x) for x in zip(*found))
+        return scattered(docs, starts.astype(_U) << _U(32) | stops.astype(_U), parts)
+
+    return covered
+
+
+def _spans(values: np.ndarray) -> tuple[bytes]:
+    """United spans of one document."""
+    return (united(np.stack((values >> _U(32), values & _U(0xFFFFFFFF)), 1).astype(np.int64)).astype("<u4").tobytes(),)
+
+
+def _compared(runs: list[_Run], ids: np.ndarray, pos: np.ndarray, base: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, first and last bytes of the spans that the merged runs show to be covered."""
     group, keys, g = np.empty(len(ids), np.int64), [], -1
     for same, r, i in merged(runs):
         if not same:
@@ -315,15 +358,13 @@ def _covered(table: pa.Table) -> pa.Table:
     keys = np.frombuffer(b"".join(keys), np.uint8).reshape(-1, _KEY)
     least = np.full(len(keys), _NO_ID)
     np.minimum.at(least, group, ids)
-    ctx = np.concatenate((keys[:, LENGTH:_CTX][:, ::-1], keys[:, :LENGTH]), axis=1)
+    flat = np.concatenate((np.concatenate((keys[:, LENGTH:_CTX][:, ::-1], keys[:, :LENGTH]), axis=1).ravel(), np.zeros(8, np.uint8)))
     first, last = keys[:, _CTX + 2].astype(np.int64), keys[:, _CTX + 3].astype(np.int64)
     # Every window of every distinct suffix: first..last bytes before the anchor, descending.
     count = first - last + 1
     owner = np.repeat(np.arange(len(keys)), count)
-    begin = np.cumsum(count) - count
-    back = first[owner] - (np.arange(len(owner)) - begin[owner])
-    small = _least_by_window(np.ascontiguousarray(ctx)[owner], back, least[owner]) if len(owner) < 2_000_000 else \
-        _least_in_parts(ctx, owner, back, least)
+    back = first[owner] - (np.arange(len(owner)) - (np.cumsum(count) - count)[owner])
+    small = _least_by_window(flat, owner * _CTX + _BACK - back, least[owner])
     # An entry's window is covered when an equal one has a smaller id.
     starts, stops, docs = [], [], []
     whole = ids > least[group]
@@ -344,23 +385,7 @@ def _covered(table: pa.Table) -> pa.Table:
         starts.append(np.repeat(pos[e], n) - back[on[which]])
         stops.append(np.repeat(pos[e], n) - back[off[which]] + LENGTH)
         docs.append(np.repeat(ids[e], n))
-    starts, stops, docs = np.concatenate(starts), np.concatenate(stops), np.concatenate(docs)
-    rows = [(d, np.stack((starts[at], stops[at]), 1).astype("<u4").tobytes()) for d, at in by_value(docs)]
-    return pa.table({"oid": pa.array([r[0] for r in rows], pa.int64()), "spans": pa.array([r[1] for r in rows], pa.binary())})
-
-
-def _least_in_parts(ctx: np.ndarray, owner: np.ndarray, back: np.ndarray, least: np.ndarray) -> np.ndarray:
-    """As :func:`_least_by_window`, for windows cut by a hash so that equal ones stay together."""
-    v = _loads(np.concatenate((np.ascontiguousarray(ctx).ravel(), np.zeros(8, np.uint8))))
-    at = owner * ctx.shape[1] + _BACK - back
-    h = np.zeros(len(at), _U)
-    for o in (*range(0, LENGTH - 8, 8), LENGTH - 8):
-        h = mix((h + _M[o % 3]) ^ v[at + o])
-    out = np.empty(len(at), np.int64)
-    parts = len(at) // 1_000_000 + 1
-    for _, i in by_value((h % _U(parts)).astype(np.int64)):
-        out[i] = _least_by_window(np.ascontiguousarray(ctx[owner[i]]), back[i], least[owner[i]])
-    return out
+    return np.concatenate(docs), np.concatenate(starts), np.concatenate(stops)
 
 
 # 5. Documents again
@@ -383,7 +408,7 @@ def _cut(joined: DataFrame) -> DataFrame:
                 text = t.as_buffer().to_pybytes()
                 if _digest(text) != d.as_py():
                     continue
-                u = united(np.concatenate([np.frombuffer(x, "<u4") for x in s.as_py()]).reshape(-1, 2).astype(np.int64))
+                u = np.frombuffer(s.as_py(), "<u4").reshape(-1, 2).astype(np.int64)
                 kept, at = [], 0
                 for x, y in u.tolist():
                     kept.append(text[at:x])
@@ -407,13 +432,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     feats = written(_features(texts), "suffix_features")
     total = feats.agg(F.sum("n")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / BUCKET_BYTES))
-    classes = feats.groupBy("digest", "k8").agg(F.min("oid").alias("oid"))
-    found = repeated(texts, buckets, _anchor_hashes).select(F.col("own").alias("k8"), "pos")
-    wanted = found.groupBy("k8").agg(F.collect_list("pos").alias("wanted")).join(classes, "k8").select("oid", "digest", "wanted")
-    joined = texts.join(written(wanted, "suffix_anchors"), "oid").select("oid", "text", "digest", "wanted")
-    covered = _suffix_runs(joined, buckets).groupBy("bucket").applyInArrow(_covered, "oid long, spans binary")
-    spans = written(covered.groupBy("oid").agg(F.collect_list("spans").alias("spans")).join(classes, "oid").select("oid", "digest", "spans"), "suffix_spans")
-    cut = _cut(texts.join(spans, "oid").select("oid", "text", "digest", "spans"))
+    classes = written(feats.groupBy("digest", "k8").agg(F.min("oid").alias("oid")), "suffix_classes")
+    wanted = repeated(texts, buckets, _anchor_hashes).withColumnRenamed("own", "k8").join(classes, "k8").select("oid", "digest", F.col("pos").alias("wanted"), "hot")
+    joined = texts.join(written(wanted, "suffix_anchors"), "oid").select("oid", "text", "digest", "wanted", "hot")
+    covered = gathered(_suffix_runs(joined, buckets).groupBy("bucket").applyInArrow(_covered(buckets), SCATTERED), "oid", ["spans"], _spans)
+    spans = written(covered.join(classes, "oid").select("oid", "digest", "spans"), "suffix_spans")
+    cut = _cut(picked(texts, spans, "oid").join(spans, "oid").select("oid", "text", "digest", "spans"))
     cut = cut if with_kept else cut.drop("kept")
     cut = cut.dropDuplicates(["oid", "digest"])
     least = classes.select("digest", F.col("oid").alias("least"))
