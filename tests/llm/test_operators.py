@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_ORACLE, SF_SMALL
-from tidemark.llm import decontaminate, exact_dedup, near_dedup, packing, paragraph_dedup, pii, preference, quality, suffix_dedup, toxicity
+from tidemark.llm import decontaminate, exact_dedup, fingerprints, near_dedup, packing, paragraph_dedup, pii, preference, quality, suffix_dedup, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = " ".join(f"w{i}" for i in range(3000))
@@ -182,7 +182,11 @@ def cuts(df):
     return {r.id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in df.collect()}
 
 
-def test_suffix_dedup(docs, texts, unique, awkward, empty):
+@pytest.mark.parametrize("hot", [None, 2])
+def test_suffix_dedup(docs, texts, unique, awkward, empty, monkeypatch, hot):
+    if hot:
+        monkeypatch.setattr(fingerprints, "RUN_HOT", hot)
+        monkeypatch.setattr(fingerprints, "BUCKET_HOT", hot)
     assert cuts(suffix_dedup.remove_repeats(docs)) == suffix_dedup.brute_force(texts)
     want = suffix_dedup.brute_force([r[:2] for r in UNIQUE])
     assert cuts(suffix_dedup.remove_repeats(unique)) == want
@@ -192,8 +196,12 @@ def test_suffix_dedup(docs, texts, unique, awkward, empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
-def test_suffix_dedup_low_entropy(spark):
-    """Few letters: anchors repeat, contexts overlap, windows meet in many ways."""
+@pytest.mark.parametrize("hot", [None, 1])
+def test_suffix_dedup_low_entropy(spark, monkeypatch, hot):
+    """Few letters: anchors repeat, contexts overlap, windows meet in many ways.  With 1 all repeated anchors are hot."""
+    if hot:
+        monkeypatch.setattr(fingerprints, "RUN_HOT", hot)
+        monkeypatch.setattr(fingerprints, "BUCKET_HOT", hot)
     rng = np.random.default_rng(1)
     shared = ["".join(rng.choice(list("ab"), 90)) for _ in range(4)]
     rows = []
@@ -237,6 +245,19 @@ def test_paragraph_dedup(unique, awkward, empty, docs):
     assert paragraph_dedup.remove_paragraphs(empty).count() == 0
 
 
+def test_word_hashes_and_layout():
+    cut = paragraph_dedup.Paragraphs()
+    for text in ("", " \n ", "a", "One two.\n\nThree  four\tfive six seven eight nine ten eleven. End é! x" + " y" * 5000, "\nA b"):
+        raw = text.encode()
+        h, first = cut(raw)
+        words = raw.lower().split()
+        assert len(h) == len(words) and len(set(zip(words, h.tolist()))) == len(set(words)) == len(set(h.tolist()))
+        begin, ends, _ = paragraph_dedup.layout(raw)
+        assert [raw[a:b + 1].lower() for a, b in zip(begin.tolist(), ends.tolist())] == words
+    h, first = cut(b"One two.\n\nThree four five six seven eight nine ten. End x\nlast")
+    assert first.tolist() == [0, 2, 10, 12]
+
+
 def test_paragraph_copies_against_all_pairs(spark, docs):
     """Every paragraph with a similar one in an earlier document (over its cluster) is found."""
     cut, rows = paragraph_dedup.Paragraphs(), []
@@ -427,3 +448,25 @@ def test_quality(spark, awkward, empty):
     assert (out.score >= 0.5)[out.quality == 1].mean() > 0.97
     assert quality.scored(awkward, quality.train(awkward)).count() == len(AWKWARD)
     assert quality.scored(empty, quality.train(empty)).count() == 0
+
+
+# components
+
+def test_components_match_union_find(spark):
+    from tidemark.llm.components import connected
+    rng = np.random.default_rng(4)
+    for edges in ([(i, i + 1) for i in range(60)], [(i + 1, 0) for i in range(200)],
+                  [tuple(map(int, rng.integers(0, 120, 2))) for _ in range(90)], []):
+        root = {}
+
+        def find(x):
+            root.setdefault(x, x)
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in edges:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+        want = {x: find(x) for x in root if find(x) != x}
+        assert {r.a: r.b for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()} == want

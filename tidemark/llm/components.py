@@ -1,8 +1,8 @@
 """Connected components of a link table by alternating large-star and small-star steps.
 
-Every step is a pre-aggregated minimum per node and a join of the links with it, so a node with a third
-of all links is only a skewed join key with one row on its other side, which adaptive execution splits.
-Each round is written to the shared folder.
+Every step is a pre-aggregated minimum per node and a join of the links with it.  The minima are written
+before the join: both of its sides are then plain exchanges, so adaptive execution can split a node with a
+third of all links, which has one row on the other side.  Each round is written to the shared folder.
 """
 
 from __future__ import annotations
@@ -13,21 +13,19 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import written
 
 
-def _star(links: DataFrame, large: bool) -> DataFrame:
-    """Links (a > b) re-hung to the least node of each star.
+def _large_star(links: DataFrame, label: str) -> DataFrame:
+    """From each node, larger neighbours move to its least neighbour (links: a > b)."""
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    # Nodes that are less than all their neighbours, such as the centres of stars, keep their links.
+    least = both.groupBy("a").agg(F.min("b").alias("m")).where("m < a").select(F.col("a").alias("b"), "m")
+    return links.join(written(least, label), "b", "left").select("a", F.coalesce("m", "b").alias("b"))
 
-    Large star: from each node, larger neighbours move to its least neighbour (or itself).
-    Small star: from each node, it and its smaller neighbours move to the least of them.
-    """
-    if large:
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        out = both.where(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    else:
-        least = links.groupBy("a").agg(F.min("b").alias("m"))
-        moved = links.join(least, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        out = moved.unionByName(least.select("a", F.col("m").alias("b")))
-    return out.where(F.col("a") != F.col("b")).distinct()
+
+def _small_star(links: DataFrame, label: str) -> DataFrame:
+    """From each node, it and its smaller neighbours move to the least of them."""
+    least = written(links.groupBy("a").agg(F.min("b").alias("m")), label)
+    moved = links.join(least, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return moved.unionByName(least.select("a", F.col("m").alias("b")))
 
 
 def connected(links: DataFrame, label: str = "components") -> DataFrame:
@@ -39,4 +37,5 @@ def connected(links: DataFrame, label: str = "components") -> DataFrame:
         if mark[0] == 0 or mark == before:
             return links
         before = mark
-        links = written(_star(_star(links, True), False), label)
+        links = written(_large_star(links, f"{label}_least").distinct(), label)
+        links = written(_small_star(links, f"{label}_least").distinct(), label)

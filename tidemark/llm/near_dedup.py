@@ -281,6 +281,8 @@ def components_of(rows: DataFrame, sizes: DataFrame, sets_of, similarity: tuple[
     of a table of distinct ids.
     """
     shared = rows.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key", "lo")
+    # Written, as a bucket may hold a third of all rows: adaptive execution splits joins of plain exchanges.
+    shared = written(shared, "near_keys")
     stars = written(rows.join(shared, "key").where("id != lo").select(F.col("id").alias("a"), F.col("lo").alias("b")).distinct(), "near_stars")
     group = connected(stars, "near_groups")
     members = group.select(F.col("a").alias("id"), F.col("b").alias("g")).unionByName(group.select(F.col("b").alias("id"), F.col("b").alias("g")).distinct())
