@@ -23,6 +23,8 @@ one by one.  A null id stays null.  An empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import sys
+import types
 import zlib
 from bisect import bisect_left, bisect_right, insort
 
@@ -37,8 +39,8 @@ TIERS = (256, 512, 1024, 2048)
 END_ID = 1
 #: Ids that wait in a task before they are packed (4 bytes each).
 BUFFER_TOKENS = 2_000_000
-#: Words whose ids a task remembers.
-CACHE_WORDS = 600_000
+#: Words whose ids a Python worker remembers (about 0.25 KB each).
+CACHE_WORDS = 1_000_000
 #: Texts whose new words are encoded together.
 TEXTS = 256
 STEP_SEQUENCES = 16
@@ -81,6 +83,14 @@ class WordTokenizer:
                 at = c
 
 
+def worker_tokenizer(path: str) -> WordTokenizer:
+    """The tokenizer of this Python worker, which Spark uses for several tasks: its cache stays warm."""
+    kept = sys.modules.setdefault("_tidemark_worker", types.ModuleType("_tidemark_worker")).__dict__
+    if path not in kept:
+        kept[path] = WordTokenizer(path)
+    return kept[path]
+
+
 _END_MARKS = re.compile(r"(?<=[A-Za-z\u00c0-\u024f])([,.!?;:]+)(?=[ \t\n\r\x0b\x0c]|\Z)")
 #: Characters whose lower case is not left to Python: beyond Latin, and the dotted capital I.
 _NOT_LATIN = re.compile("[\u0130\u0250-\U0010ffff]")
@@ -217,7 +227,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
 
     def run(batches):
         from pyspark import TaskContext
-        tokenizer, packer = WordTokenizer(tokenizer_path), Packer(TaskContext.get().partitionId(), tiers, buffer_tokens)
+        tokenizer, packer = worker_tokenizer(tokenizer_path), Packer(TaskContext.get().partitionId(), tiers, buffer_tokens)
         id_type = None
 
         def out(sequences):
