@@ -290,6 +290,28 @@ def test_paragraph_copies_against_all_pairs(spark, docs):
     assert want and got <= want and len(got) >= 0.99 * len(want)
 
 
+def test_short_paragraphs_are_copies(spark):
+    """Short lines count in a run of copies, and every one is a candidate; one alone stays."""
+    lines = [" ".join(f"{c}{i}" for i in range(n)) for c, n in zip("abcdefghi", (11, 3, 21, 3, 20, 1, 6, 7, 4))]
+    poem = "\n".join(" ".join(f"z{i}x{j}" for j in range(4)) for i in range(13))
+    texts = {1: "\n".join(lines[:5]), 2: "Quite another start\n" + "\n".join(lines[:5]) + "\nand another end", 3: poem, 4: "Mine.\n" + poem + "\nYours.",
+             5: "\n".join(lines[5:]), 6: "\n".join(["here", lines[6], "there", lines[8], "and", lines[5]])}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    sets, want = {}, set()
+    for k, t in texts.items():
+        for p, line in enumerate(t.split("\n")):
+            w = line.split()
+            sets[k, p] = {tuple(w[i:i + 5]) for i in range(max(len(w) - 4, 1))}
+    for k, p in sets:
+        if any(j < k and 100 * len(s & sets[k, p]) >= 80 * len(s | sets[k, p]) for (j, _), s in sets.items()):
+            want.add((k, p))
+    assert {(r.oid, r.number) for r in paragraph_dedup.all_copies(docs).collect()} == want
+    out = {r.id: r for r in paragraph_dedup.remove_paragraphs(docs).collect()}
+    assert out[2].text.split() == "Quite another start and another end".split() and out[2].n_removed == 5
+    assert out[4].text.split() == ["Mine.", "Yours."] and out[4].n_removed == 13
+    assert all(out[k].text == texts[k] and out[k].n_removed == 0 for k in (1, 3, 5, 6))
+
+
 # personal data
 
 HARD = ["a@b.c-d_e@x.y", "x@y..z a@b.c.d. é a.b@c.d", "1.2.3.4.5.6.7.8 300.1.1.1 0001.02.3.255", "4111 1111 1111 1111 1 4111-1111-1111-1111",
