@@ -312,6 +312,23 @@ def test_short_paragraphs_are_copies(spark):
     assert all(out[k].text == texts[k] and out[k].n_removed == 0 for k in (1, 3, 5, 6))
 
 
+def test_passages_inside_paragraphs(spark):
+    """A passage that starts and ends inside sentences goes whole, and one inside a long line too."""
+    def some(c, n):
+        return [f"{c}{i}" for i in range(n)]
+
+    middle = " ".join(some("k", 14)) + " m."
+    passage = " ".join(some("p", 21)) + " s. " + middle + " " + " ".join(some("q", 20))
+    inside = " ".join(some("v", 60))
+    texts = {1: " ".join(some("a", 9)) + " " + passage + " " + " ".join(some("b", 12)) + ".", 2: " ".join(some("c", 15)) + " " + passage + " " + " ".join(some("d", 9)) + ".",
+             3: " ".join(some("e", 200)) + " " + inside + " " + " ".join(some("f", 300)), 4: " ".join(some("g", 170)) + " " + inside + " " + " ".join(some("i", 240)),
+             5: " ".join(some("y", 9)) + ". " + middle}
+    out = {r.id: r for r in paragraph_dedup.remove_paragraphs(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert all(out[k].text == texts[k] and out[k].n_removed == 0 for k in (1, 3, 5))
+    assert out[2].text.split() == some("c", 15) + some("d", 8) + ["d8."] and out[2].n_removed == 3
+    assert out[4].text.split() == some("g", 170) + some("i", 240) and out[4].n_removed == 1
+
+
 # personal data
 
 HARD = ["a@b.c-d_e@x.y", "x@y..z a@b.c.d. é a.b@c.d", "1.2.3.4.5.6.7.8 300.1.1.1 0001.02.3.255", "4111 1111 1111 1111 1 4111-1111-1111-1111",
