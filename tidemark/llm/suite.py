@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from tidemark.llm import (
     decontaminate,
+    divergence,
     exact_dedup,
+    html_text,
     near_dedup,
     packing,
     paragraph_dedup,
@@ -13,6 +15,7 @@ from tidemark.llm import (
     quality,
     suffix_dedup,
     toxicity,
+    whitening,
 )
 
 QUERIES = {
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_suffix_dedup": suffix_dedup.op8,
     "op9_quality": quality.op9,
     "op10_exact_dedup": exact_dedup.op10,
+    "op11_divergence": divergence.op11,
+    "op12_whitening": whitening.op12,
+    "op13_html_text": html_text.op13,
 }
 
 SQL = {
@@ -33,4 +39,5 @@ SQL = {
     "op5_preference": preference.OP5_SQL,
     "op7_near_dedup": near_dedup.OP7_SQL,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
+    "op11_divergence": divergence.OP11_SQL,
 }
