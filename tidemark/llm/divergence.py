@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import ASCII_LOWER, ASCII_UPPER, load, share, shared, text_or_empty, written
 
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 8 << 20
 #: Slices of at most so many pointers are finished together, a chunk of eight bytes at a time.
 SMALL_SLICE = 1 << 14
 MIN_DOCS = 10
@@ -57,9 +57,10 @@ class Pointers:
         whole = offsets[:-1] < offsets[1:]      # a word ends with its document
         first, last = offsets[:-1][whole], offsets[1:][whole] - 1
         starts[first], ends[last] = letter[first], letter[last]
-        self.at = np.flatnonzero(starts)
-        self.size = np.flatnonzero(ends) + 1 - self.at
-        self.doc = np.searchsorted(offsets, self.at, "right") - 1
+        whole_number = np.int32 if len(data) < 1 << 31 else np.int64
+        self.at = np.flatnonzero(starts).astype(whole_number)
+        self.size = (np.flatnonzero(ends) + 1).astype(whole_number) - self.at
+        self.doc = np.searchsorted(offsets, self.at, "right").astype(whole_number) - 1
         self.bytes = np.concatenate([LOWER[data], np.zeros(8, np.uint8)])
         self.chunks = np.ndarray(len(data) + 1, ">u8", self.bytes, strides=(1,))
 
@@ -70,7 +71,7 @@ class Pointers:
 
     def words(self, which: np.ndarray) -> pa.Array:
         size = self.size[which]
-        stops = np.cumsum(size)
+        stops = np.cumsum(size, dtype=np.int64)
         at = np.repeat(self.at[which] - (stops - size), size) + np.arange(stops[-1] if len(stops) else 0)
         offsets = np.concatenate([[0], stops]).astype(np.int64)
         return pa.LargeStringArray.from_buffers(len(which), pa.py_buffer(offsets), pa.py_buffer(self.bytes[at]))
