@@ -15,6 +15,9 @@ COLUMNS = {
     "op7_near_dedup": "doc_id n_shingles component_id kept",
     "op8_suffix_dedup": "doc_id n_bytes n_removed n_spans kept_sha256",
     "op10_exact_dedup": "doc_id keep_id group_size kept text_sha256",
+    "op11_divergence": "lang source part item value rank",
+    "op12_whitening": "vec_id component n deviation whitened explained identity_error",
+    "op13_html_text": "page_id url text n_chars",
 }
 
 
@@ -31,5 +34,5 @@ def test_query_columns(spark, name):
 
 def test_registered():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {n.split("_")[0] for n in names} and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)

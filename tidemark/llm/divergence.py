@@ -92,7 +92,8 @@ def multikey_quicksort(p: Pointers, bounds: np.ndarray) -> tuple[np.ndarray, np.
             continue
         part = order[lo:hi]
         key = p.chunk(part, depth)
-        pivot = np.sort(key[:: len(key) // 9])[4]
+        sample = np.sort(key[::max(1, len(key) // 9)])
+        pivot = sample[len(sample) // 2]
         less, more = key < pivot, key > pivot
         same = part[~(less | more)]
         below, above = part[less], part[more]
