@@ -6,6 +6,7 @@ import math
 import pickle
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +49,17 @@ def picked(df: DataFrame, ids: DataFrame, col: str, how: str = "left_semi") -> D
     return df.join(F.broadcast(ids) if few else ids, col, how)
 
 
+def pieces(batches, rows: int = 512):
+    """Arrow batches in slices of at most ``rows`` rows, so that what a task makes of one stays small.
+
+    When the task's input ends, memory that Arrow holds back goes to the system: the Python worker lives on.
+    """
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def partitions_for(spark: SparkSession, total_bytes: int | None) -> int:
     """Partitions for a text shuffle: the session's number, more when a partition would be too large."""
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -62,7 +74,7 @@ def text_or_empty(col: str):
 class WordHashes(dict):
     """64-bit hashes of words (bytes), computed once while the cache holds them."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ASCII_LOWER, ASCII_UPPER, load, share, shared
+from tidemark.llm.common import ASCII_LOWER, ASCII_UPPER, load, pieces, share, shared
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 #: Item words in one broadcast automaton (at most twice as many states, about 0.5 KB each).
@@ -188,7 +188,7 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, automaton) -> DataFrame:
 
     def run(batches):
         a: Automaton = shared(automaton)
-        for batch in batches:
+        for batch in pieces(batches):
             ids, n_words, n_hit, items, spans = batch.column(0), [], [], [], []
             for t in batch.column(1):
                 words = words_of(t.as_py())
@@ -277,7 +277,7 @@ def remove_benchmark(docs: DataFrame, items: DataFrame, text_col: str = "text",
 
     def run(batches):
         a = shared(automaton) if automaton else None
-        for batch in batches:
+        for batch in pieces(batches):
             keep, texts, lengths = [], batch.column(at).to_pylist(), {}
             for i, t in enumerate(texts):
                 words = words_of(t)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ASCII_LOWER, ASCII_UPPER, WordHashes, load, picked, written
+from tidemark.llm.common import ASCII_LOWER, ASCII_UPPER, WordHashes, load, picked, pieces, written
 from tidemark.llm.components import connected
 
 WORDS = 4
@@ -124,7 +124,7 @@ def _features(docs: DataFrame, id_col: str, text_col: str, words: int, bands: in
 
     def run(batches):
         shingles, sketch = Shingles(words), Sketcher(bands * rows)
-        for batch in batches:
+        for batch in pieces(batches):
             n, digests, keys = [], [], []
             for t in batch.column(1):
                 x = shingles(t.as_py())
@@ -143,7 +143,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
 
     def run(batches):
         shingles = Shingles(words)
-        for batch in batches:
+        for batch in pieces(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t.as_py()).tobytes() for t in batch.column(1)], pa.binary())], names=["id", "s"])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)

@@ -39,8 +39,8 @@ TIERS = (256, 512, 1024, 2048)
 END_ID = 1
 #: Ids that wait in a task before they are packed (4 bytes each).
 BUFFER_TOKENS = 2_000_000
-#: Words whose ids a Python worker remembers (about 0.25 KB each).
-CACHE_WORDS = 1_000_000
+#: Words in each of the two parts of a Python worker's word cache (about 0.25 KB each).
+CACHE_WORDS = 250_000
 #: Texts whose new words are encoded together.
 TEXTS = 256
 STEP_SEQUENCES = 16
@@ -58,16 +58,20 @@ class WordTokenizer:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.cache: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.cache_words = cache_words
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         parts = [split_words(t or "") for t in texts]
-        cache = self.cache
-        new = set().union(*parts).difference(cache)
-        if len(cache) + len(new) > self.cache_words:
-            cache.clear()
+        new = set().union(*parts).difference(self.cache)
+        if len(self.cache) + len(new) > self.cache_words:
+            # The full part becomes the old one; its words move over again when they are met.
+            self.before, self.cache = self.cache, {}
             new = set().union(*parts)
-        self._learn(sorted(new))
+        cache, before = self.cache, self.before
+        known = new.intersection(before)
+        cache.update(zip(known, map(before.__getitem__, known)))
+        self._learn(sorted(new - known))
         return [b"".join(map(cache.__getitem__, words)) for words in parts]
 
     def _learn(self, words: list[str]) -> None:
@@ -249,6 +253,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
                         yield from out(packer.pack(False))
         if packer.waiting:
             yield from out(packer.pack(True))
+        pa.default_memory_pool().release_unused()
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import load, share, shared
+from tidemark.llm.common import load, pieces, share, shared
 
 BUCKETS = 1 << 18
 FACTORS = 8
@@ -39,7 +39,7 @@ FOLDS = 5
 #: A term is learned from so many texts on, with a likelihood ratio of so much (chi-square with one
 #: degree of freedom); the most frequent terms are always learned, for their pairs.
 MIN_TEXTS, MIN_G2, COMMON = 3, 12.0, 100
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 
 _EDGES = b" \t\n\r\x0b\x0c!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _TABLE = bytes(32 if bytes([c]) in _EDGES or c < 32 else c for c in range(256))
@@ -184,7 +184,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
 
     def run(batches):
         terms = Terms(buckets)
-        for batch in batches:
+        for batch in pieces(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(
                 [terms(t.as_py()).astype("<u4").tobytes() for t in batch.column(2)], pa.binary())], names=["id", "y", "terms"])
 
@@ -205,7 +205,7 @@ def with_score(docs: DataFrame, model: Model, text_col: str = "text", name: str
     def run(batches):
         m = shared(sent)
         terms = Terms(len(m.w), m.live)
-        for batch in batches:
+        for batch in pieces(batches):
             rows = [terms(t.as_py()) for t in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(m.scores(rows), pa.float64())], names=names)
 
