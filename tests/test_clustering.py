@@ -1,0 +1,101 @@
+"""The space-filling layout of the history: the curve, the ranks, and the files that a filter can skip."""
+
+import datetime as dt
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_ORACLE
+from tidemark.functions.order import order_digits, order_number
+from tidemark.operators.clustering import clustered, curve_place, hilbert, rank_in, z_order
+from tidemark.plans.suite import readings
+from tidemark.sources.files import FileSystem
+from tidemark.sources.tables import append_history
+
+
+def test_hilbert_curve_visits_each_cell_and_moves_by_one(spark):
+    side = 16
+    cells = spark.range(side * side).select((F.col("id") % side).alias("x"), F.floor(F.col("id") / side).alias("y"))
+    rows = sorted((r.d, r.x, r.y) for r in cells.select("x", "y", hilbert(F.col("x"), F.col("y"), 4).alias("d")).collect())
+    assert [d for d, _, _ in rows] == list(range(side * side))
+    assert all(abs(a[1] - b[1]) + abs(a[2] - b[2]) == 1 for a, b in zip(rows, rows[1:]))
+
+
+def test_z_order_interleaves(spark):
+    r = spark.range(1).select(z_order([F.lit(0b10), F.lit(0b01), F.lit(0b11)], 2).alias("z")).first()
+    assert r.z == 0b101011
+
+
+def test_rank_is_the_number_of_bounds_reached(spark):
+    bounds = [-5, 0, 3, 3000]
+    got = {r.id: r.k for r in spark.range(-10, 10).select("id", rank_in(F.col("id"), bounds, 3).alias("k")).collect()}
+    assert got == {v: sum(b <= v for b in bounds) for v in got}
+    assert spark.range(1).select(rank_in(F.lit(None).cast("long"), bounds, 3).alias("k")).first().k == 0
+
+
+VALUES = {
+    "double": [float("-inf"), -1e300, -2.5, -1e-300, 0.0, 5e-324, 0.1, 0.5, 0.5000000001, 1.0, 3e9, float("inf"), float("nan")],
+    "float": [-3.5, 0.0, 0.25, 7.0], "long": [-2**63, -1, 0, 1, 65536, 2**63 - 1], "int": [-5, 3], "boolean": [False, True],
+    "date": [dt.date(1950, 1, 1), dt.date(1970, 1, 1), dt.date(2024, 5, 5)],
+    "timestamp_ntz": [dt.datetime(1969, 12, 31, 23), dt.datetime(1970, 1, 1), dt.datetime(2024, 1, 1, 0, 0, 0, 1)],
+    "string": ["", "\x01", "A", "a", "a\x01", "aa", "abcdefgh", "abcdefgi", "b", "é", "日本", "\U0001f600"],
+    "decimal(38,10)": [-10, 0, 1, 10**20],
+}
+
+
+@pytest.mark.parametrize("kind", list(VALUES))
+def test_order_numbers_and_digits_keep_the_order(spark, kind):
+    from decimal import Decimal
+    values = [Decimal(v) if kind.startswith("decimal") else v for v in VALUES[kind]]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)] + [(-1, None)], f"i int, v {kind}")
+    t = df.schema["v"].dataType
+    rows = {r.i: r for r in df.select("i", order_number(F.col("v"), t).alias("n"), F.array(*order_digits(F.col("v"), t)).alias("d")).collect()}
+    assert rows[-1].n is None and set(rows[-1].d) == {None}
+    numbers, digits = [rows[i].n for i in range(len(values))], [rows[i].d for i in range(len(values))]
+    assert numbers == sorted(numbers) and digits == sorted(digits)
+    if kind == "double":
+        assert len({tuple(d) for d in digits}) == len(values)     # doubles have enough digits to tell any two apart
+
+
+def footers(spark, path):
+    """(minimum, maximum) of each column in each file."""
+    out = []
+    for name in FileSystem(spark, path).list_names(path):
+        if name.endswith(".parquet"):
+            meta = pq.ParquetFile(f"{path}/{name}".removeprefix("file:")).metadata
+            stats = [{c.path_in_schema: c.statistics for c in map(g.column, range(g.num_columns))} for g in map(meta.row_group, range(meta.num_row_groups))]
+            out.append({c: (min(s[c].min for s in stats), max(s[c].max for s in stats)) for c in ("site_code", "reading_ts")})
+    return out
+
+
+def test_filters_on_site_alone_and_time_alone_skip_files(spark, workdir):
+    rows = readings(spark, SF_ORACLE)
+    append_history(rows, f"{workdir}/curve", files=64)
+    files = footers(spark, f"{workdir}/curve")
+    site = sum(f["site_code"][0] <= "S3" <= f["site_code"][1] for f in files)
+    lo = dt.datetime(2024, 1, 10, tzinfo=dt.timezone.utc)
+    day = sum(f["reading_ts"][0] < lo + dt.timedelta(days=1) and f["reading_ts"][1] >= lo for f in files)
+    assert len(files) >= 50 and site <= len(files) / 3 and day <= len(files) / 3
+    # In the order (site, time) a filter on the time alone reads files of every site.
+    back = spark.read.parquet(f"{workdir}/curve")
+    assert back.count() == rows.count() and back.columns == rows.columns
+
+
+def test_a_hot_site_is_split_by_time(spark):
+    rows = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), (F.col("id") % 50).cast("string"))).alias("site"),
+                                      (F.col("id") * 7919 % 20_000).alias("t"))
+    sizes = [r.n for r in clustered(rows, ["site", "t"], 16).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 20_000 and len(sizes) >= 14 and max(sizes) < 4 * 20_000 / 16
+
+
+@pytest.mark.parametrize("columns", [["a"], ["a", "b"], ["a", "b", "_place"]])
+def test_awkward_rows_are_kept(spark, columns):
+    rows = spark.createDataFrame([(None, None, 1), ("", 0.0, None), ("x" * 5000, float("nan"), 3), ("é", -1.0, 4), ("é", -1.0, 4)], "a string, b double, _place int")
+    assert sorted(map(str, clustered(rows, columns, 3, 4).collect())) == sorted(map(str, rows.collect()))
+    assert clustered(rows.limit(0), columns, 3, 4).collect() == []
+
+
+def test_place_needs_to_fit_a_long(spark):
+    with pytest.raises(ValueError):
+        curve_place(spark.range(1).select(*[F.col("id").alias(f"c{i}") for i in range(9)]), [f"c{i}" for i in range(9)], 8)

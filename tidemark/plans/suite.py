@@ -453,15 +453,20 @@ def q_sync_triggered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return KeyedTable(spark, f"{work}/table").read()
 
 
+def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as history rows, users dealt to seven sites."""
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("sensor_asset_id"), F.col("event_type").alias("scada_tag"),
+        F.concat(F.lit("S"), (F.col("user_id") % 7).cast("string")).alias("site_code"), F.col("ts").alias("reading_ts"),
+        "value", F.lit(192).alias("quality_code"), F.col("ts").alias("ingest_ts"))
+
+
 def q_history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings appended twice as a clustered history; the second load overwrites a summary."""
     work = shared_dir(spark, "history_append")
-    e = table(spark, sf_dir, "events")
-    rows = e.select(F.col("user_id").cast("string").alias("sensor_asset_id"), F.col("event_type").alias("scada_tag"),
-                    F.concat(F.lit("S"), (F.col("user_id") % 7).cast("string")).alias("site_code"), F.col("ts").alias("reading_ts"),
-                    "value", F.lit(192).alias("quality_code"), F.col("ts").alias("ingest_ts"))
+    rows = readings(spark, sf_dir)
     for rest in (0, 1):
-        append_history(rows.where(F.col("user_id") % 2 == rest), f"{work}/history")
+        append_history(rows.where(F.col("sensor_asset_id").cast("long") % 2 == rest), f"{work}/history")
     history = read_table(spark, f"{work}/history", schemas.HISTORY)
     per_site = history.groupBy("site_code").agg(F.count(F.lit(1)).alias("readings"), F.max("value").alias("max_value"))
     overwrite(per_site.limit(0), f"{work}/summary")
@@ -469,6 +474,20 @@ def q_history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{work}/summary")
 
 
+def q_history_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings clustered by site and time; one site, and one day, each read from the files that may hold them."""
+    work = shared_dir(spark, "history_clustered")
+    append_history(readings(spark, sf_dir), f"{work}/history", files=64)
+    history = read_table(spark, f"{work}/history", schemas.HISTORY)
+    ts = utc_wall_clock("reading_ts")
+    start, stop = F.lit("2024-01-10 00:00:00 UTC").cast("timestamp"), F.lit("2024-01-11 00:00:00 UTC").cast("timestamp")
+    one_site = history.where(F.col("site_code") == "S3").groupBy("scada_tag").agg(
+        F.lit("site").alias("filter"), F.count(F.lit(1)).alias("readings"), F.max("value").alias("max_value"), F.max(ts).alias("newest"))
+    one_day = history.where((F.col("reading_ts") >= start) & (F.col("reading_ts") < stop)).groupBy("scada_tag").agg(
+        F.lit("day").alias("filter"), F.count(F.lit(1)).alias("readings"), F.max("value").alias("max_value"), F.max(ts).alias("newest"))
+    return one_site.unionByName(one_day)
+
+
 QUERIES = {
     "latest_per_key": q_latest_per_key,
     "enrich_left": q_enrich_left,
@@ -499,6 +518,7 @@ QUERIES = {
     "delivery_per_second": q_delivery_per_second,
     "delivery_overall": q_delivery_overall,
     "history_append": q_history_append,
+    "history_clustered": q_history_clustered,
     "sync_snapshot": q_sync_snapshot,
     "sync_triggered": q_sync_triggered,
     "change_history": q_change_history,

@@ -212,6 +212,12 @@ FROM m"""
 SQL["history_append"] = """SELECT 'S' || CAST(user_id % 7 AS VARCHAR) AS site_code, count(*) AS readings, max(value) AS max_value
 FROM events GROUP BY 1"""
 
+SQL["history_clustered"] = """WITH r AS (SELECT event_type AS scada_tag, 'S' || CAST(user_id % 7 AS VARCHAR) AS site, ts, value FROM events)
+SELECT scada_tag, 'site' AS filter, count(*) AS readings, max(value) AS max_value, max(ts) AS newest FROM r WHERE site = 'S3' GROUP BY 1
+UNION ALL
+SELECT scada_tag, 'day', count(*), max(value), max(ts) FROM r
+WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-11 00:00:00' GROUP BY 1"""
+
 SQL["sync_triggered"] = """SELECT user_id, max(ts) AS ts, arg_max(value, ts) AS value, arg_max(event_type, ts) AS event_type,
        arg_max(event_id, ts) AS event_id FROM events GROUP BY user_id"""
 
