@@ -54,8 +54,6 @@ def test_order_numbers_and_digits_keep_the_order(spark, kind):
     assert rows[-1].n is None and set(rows[-1].d) == {None}
     numbers, digits = [rows[i].n for i in range(len(values))], [rows[i].d for i in range(len(values))]
     assert numbers == sorted(numbers) and digits == sorted(digits)
-    if kind == "double":
-        assert len({tuple(d) for d in digits}) == len(values)     # doubles have enough digits to tell any two apart
 
 
 def footers(spark, path):

@@ -174,3 +174,54 @@ def test_quantiles_and_ranks_match_python_on_random_groups(spark, rows):
         order = sorted((float(v), i) for i, (gg, v) in enumerate(rows) if gg == g)
         want.update({(g, i): n + 1 for n, (_, i) in enumerate(order)})
     assert {(r.g, r.i): r.rn for r in ranked} == want
+
+
+def windows_over(df, by):
+    """Rows of the largest task at each level of the descent: (level, rows of the fullest window)."""
+    from tidemark.operators.ranking import _with_digits
+    counts, digits = _with_digits(df.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("_c")), by, "v")
+    levels = [counts.select(*by, *digits[:k + 1]).distinct().groupBy(*by, *digits[:k]) for k in range(len(digits))]
+    return [g.count().agg(F.max("count")).first()[0] for g in [*levels, counts.groupBy(*by, *digits)]]
+
+
+HOT = {
+    "doubles between 0 and 1": lambda i: F.rand(3),
+    "doubles close together": lambda i: F.lit(1000.0) + F.rand(3) / 1000,
+    "doubles of both signs and any size": lambda i: (F.rand(3) - 0.5) * F.pow(F.lit(10.0), (F.rand(4) - 0.5) * 400),
+    "wide whole numbers": lambda i: F.xxhash64(i),
+    "strings": lambda i: F.md5(i.cast("string")),
+    "strings with one beginning": lambda i: F.concat(F.lit("https://example.org/a/path/that/all/of/them/share/"), F.md5(i.cast("string"))),
+}
+
+
+@pytest.mark.parametrize("kind", list(HOT))
+def test_distinct_values_of_a_hot_group_spread(spark, kind, workdir, monkeypatch):
+    """No window of the descent holds more than a small part of the hot group's values, and the numbers are right."""
+    n = 20_000
+    df = spark.range(n).select(F.when(F.col("id") % 20 != 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 100).cast("string"))).alias("g"),
+                               HOT[kind](F.col("id")).alias("v"), "id")
+    df.write.parquet(f"{workdir}/rows")     # rand() is drawn once
+    df = spark.read.parquet(f"{workdir}/rows")
+    # With digits of 11 bits in place of 22, as there are only 20,000 rows.
+    with monkeypatch.context() as m:
+        m.setattr("tidemark.functions.order.DIGIT_BITS", 11)
+        m.setattr("tidemark.functions.order.STRING_BYTES", 1)
+        assert max(windows_over(df, ["g"])) <= 2048
+    rows = df.collect()
+    hot = sorted(r.v for r in rows if r.g == "hot")
+    got = {r.id: r.rn for r in group_row_number(df, ["g"], ["v"], "rn").where("g = 'hot'").collect()}
+    value = {r.id: r.v for r in rows}
+    assert [value[i] for i in sorted(got, key=got.get)] == hot and sorted(got.values()) == list(range(1, len(hot) + 1))
+    q = group_quantiles(df, ["g"], "v", {"a": 0.5, "b": 0.95}, "nearest").where("g = 'hot'").first()
+    assert (q.a, q.b) == (at_rank(hot, 0.5), at_rank(hot, 0.95))
+
+
+def test_strings_that_begin_alike_in_some_groups_only(spark):
+    data = [("a", "pre" * 500 + str(i)) for i in range(50)] + [("b", s) for s in ("", "é", "z", "日本語", "日本", "\x01", None)] + [(None, "only")]
+    df = spark.createDataFrame(data, "g string, v string")
+    got = {}
+    for r in group_row_number(df, ["g"], ["v"], "rn").collect():
+        got.setdefault(r.g, []).append((r.rn, r.v))
+    for g in ("a", "b", None):
+        mine = sorted((v for k, v in data if k == g), key=lambda v: (v is not None, (v or "").encode()))
+        assert [v for _, v in sorted(got[g])] == mine

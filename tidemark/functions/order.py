@@ -12,10 +12,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Bits of a digit; so many values at most share what stands before the digit.
+#: Bits of the lower digits of a 64-bit number.
 DIGIT_BITS = 22
 #: Bytes of a string in a digit, and its digits.
-STRING_BYTES, STRING_DIGITS = 2, 6
+STRING_BYTES, STRING_DIGITS = 3, 3
+#: So many leading bytes at most are looked at for what the strings of a group share.
+PREFIX_BYTES = 1024
 
 
 def _double_bits(v: Column) -> Column:
@@ -51,13 +53,23 @@ def order_number(v: Column, kind: T.DataType) -> Column:
     raise TypeError(f"{kind.simpleString()} has no order number")
 
 
+def shared_bytes(a: Column, b: Column) -> Column:
+    """How many leading bytes two strings share, ``PREFIX_BYTES`` at most."""
+    x, y = (F.hex(F.substring(F.encode(c, "UTF-8"), 1, PREFIX_BYTES)) for c in (a, b))
+    places = F.sequence(F.lit(1), F.greatest(F.least(F.length(x), F.length(y)), F.lit(1)))
+    same = F.aggregate(places, F.lit(0), lambda n, i: F.when((n == i - 1) & (F.substring(x, i, F.lit(1)) == F.substring(y, i, F.lit(1))), i).otherwise(n))
+    return F.coalesce(F.floor(same / 2).cast("int"), F.lit(0))
+
+
 def order_digits(v: Column, kind: T.DataType, shared: Column | None = None) -> list[Column]:
     """Digits of the value from the highest on; null for null.
 
-    Times have one digit of about a minute, whole numbers one of 65,536; what
-    lies within is few enough.  Doubles have three digits of ``DIGIT_BITS``.
-    Strings have ``STRING_DIGITS`` digits of two bytes, after the first
-    ``shared`` bytes, which all strings of a group have in common.
+    Times have one digit of about a minute, dates one of a day, narrow whole
+    numbers one of 65,536.  Wide whole numbers, doubles and decimals have two
+    digits, of 20 and 22 bits, and what shares both is 2**22 values at most (of
+    a decimal, those that are close as doubles).  Strings have three digits of
+    three bytes, after the first ``shared`` bytes, which all strings of a group
+    have in common.
     """
     if isinstance(kind, T.StringType):
         skip = F.coalesce(shared, F.lit(0)) if shared is not None else F.lit(0)
@@ -67,7 +79,8 @@ def order_digits(v: Column, kind: T.DataType, shared: Column | None = None) -> l
         return [F.shiftright(n, 26)]
     if isinstance(kind, (T.DateType, T.BooleanType)):
         return [n]
-    if isinstance(kind, T.IntegralType):
+    if isinstance(kind, T.IntegralType) and not isinstance(kind, T.LongType):
         return [F.shiftright(n, 16)]
-    mask = F.lit((1 << DIGIT_BITS) - 1)
-    return [F.shiftright(n, 2 * DIGIT_BITS), F.shiftright(n, DIGIT_BITS).bitwiseAND(mask), n.bitwiseAND(mask)]
+    top = (63 // DIGIT_BITS) * DIGIT_BITS
+    lower = [F.shiftright(n, at).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1)) for at in range(top - DIGIT_BITS, 0, -DIGIT_BITS)]
+    return [F.shiftright(n, top), *lower]

@@ -2,17 +2,20 @@
 
 A plain ``row_number() over (partition by g order by o)`` sends every row of a
 group to one task.  Here the rows are first counted per (group, value) with
-map-side combine, which collapses ties, and running counts over the distinct
-values give the rank at which each value starts.  The running counts have two
-levels: a value falls in a block (about a minute of a timestamp, 65,536 whole
-numbers, one unit of a fraction), blocks are summed per group, and values are
-summed within (group, block).  So what meets in one task is the blocks of a
-group, or the values of a block, never the rows of a group.
+map-side combine, which collapses ties, and a descent over the digits of the
+values (``functions.order``) gives the rank at which each value starts: counts
+per highest digit are summed up along the group, counts per next digit along
+each digit before it, and so on down to the values.  So what meets in one task
+is the digits that follow one prefix, at most 2**24 numbers, never the rows of
+a group.  That holds for numbers, times and strings of any distribution, but
+for strings that share nine bytes more than all strings of their group share.
 
 Row numbers are then ``rank of the value + row_number()`` within (group,
-value), and a quantile is the value whose ranks hold the wanted one.  It is the
-same plan at every size: no size check, no job while the plan is built.
-Groups and values may be null (null values sort first); joins are null-safe.
+value), and a quantile is the value whose ranks hold the wanted one.  Rows
+that tie on the first order column meet in one task; make it a fine one.
+It is the same plan at every size: no size check, no job while the plan is
+built.  Groups and values may be null (null values sort first); joins are
+null-safe.
 """
 
 from __future__ import annotations
@@ -23,23 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-def _block(value: str, kind: T.DataType) -> Column:
-    """A coarse number that never falls when the value grows."""
-    v = F.col(value)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        micros = F.unix_micros(v) if isinstance(kind, T.TimestampType) else F.timestamp_diff("MICROSECOND", epoch, v)
-        return F.shiftright(micros, 26)
-    if isinstance(kind, T.DateType):
-        return F.unix_date(v).cast("long")
-    if isinstance(kind, T.IntegralType):
-        return F.shiftright(v.cast("long"), 16)
-    if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return F.when(F.isnan(v), F.lit(2**63 - 1)).otherwise(F.floor(v))   # NaN sorts last
-    if isinstance(kind, T.DecimalType):
-        return F.floor(v).cast("double")
-    return F.lit(0).cast("long")   # no coarse order for other types
+from tidemark.functions.order import order_digits, shared_bytes
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -51,19 +38,40 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def _with_digits(counts: DataFrame, by: list[str], value: str) -> tuple[DataFrame, list[str]]:
+    """``counts`` with the digits of the value, from the highest on."""
+    kind = counts.schema[value].dataType
+    shared = None
+    if isinstance(kind, T.StringType):
+        # All strings of a group begin like its least and its greatest one.
+        ends = counts.groupBy(*by).agg(F.min(value).alias("_least"), F.max(value).alias("_most"))
+        ends = ends.select(*by, shared_bytes(F.col("_least"), F.col("_most")).alias("_shared"))
+        counts, shared = _null_safe(counts, ends, by), F.col("_shared")
+    digits = order_digits(F.col(value), kind, shared)
+    names = [f"_d{i}" for i in range(len(digits))]
+    return counts.select(*by, value, "_c", *[d.alias(n) for n, d in zip(names, digits)]), names
+
+
 def _starts(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """Per (group, value): ``_c`` rows, ``_start`` rows with smaller values in the group, ``_n`` in all."""
-    counts = (df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
-                .withColumn("_block", _block(value, df.schema[value].dataType)))
-    blocks = counts.groupBy(*by, "_block").agg(F.sum("_c").alias("_bc"))
-    before = Window.partitionBy(*by).orderBy(F.col("_block").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (blocks.withColumn("_off", F.coalesce(F.sum("_bc").over(before), F.lit(0)))
-                    .withColumn("_n", F.sum("_bc").over(Window.partitionBy(*by))).drop("_bc"))
-    within = (Window.partitionBy(*by, "_block").orderBy(F.col(value).asc_nulls_first())
-                    .rowsBetween(Window.unboundedPreceding, -1))
-    inner = counts.withColumn("_in", F.coalesce(F.sum("_c").over(within), F.lit(0)))
-    return (_null_safe(inner, blocks, [*by, "_block"])
-            .withColumn("_start", F.col("_off") + F.col("_in")).drop("_off", "_in", "_block"))
+    counts, digits = _with_digits(df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c")), by, value)
+
+    def before(upper: Sequence[str], order: str):
+        return Window.partitionBy(*by, *upper).orderBy(F.col(order).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+
+    known = None
+    for k, digit in enumerate(digits):
+        upper = digits[:k]
+        here = counts.groupBy(*by, *upper, digit).agg(F.sum("_c").alias("_bc"))
+        here = here.withColumn("_in", F.coalesce(F.sum("_bc").over(before(upper, digit)), F.lit(0)))
+        if known is None:
+            here = here.withColumn("_n", F.sum("_bc").over(Window.partitionBy(*by))).withColumn("_off", F.lit(0).cast("long"))
+        else:
+            here = _null_safe(here, known, [*by, *upper])
+        known = here.select(*by, *upper, digit, (F.col("_off") + F.col("_in")).alias("_off"), "_n")
+    inner = counts.withColumn("_in", F.coalesce(F.sum("_c").over(before(digits, value)), F.lit(0)))
+    return (_null_safe(inner, known, [*by, *digits])
+            .withColumn("_start", F.col("_off") + F.col("_in")).drop("_off", "_in", *digits))
 
 
 def group_row_number(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "rn") -> DataFrame:
