@@ -165,6 +165,7 @@ m AS (SELECT coalesce(s.user_id, a.user_id) AS user_id, coalesce(s.n, a.n) AS n,
       FROM s FULL OUTER JOIN a ON s.user_id = a.user_id AND s.n = a.n)"""
 
 SQL["fifo_match"] = f"WITH {FIFO} SELECT user_id, n, sent_ts, acked_ts, latency_ms FROM m"
+SQL["fifo_match_stream"] = SQL["fifo_match"] + " WHERE sent_ts IS NOT NULL AND acked_ts IS NOT NULL"
 
 
 def _nearest(value: str, group: str, src: str, names: dict[str, float], where: str = "") -> str:
