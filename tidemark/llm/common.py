@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import shared_dir
+from tidemark.sources.files import FileSystem
 
 #: Bytes of input text aimed at in one range or hash partition of a text shuffle.
 TARGET_PARTITION_BYTES = 256 << 20
@@ -36,7 +37,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, "llm", label)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def spent(*frames: DataFrame) -> None:
+    """Deletes tables of :func:`written` that no frame still to be run reads."""
+    for df in frames:
+        FileSystem(df.sparkSession, df.written_to).delete(df.written_to)
 
 
 def picked(df: DataFrame, ids: DataFrame, col: str, how: str = "left_semi") -> DataFrame:
