@@ -6,9 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.latency import fifo_match
+from tidemark.operators.latency import delivery_per_second, fifo_match, with_in_flight
 from tidemark.sources.history import stream_table
-from tidemark.streaming.delivery import match_stream
+from tidemark.streaming.delivery import delivery_stream, match_stream
 from tidemark.streaming.sink import await_completion, insert_stream
 
 SCHEMA = "k string, j int, ts timestamp, acked boolean, i long"
@@ -85,3 +85,40 @@ def test_state_does_not_grow_with_the_run(spark, workdir):
 def test_nothing_to_match(spark, workdir, rows):
     append(spark, f"{workdir}/src", rows + far())
     assert run(spark, f"{workdir}/src", workdir) == {}
+
+
+def per_second(spark, src, work):
+    stream = stream_table(spark, src, schema=spark.createDataFrame([], SCHEMA).schema, max_files_per_trigger=1)
+    sends = stream.where(~F.col("acked")).select("k", "j", F.col("ts").alias("sent_ts"), "i")
+    acks = stream.where("acked").select("k", "j", F.col("ts").alias("acked_ts"), "i")
+    errors = stream.where("i % 50 = 0").select(F.col("ts").alias("failed_ts"))
+    per = delivery_stream(sends, acks, ["k", "j"], errors, order_tiebreak=["i"], delay="60 seconds")
+    await_completion(insert_stream(per, f"{work}/seconds", f"{work}/seconds_checkpoint", trigger="availableNow"), 300)
+    return with_in_flight(spark.read.parquet(f"{work}/seconds"))
+
+
+def test_seconds_equal_batch_over_several_runs(spark, workdir):
+    """Acks behind their sends: the rows are those of the batch form; closed seconds leave no state."""
+    rnd = random.Random(5)
+    rows = []
+    for i in range(300):
+        at = START + dt.timedelta(milliseconds=rnd.randint(0, 500_000))
+        k, j = rnd.choice("ab"), rnd.randint(0, 1)
+        rows.append((k, j, at, False, 2 * i))
+        if i % 10:
+            rows.append((k, j, at + dt.timedelta(milliseconds=rnd.randint(1, 4000)), True, 2 * i + 1))
+    parts = batches(rows, 6, 50, 2)
+    for part in parts[:3]:
+        append(spark, f"{workdir}/src", part)
+    early = {tuple(r) for r in per_second(spark, f"{workdir}/src", workdir).collect()}
+    for part in [*parts[3:], [(*r[:4], 50) for r in far()]]:
+        append(spark, f"{workdir}/src", part)
+    cols = ["second", "sent", "acked", "errors", "p50_ms", "p95_ms", "max_ms", "in_flight"]
+    got = {tuple(r) for r in per_second(spark, f"{workdir}/src", workdir).select(cols).collect()}
+    df = spark.createDataFrame(rows, SCHEMA)
+    m = fifo_match(df.where(~F.col("acked")).select("k", "j", F.col("ts").alias("sent_ts"), "i"),
+                   df.where("acked").select("k", "j", F.col("ts").alias("acked_ts"), "i"), ["k", "j"], order_tiebreak=["i"])
+    want = {tuple(r) for r in delivery_per_second(m, df.where("i % 50 = 0").select(F.col("ts").alias("failed_ts"))).select(cols).collect()}
+    assert got == want and len(want) > 200 and early
+    for operator in (0, 1):     # the two windowed aggregations hold the far second alone
+        assert spark.read.format("statestore").option("operatorId", operator).load(f"{workdir}/seconds_checkpoint").count() <= 1

@@ -75,12 +75,25 @@ def delivery_report(matched: DataFrame, by: Sequence[str] | str,
     return out
 
 
+def with_in_flight(per: DataFrame) -> DataFrame:
+    """``per`` (one row per ``second`` with ``sent`` and ``matched``) with ``in_flight`` at the end of each second.
+
+    The running sum has two levels, hours and the seconds of an hour, so no
+    task orders all seconds of a long run.
+    """
+    per = per.withColumn("_d", F.col("sent") - F.col("matched")).withColumn("_hour", F.date_trunc("hour", "second"))
+    earlier = Window.orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    hours = per.groupBy("_hour").agg(F.sum("_d").alias("_d")).select("_hour", F.coalesce(F.sum("_d").over(earlier), F.lit(0)).alias("_before"))
+    so_far = Window.partitionBy("_hour").orderBy("second").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return per.withColumn("_inner", F.sum("_d").over(so_far)).join(hours, "_hour") \
+              .withColumn("in_flight", F.col("_before") + F.col("_inner")).drop("_hour", "_d", "_before", "_inner")
+
+
 def delivery_per_second(matched: DataFrame, errors: DataFrame | None = None, failed_ts: str = "failed_ts") -> DataFrame:
     """A13 over time: per second sent and acked in it, errors, and the latency of what was acked in it.
 
     ``in_flight`` is what was sent up to the end of the second and not acked
-    by then.  Its running sum has two levels, hours and the seconds of an
-    hour, so no task orders all seconds of a long run.
+    by then.
     """
     def second(ts: str, df: DataFrame) -> Column:
         return F.date_trunc("second", ts).cast(df.schema[ts].dataType).alias("second")
@@ -95,12 +108,7 @@ def delivery_per_second(matched: DataFrame, errors: DataFrame | None = None, fai
         rows = rows.withColumn("e", F.lit(None).cast("int"))
     per = rows.groupBy("second").agg(F.count("s").alias("sent"), F.count("a").alias("acked"), F.count("e").alias("errors"),
                                      F.coalesce(F.sum("m"), F.lit(0).cast("long")).alias("matched"), F.max("latency_ms").alias("max_ms"))
-    per = per.withColumn("d", F.col("sent") - F.col("matched")).withColumn("hour", F.date_trunc("hour", "second"))
-    earlier = Window.orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
-    hours = per.groupBy("hour").agg(F.sum("d").alias("d")).select("hour", F.coalesce(F.sum("d").over(earlier), F.lit(0)).alias("before"))
-    so_far = Window.partitionBy("hour").orderBy("second").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    per = per.withColumn("inner", F.sum("d").over(so_far)).join(hours, "hour") \
-             .withColumn("in_flight", F.col("before") + F.col("inner")).drop("matched", "hour", "d", "before", "inner")
+    per = with_in_flight(per).drop("matched")
     pct = nearest_rank(acks.where("latency_ms is not null"), ["second"], "latency_ms", PERCENTILES)
     return _null_safe(per, pct, ["second"], "left").select("second", "sent", "acked", "in_flight", "errors", "p50_ms", "p95_ms", "max_ms")
 

@@ -24,14 +24,14 @@ from tidemark.functions import classify_status, clip_to_range, micros_between, u
 from tidemark.operators.changes import change_history
 from tidemark.operators.enrich import enrich_left
 from tidemark.operators.expand import expand_dimension
-from tidemark.operators.latency import delivery_overall, delivery_per_second, delivery_report, fifo_match, nearest_rank
+from tidemark.operators.latency import delivery_overall, delivery_per_second, delivery_report, fifo_match, nearest_rank, with_in_flight
 from tidemark.operators.latest import latest_per_key
 from tidemark.plans.live import live_rows
 from tidemark.plans.reports import alarm_counts, alarms_now, landing_report, recent_updates, status_breakdown
 from tidemark.session import shared_dir
 from tidemark.sources.history import from_wire, parse_json_events, read_table, stream_table
 from tidemark.sources.tables import append_history, overwrite
-from tidemark.streaming.delivery import match_stream
+from tidemark.streaming.delivery import delivery_stream, match_stream
 from tidemark.streaming.keyed import KeyedTable
 from tidemark.streaming.progress import parse_progress, progress_report, running_totals
 from tidemark.streaming.sink import await_completion, insert_stream, upsert_stream
@@ -380,26 +380,41 @@ def q_fifo_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fifo(spark, sf_dir)
 
 
-def q_fifo_match_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J3 on a stream: eight files, each with rows up to two days younger or older than its neighbours'."""
-    work = shared_dir(spark, "fifo_match_stream")
+def _delivery_streams(spark: SparkSession, sf_dir: str, work: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Streams of sends, acks and errors: eight files, each with rows up to two days younger or older than its neighbours'."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     day = F.timestamp_diff("DAY", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts")) + F.pmod(F.xxhash64("event_id"), F.lit(3))
     files = e.withColumn("_file", F.least(F.greatest(F.floor(day / 4), F.lit(0)), F.lit(7)).cast("int"))
-    # Rows of a far time on both sides, which themselves wait for ever, let the watermark pass all others.
-    last = e.groupBy("event_type").agg((F.max("ts") + F.expr("INTERVAL 100 DAYS")).alias("ts")).where(F.col("event_type").isin("click", "view")).select(
+    # Rows of a far time on all sides, which themselves wait for ever, let the watermark pass all others.
+    last = e.groupBy("event_type").agg((F.max("ts") + F.expr("INTERVAL 100 DAYS")).alias("ts")).where(F.col("event_type").isin("click", "view", "error")).select(
         F.lit(-1).cast("long").alias("event_id"), "ts", F.lit(-1).cast("long").alias("user_id"), "event_type", F.lit(8).alias("_file"))
     files = files.unionByName(last)
     for k in range(9):   # one after the other, so that they are read in this order
         write_files(files, f"{work}/events", k, k + 1)
     stream = _events_stream(spark, f"{work}/events", max_files=1)
-    sends = stream.where(F.col("event_type") == "click").select("user_id", F.col("ts").alias("sent_ts"), "event_id")
-    acks = stream.where(F.col("event_type") == "view").select("user_id", F.col("ts").alias("acked_ts"), "event_id")
+    return (stream.where(F.col("event_type") == "click").select("user_id", F.col("ts").alias("sent_ts"), "event_id"),
+            stream.where(F.col("event_type") == "view").select("user_id", F.col("ts").alias("acked_ts"), "event_id"),
+            stream.where(F.col("event_type") == "error").select(F.col("ts").alias("failed_ts")))
+
+
+def q_fifo_match_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 on a stream with disorder over its files."""
+    work = shared_dir(spark, "fifo_match_stream")
+    sends, acks, _ = _delivery_streams(spark, sf_dir, work)
     pairs = match_stream(sends, acks, "user_id", order_tiebreak=["event_id"], delay="4 days")
     await_completion(insert_stream(pairs, f"{work}/pairs", f"{work}/checkpoint", trigger="availableNow"))
     return _ntz_out(spark.read.parquet(f"{work}/pairs"), "sent_ts", "acked_ts")
 
 
+def q_delivery_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A13 over time on a stream: matcher and two windowed aggregations in one query."""
+    work = shared_dir(spark, "delivery_stream")
+    sends, acks, errors = _delivery_streams(spark, sf_dir, work)
+    per = delivery_stream(sends, acks, "user_id", errors, order_tiebreak=["event_id"], delay="4 days")
+    await_completion(insert_stream(per, f"{work}/seconds", f"{work}/checkpoint", trigger="availableNow"))
+    return _ntz_out(with_in_flight(spark.read.parquet(f"{work}/seconds")), "second")
+
+
 def q_nearest_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_rank(table(spark, sf_dir, "events"), ["event_type"], "value", {"p50": 0.5, "p95": 0.95})
 
@@ -535,6 +550,7 @@ QUERIES = {
     "progress_running_total": q_progress_running_total,
     "fifo_match": q_fifo_match,
     "fifo_match_stream": q_fifo_match_stream,
+    "delivery_stream": q_delivery_stream,
     "nearest_rank": q_nearest_rank,
     "delivery_report": q_delivery_report,
     "delivery_per_second": q_delivery_per_second,

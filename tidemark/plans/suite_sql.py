@@ -201,6 +201,17 @@ pct AS {_nearest("latency_ms", "second", "x", {"p50_ms": 0.5, "p95_ms": 0.95})}
 SELECT per.second, sent, acked, errors, max_ms, CAST(sum(d) OVER (ORDER BY per.second) AS BIGINT) AS in_flight, p50_ms, p95_ms
 FROM per LEFT JOIN pct ON pct.second = per.second"""
 
+SQL["delivery_stream"] = f"""WITH {FIFO},
+x AS (SELECT date_trunc('second', sent_ts) AS second, 1 AS s, 0 AS a, 0 AS e, NULL::DOUBLE AS latency_ms FROM m WHERE sent_ts IS NOT NULL
+      UNION ALL SELECT date_trunc('second', acked_ts), 0, 1, 0, NULL FROM m WHERE acked_ts IS NOT NULL
+      UNION ALL SELECT date_trunc('second', greatest(sent_ts, acked_ts)), 0, 0, 0, latency_ms FROM m WHERE latency_ms IS NOT NULL
+      UNION ALL SELECT date_trunc('second', ts), 0, 0, 1, NULL FROM events WHERE event_type = 'error'),
+per AS (SELECT second, CAST(sum(s) AS BIGINT) AS sent, CAST(sum(a) AS BIGINT) AS acked, CAST(sum(e) AS BIGINT) AS errors,
+               count(latency_ms) AS matched, max(latency_ms) AS max_ms FROM x GROUP BY second),
+pct AS {_nearest("latency_ms", "second", "x", {"p50_ms": 0.5, "p95_ms": 0.95})}
+SELECT per.second, sent, acked, errors, matched, max_ms, CAST(sum(sent - matched) OVER (ORDER BY per.second) AS BIGINT) AS in_flight, p50_ms, p95_ms
+FROM per LEFT JOIN pct ON pct.second = per.second"""
+
 SQL["delivery_overall"] = f"""WITH {FIFO},
 g AS (SELECT *, 0 AS one FROM m),
 pct AS {_nearest("latency_ms", "one", "g", {"p50_ms": 0.5, "p95_ms": 0.95})}

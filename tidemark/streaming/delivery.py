@@ -1,4 +1,4 @@
-"""J3 on a stream: the n-th acknowledgement of a stream key belongs to its n-th send.
+"""J3 and A13 on streams: the n-th acknowledgement of a stream key belongs to its n-th send; latency per second.
 
 The batch form (``operators.latency.fifo_match``) numbers both sides by time.
 Here rows may arrive in any order within the watermark delay, on either side
@@ -16,6 +16,12 @@ batch of a hot key is bounded by the source's rate limits.
 Matched pairs equal those of the batch form over all rows that are older than
 the watermark.  Rows that arrive later than the delay are dropped, as by every
 event-time operator.  Rows without a time are left out; the key may be null.
+
+``delivery_stream`` chains two windowed aggregations behind the matcher: counts
+per second and latency, then one row per second with exact percentiles.  The
+event time of a pair is the later of its two times, which is never older than
+the watermark of the batch before.  A second leaves once, when the watermark has
+passed its end, and its state goes with it.
 """
 
 from __future__ import annotations
@@ -25,17 +31,18 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.functions import ms_between
+from tidemark.operators.latency import PERCENTILES
 
 # The processor runs on executors, which need no copy of this library.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _ROW = "acked boolean, us long, tie string"
-_PAIRS = "n long, sent_us long, acked_us long"
+_PAIRS = "n long, sent_us long, acked_us long, matched_ts timestamp"
 
 
 class FifoMatcher(StatefulProcessor):
@@ -76,8 +83,9 @@ class FifoMatcher(StatefulProcessor):
         if k:
             n = self.pairs.get()[0] if self.pairs.exists() else 0
             self.pairs.update((n + k,))
-            yield pd.DataFrame({**{c: [v] * k for c, v in zip(self.keys, key)}, "n": range(n + 1, n + k + 1),
-                                "sent_us": queue[False][:k], "acked_us": queue[True][:k]})
+            sent, acked = queue[False][:k], queue[True][:k]
+            yield pd.DataFrame({**{c: [v] * k for c, v in zip(self.keys, key)}, "n": range(n + 1, n + k + 1), "sent_us": sent, "acked_us": acked,
+                                "matched_ts": pd.to_datetime(list(map(max, sent, acked)), unit="us", utc=True)})
 
     @staticmethod
     def _after(us: int) -> int:
@@ -95,14 +103,9 @@ class FifoMatcher(StatefulProcessor):
         pass
 
 
-def match_stream(sends: DataFrame, acks: DataFrame, stream: Sequence[str] | str, sent_ts: str = "sent_ts", acked_ts: str = "acked_ts",
-                 order_tiebreak: Sequence[str] = (), delay: str = "10 seconds") -> DataFrame:
-    """A stream of pairs: stream keys, ``n``, ``sent_ts``, ``acked_ts``, ``latency_ms`` (append mode).
-
-    ``sends`` and ``acks`` are streams; rows of one time are ordered by the
-    tie-break columns, which must be whole numbers of at most 18 digits or
-    strings.  The watermark is the lower one of both sides.
-    """
+def _pairs(sends: DataFrame, acks: DataFrame, stream: Sequence[str] | str, sent_ts: str, acked_ts: str,
+           order_tiebreak: Sequence[str], delay: str) -> DataFrame:
+    """Stream keys and ``_PAIRS``; ``matched_ts``, the later time of the pair, is the event time."""
     by = [stream] if isinstance(stream, str) else list(stream)
 
     def side(df: DataFrame, ts: str, acked: bool) -> DataFrame:
@@ -117,6 +120,58 @@ def match_stream(sends: DataFrame, acks: DataFrame, stream: Sequence[str] | str,
 
     both = side(sends, sent_ts, False).unionByName(side(acks, acked_ts, True))
     keys = ", ".join(f"`{c}` {sends.schema[c].dataType.simpleString()}" for c in by)
-    pairs = both.groupBy(*by).transformWithStateInPandas(FifoMatcher(by), f"{keys}, {_PAIRS}", "append", "EventTime")
+    return both.groupBy(*by).transformWithStateInPandas(FifoMatcher(by), f"{keys}, {_PAIRS}", "append", "EventTime", eventTimeColumnName="matched_ts")
+
+
+def match_stream(sends: DataFrame, acks: DataFrame, stream: Sequence[str] | str, sent_ts: str = "sent_ts", acked_ts: str = "acked_ts",
+                 order_tiebreak: Sequence[str] = (), delay: str = "10 seconds") -> DataFrame:
+    """A stream of pairs: stream keys, ``n``, ``sent_ts``, ``acked_ts``, ``latency_ms`` (append mode).
+
+    ``sends`` and ``acks`` are streams; rows of one time are ordered by the
+    tie-break columns, which must be whole numbers of at most 18 digits or
+    strings.  The watermark is the lower one of both sides.
+    """
+    by = [stream] if isinstance(stream, str) else list(stream)
+    pairs = _pairs(sends, acks, by, sent_ts, acked_ts, order_tiebreak, delay)
     out = pairs.select(*by, "n", F.timestamp_micros("sent_us").alias(sent_ts), F.timestamp_micros("acked_us").alias(acked_ts))
     return out.withColumn("latency_ms", ms_between(acked_ts, sent_ts))
+
+
+def _at_rank(values: str, total: str, q: float) -> Column:
+    """The value at index round_half_even((total - 1) * q) of sorted (value, n) counts."""
+    k = F.bround((F.col(total) - 1) * F.lit(q), 0)
+    start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("double").alias("value"))
+
+    def step(acc, x):
+        here = (acc["seen"] <= k) & (k < acc["seen"] + x["n"])
+        return F.struct((acc["seen"] + x["n"]).alias("seen"), F.when(here, x["latency_ms"]).otherwise(acc["value"]).alias("value"))
+
+    return F.aggregate(values, start, step)["value"]
+
+
+def delivery_stream(sends: DataFrame, acks: DataFrame, stream: Sequence[str] | str, errors: DataFrame | None = None, sent_ts: str = "sent_ts",
+                    acked_ts: str = "acked_ts", failed_ts: str = "failed_ts", order_tiebreak: Sequence[str] = (), delay: str = "10 seconds") -> DataFrame:
+    """A stream with one row per second in which something happened (append mode).
+
+    Columns: ``second``, ``sent``, ``acked``, ``errors`` (rows of that second), ``matched`` (pairs whose later
+    time is in it) and ``p50_ms``, ``p95_ms`` (nearest rank), ``max_ms`` of their latencies.  Where no ack comes
+    before its send, these are the numbers of the batch form.  ``operators.latency.with_in_flight`` adds what is
+    in flight when the rows are read.  State: per open second its distinct latencies, beside that of the matcher.
+    """
+    def counted(df: DataFrame, ts: str, name: str) -> DataFrame:
+        rows = df.select(F.col(ts).cast("timestamp").alias("at")).where("at is not null").withWatermark("at", delay)
+        return rows.select("at", *[F.lit(int(c == name)).alias(c) for c in ("s", "a", "e")], F.lit(None).cast("double").alias("latency_ms"))
+
+    pairs = _pairs(sends, acks, stream, sent_ts, acked_ts, order_tiebreak, delay)
+    latency = ms_between(F.timestamp_micros("acked_us"), F.timestamp_micros("sent_us")).cast("double")
+    rows = pairs.select(F.col("matched_ts").alias("at"), *[F.lit(0).alias(c) for c in "sae"], latency.alias("latency_ms"))
+    for df, ts, name in ((sends, sent_ts, "s"), (acks, acked_ts, "a"), (errors, failed_ts, "e")):
+        if df is not None:
+            rows = rows.unionByName(counted(df, ts, name))
+    each = rows.groupBy(F.window("at", "1 second"), "latency_ms").agg(*[F.sum(c).alias(c) for c in "sae"], F.count("latency_ms").alias("n"))
+    pair = F.when(F.col("latency_ms").isNotNull(), F.struct("latency_ms", "n"))     # a list leaves nulls out
+    per = each.groupBy(F.window("window", "1 second")).agg(
+        F.sum("s").alias("sent"), F.sum("a").alias("acked"), F.sum("e").alias("errors"), F.sum("n").alias("matched"),
+        F.array_sort(F.collect_list(pair)).alias("counts"), F.max("latency_ms").alias("max_ms"))
+    return per.select(F.col("window.start").alias("second"), "sent", "acked", "errors", "matched",
+                      *[_at_rank("counts", "matched", q).alias(c) for c, q in PERCENTILES.items()], "max_ms")
