@@ -431,6 +431,40 @@ def test_packing(docs, texts, unique, empty, buffer_tokens):
     assert packing.pack(empty, path).count() == 0
 
 
+def test_packing_awkward(awkward):
+    """Null and repeated ids, clashing columns: every row is packed for itself, in full."""
+    from tokenizers import Tokenizer
+    path = packing.default_tokenizer()
+    tok = Tokenizer.from_file(path)
+    want = sorted((str(r.doc_id), len(tok.encode(r.text or "", add_special_tokens=False).ids) + 1) for r in awkward.select("doc_id", "text").collect())
+    rows = packing.pack(awkward, path).collect()
+    assert sorted((str(r.id), r.doc_tokens) for r in rows if r.start == 0) == want
+    assert sum(r.length for r in rows) == sum(n for _, n in want)
+
+
+def test_step_groups_are_balanced():
+    """Long documents and short ones, several flushes: full groups, but for the last ones, of like cost."""
+    rng = np.random.default_rng(3)
+    packer, rows = packing.Packer(0, buffer_tokens=200_000), []
+    for doc, n in enumerate([4096] * 60 + [int(x) for x in rng.integers(1, 9000, 300)] + [100_000]):
+        packer.add(doc, b"\1\0\0\0" * n)
+        if packer.held >= packer.limit:
+            rows += packer.flush(False)
+    before = len({r[8] for r in rows})
+    rows += packer.flush(True)
+    cost, members = {}, {}
+    for r in rows:
+        members.setdefault(r[8], set()).add(r[5])
+        cost[r[8]] = cost.get(r[8], 0) + r[2] ** 2
+    sizes = [len(members[g]) for g in sorted(members)]
+    assert before > 5 and set(sizes[:before]) == {packing.STEP_SEQUENCES}
+    assert max(sizes[before:]) <= packing.STEP_SEQUENCES and max(sizes[before:]) - min(sizes[before:]) <= 1
+    full = [cost[g] for g in sorted(members)[:before]]
+    assert max(full) < 1.6 * min(full)
+    assert sum(r[2] for r in rows) == 4096 * 60 + 100_000 + sum(int(x) for x in np.random.default_rng(3).integers(1, 9000, 300))
+    assert packer.flush(True) == []
+
+
 def test_word_tokenizer_matches_whole_texts(texts):
     from tokenizers import Tokenizer
     path = packing.default_tokenizer()

@@ -1,8 +1,8 @@
 """Hierarchical multi-length packing.
 
 Each document becomes token ids and an end id.  Whole windows of the longest tier are cut off first and
-fill a sequence each.  The rest is routed to the smallest context tier that holds it (256, 512, 1024 or
-2048 ids) and waits in a bounded buffer of its task.  When the buffer is full, the tiers are packed:
+fill a sequence each; they wait in the same bounded buffer of their task.  The rest is routed to the smallest context tier that holds it (256, 512, 1024 or
+2048 ids) and waits, too.  When the buffer is full, the tiers are packed:
 
 * the rests of a tier open its windows, longest first and from the longest tier down;
 * the gaps of a window are filled with the longest whole rests that fit, also from shorter tiers;
@@ -10,10 +10,12 @@ fill a sequence each.  The rest is routed to the smallest context tier that hold
 * fewer ids than the shortest tier wait for the next flush; when the task ends, they close in windows of
   smaller powers of two.  No window needs padding.
 
-The sequences of a flush are dealt to step groups in a snake order of their attention cost (the sum of
-squared piece lengths), so groups of one step take about the same time.
+The sequences of a flush, whole windows too, are dealt to step groups in a snake order of their attention
+cost (the sum of squared piece lengths), so groups of one step take about the same time.  A group holds
+``STEP_SEQUENCES`` sequences; those over a multiple of it wait for the next flush.  Only the last groups of
+a task may hold fewer, and their sizes differ by one at most.
 
-All work is local to a task: no shuffle, and a task holds at most ``BUFFER_TOKENS`` ids.  A sequence id is
+All work is local to a task: no shuffle, and a task holds at most ``BUFFER_TOKENS`` ids and one document.  A sequence id is
 the task's number and a running number, so a task that runs again yields the same rows.
 
 Cases: null and empty texts are one piece that holds the end id alone.  Rows that share an id are packed
@@ -112,7 +114,7 @@ def split_words(text: str) -> list[str]:
 
 
 class Packer:
-    """Packs (document, ids) of one task; ``flush`` and ``finish`` return rows of pieces."""
+    """Packs (document, ids) of one task; ``flush`` returns rows of pieces."""
 
     def __init__(self, task: int, tiers=TIERS, buffer_tokens: int = BUFFER_TOKENS, step_sequences: int = STEP_SEQUENCES):
         self.tiers, self.limit, self.steps = tuple(sorted(tiers)), buffer_tokens, step_sequences
@@ -120,17 +122,25 @@ class Packer:
         self.next_id = task << 33
         self.next_group = task << 33
         self.waiting: list[tuple] = []   # (length, doc, start, ids, doc_tokens)
+        self.ready: list[list[tuple]] = []   # sequences without a step group
         self.held = 0
 
-    def add(self, doc, ids: bytes) -> list[list[tuple]]:
-        """Sequences of whole windows of the document; its rest waits."""
+    def add(self, doc, ids: bytes) -> None:
+        """Whole windows of the document and its rest wait for the next flush."""
         n = len(ids) // 4
         full = n - n % self.top
-        out = [[(doc, i, ids[4 * i:4 * (i + self.top)], n)] for i in range(0, full, self.top)]
+        self.ready += [[(doc, i, ids[4 * i:4 * (i + self.top)], n)] for i in range(0, full, self.top)]
         if full < n:
             self.waiting.append((n - full, doc, full, ids[4 * full:], n))
-            self.held += n - full
-        return out
+        self.held += n
+
+    def flush(self, last: bool) -> list[tuple]:
+        """Rows of all full step groups; of the last groups, too, if ``last``."""
+        self.ready += self.pack(last)
+        n = len(self.ready) if last else len(self.ready) // self.steps * self.steps
+        done, self.ready = self.ready[:n], self.ready[n:]
+        self.held += sum(len(p[2]) // 4 for s in self.ready for p in s)
+        return self.rows(done)
 
     def pack(self, last: bool) -> list[list[tuple]]:
         """Sequences of the waiting rests; unless ``last``, fewer ids than the shortest tier wait on."""
@@ -196,7 +206,7 @@ class Packer:
     def rows(self, sequences: list[list[tuple]]) -> list[tuple]:
         """Numbered pieces: (doc, start, length, crc, doc_tokens, sequence, offset, tier, step_group)."""
         cost = [sum((len(p[2]) // 4) ** 2 for p in s) for s in sequences]
-        groups = max(1, -(-len(sequences) // self.steps))
+        groups = -(-len(sequences) // self.steps)
         order = sorted(range(len(sequences)), key=lambda i: -cost[i])
         group = {i: (r % groups if (r // groups) % 2 == 0 else groups - 1 - r % groups) for r, i in enumerate(order)}
         out = []
@@ -234,8 +244,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         tokenizer, packer = worker_tokenizer(tokenizer_path), Packer(TaskContext.get().partitionId(), tiers, buffer_tokens)
         id_type = None
 
-        def out(sequences):
-            rows = packer.rows(sequences)
+        def out(rows):
             for i in range(0, len(rows), 5000):
                 cols = list(zip(*rows[i:i + 5000]))
                 types = [id_type] + [pa.int64()] * 6 + [pa.int32(), pa.int64()] + [pa.binary()]
@@ -246,13 +255,11 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             for i in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(i, TEXTS)
                 for doc, ids in zip(part.column(0).to_pylist(), tokenizer.ids(part.column(1).to_pylist())):
-                    whole = packer.add(doc, ids + end)
-                    if whole:
-                        yield from out(whole)
+                    packer.add(doc, ids + end)
                     if packer.held >= buffer_tokens:
-                        yield from out(packer.pack(False))
-        if packer.waiting:
-            yield from out(packer.pack(True))
+                        yield from out(packer.flush(False))
+        if packer.held:
+            yield from out(packer.flush(True))
         pa.default_memory_pool().release_unused()
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
