@@ -354,6 +354,48 @@ def test_contexts_reveal_unseen_identifiers(spark, awkward, empty):
     assert pii.find_pii(empty).count() == 0
 
 
+def test_contexts_at_production_settings(spark):
+    """Runs of tokens and spelt-out addresses, behind contexts that base spans teach; base spans stay apart."""
+    rows = [(i, f"Note {i % 3}: please call me at +1 555 010 {1000 + i} today") for i in range(12)]
+    rows += [(20 + i, f"my address is user{i}@example.com thanks") for i in range(12)]
+    rows += [(100, "please call me at 01234 567 890 now"), (101, "again 01234 567 890, ok"), (102, "my address is jane(at)corp.org!"),
+             (103, "the figure is 1234 5678"), (104, "please call me at 1234/555 a@b.co")]
+    out = {r.id: r for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    added = {k: [(s.kind, rows_text[s.start:s.stop]) for s in r.added] for k, r in out.items() for rows_text in [dict(rows)[k]] if r.added}
+    assert added == {100: [(3, "01234 567 890")], 101: [(3, "01234 567 890")], 102: [(0, "jane(at)corp.org")], 104: [(3, "1234/555")]}
+
+
+def test_occurrences_against_brute_force(spark):
+    """Every token with a mark is an occurrence unless it touches a base span or lies in a run."""
+    import random
+    import re
+    rnd = random.Random(4)
+    words = ["a1", "12345", "1234", "+12345678", "x@y.co", "1.2.3.4", "the", "é", "4111111111111111", "jo(at)x", "99", "w,5555", "zz7-77", "[", "\n", "=8888"]
+    texts = [" ".join(["so", *rnd.choices(words, k=rnd.randint(0, 40))]) for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").withColumn("base", pii.base_spans(F.col("text")))
+    got = {r.i: sorted((o.start, o.stop) for o in r.seen if o.kind is None) for r in pii.with_occurrences(df).select("i", "seen").collect()}
+    token = re.compile(pii.TOKEN)
+    for i, t in enumerate(texts):
+        base = [s[1:] for s in pii.brute_force(t)]
+        apart = lambda m, spans: all(b <= m.start() or m.end() <= a for a, b in spans)     # noqa: E731
+        for m in token.finditer(t):
+            if 4 <= len(m[0]) <= 64 and apart(m, base):
+                stop = m.start() + len(re.sub(r"[.!?:)]+$", "", m[0]))
+                assert any(a <= m.start() and stop <= b for a, b in got[i]), (t, m)
+        assert all(b <= c or d <= a for a, b in got[i] for c, d in base)
+        assert all(x[1] <= y[0] for x, y in zip(got[i], got[i][1:]))
+        assert all(any(m.start() == a for m in token.finditer(t)) for a, _ in got[i])
+
+
+def test_a_text_of_numbers_takes_seconds(spark):
+    import time
+    texts = [(1, " ".join(f"n {i * 7919 % 1000003:07d}" for i in range(100_000))), (2, "7 " * 300_000), (3, "a@b.co +12345678 " * 40_000)]
+    begin = time.time()
+    out = {r.id: r for r in pii.find_pii(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert time.time() - begin < 60
+    assert not out[1].base and not out[2].base and len(out[3].base) == 80_000
+
+
 def test_mask(spark):
     df = spark.createDataFrame([(1, "é a@b.co or 1.2.3.4!")], "doc_id long, text string")
     out = df.join(pii.find_pii(df).withColumnRenamed("id", "doc_id"), "doc_id").select(pii.mask(F.col("text"), F.col("base")).alias("m")).first()

@@ -5,14 +5,19 @@ overlap, checked by their digits.  The written patterns below match the same str
 but in linear time and without recursion: a run is entered at its start only, and separators that stand
 between two characters of a run are first replaced by one control character, which keeps offsets.
 
-*Bootstrapping* then looks for identifiers that no pattern knows.  An occurrence is a base span or another
-token with a digit; its lexical pattern is the two words before it.  The distinct (pattern, instance)
-pairs are a graph.  Each round scores a pattern for a kind by the share of its instances that are known
-as that kind (``support`` of them at least), and an instance by the noisy-or of its patterns.  Instances
-at or above ``confidence`` become known and all their occurrences are added spans.  Base spans stay.
+*Bootstrapping* then looks for identifiers that no pattern knows.  An occurrence is a base span, or a run of
+tokens with marks (a digit, an at-sign, "(at)" or "[at]") one space apart, or a single such token where no run
+stands; its lexical pattern is the two words before it.  The distinct (pattern, instance) pairs are a graph.
+Each round scores a pattern for a kind by the share of its instances that are known as that kind (``support``
+of them at least), and an instance by the noisy-or of its patterns.  Instances at or above ``confidence``
+become known and all their occurrences are added spans.  Base spans stay.
+
+A text of n matches takes about n ** 1.5 small steps: running sums and maxima go over blocks of about the root
+of n, and contexts are put together from the pieces between the matches, never cut out of the whole text.
 
 Cases: null text is empty.  Rows are told apart by a key of their own, so ids may repeat or be null.
-Texts without matches have empty spans.  Of two kinds with one score the first listed wins.  An empty
+Texts without matches have empty spans; very long texts are matched whole, and what
+is longer than ``MAX_CHARS`` is no identifier (base spans have no such limit).  Of two kinds with one score the first listed wins.  An empty
 table gives an empty result.
 """
 
@@ -30,28 +35,75 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 IP_PART = r"0*(?:[0-9]{1,2}|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
 CARD = r"(?<![0-9\x01])[0-9\x01]{16,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: A token that may be an identifier: it has a digit.
-TOKEN = r"(?<![^\s\x22'<>,;=])[^\s\x22'<>,;=]*[0-9][^\s\x22'<>,;=]*"
+#: A token that may be an identifier: it has a mark.
+_T = r"[^\s\x22'<>,;=]"
+TOKEN = rf"(?<!{_T}){_T}*(?:[0-9@]|[(\[][Aa][Tt][)\]]){_T}*"
+#: Spaces inside a run of such tokens: a digit on both sides, 16 characters away at most.
+GLUE = rf"(?<=[0-9]{_T}{{0,16}})\x20(?={_T}{{0,16}}[0-9])"
+#: Characters of an identifier that is no base span.
+MIN_CHARS, MAX_CHARS = 4, 64
 #: Characters before an occurrence in which its two words are looked for.
 LEFT_CHARS = 60
 SUPPORT, CONFIDENCE, ROUNDS = 5, 0.8, 2
 
 _SPAN = "struct<kind:int,start:int,stop:int>"
 _EMPTY = f"cast(array() as array<{_SPAN}>)"
+_EMPTY_FOUND = "cast(array() as array<struct<kind:int,start:int,stop:int,surface:string,left:string>>)"
+_FAR = 2**31 - 1
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once a row, also where ``body`` uses it in lambdas."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _running(values: Column, zero: int, op) -> Column:
+    """Running folds, each element included, of a filled array of int; block by block."""
+    def fold(a: Column) -> Column:
+        return F.aggregate(a, F.array(F.lit(zero)), lambda acc, x: F.concat(acc, F.array(op(F.element_at(acc, -1), x))))
+
+    def in_blocks(a: Column, k: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(a) - 1) / k).cast("int")), lambda b: fold(F.slice(a, b * k + 1, k)))
+        return _let(blocks, lambda w: _let(fold(F.transform(w, lambda x: F.element_at(x, -1))), lambda before: F.flatten(
+            F.transform(w, lambda x, i: F.transform(F.slice(x, 2, F.size(x) - 1), lambda v: op(before[i], v))))))
+
+    return _let(values, lambda a: _let(F.ceil(F.sqrt(F.size(a))).cast("int"), lambda k: in_blocks(a, k)))
 
 
 def _found(text: Column, pattern: str, kind: int, ok) -> Column:
-    """Spans of the matches of ``pattern`` that pass ``ok``, with their offsets in code points."""
-    zero = F.expr(f"named_struct('at', 0, 'out', {_EMPTY})")
+    """Matches of ``pattern`` that pass ``ok``: offsets in code points, surface, and the characters to the left."""
+    def tail(x: Column) -> Column:
+        return F.coalesce(F.substring(x, -LEFT_CHARS, LEFT_CHARS), F.lit(""))
+
+    def spans(piece: Column, hit: Column) -> Column:
+        ends = _running(F.transform(hit, lambda x, i: F.length(piece[i]) + F.length(x)), 0, lambda a, b: a + b)
 
-    def step(acc, x):
-        start = acc["at"] + F.length(x["0"])
-        stop = start + F.coalesce(F.length(x["1"]), F.lit(0))
-        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), stop.alias("stop"))
-        return F.struct(stop.alias("at"), F.when(x["1"].isNotNull() & ok(x["1"]), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+        def span(x: Column, i: Column, end: Column) -> Column:
+            left = tail(F.concat(tail(F.get(hit, i - 2)), tail(F.get(piece, i - 1)), tail(F.get(hit, i - 1)), tail(piece[i])))
+            return F.struct(F.lit(kind).alias("kind"), (end - F.length(x)).alias("start"), end.alias("stop"), x.alias("surface"), left.alias("left"))
 
-    parts = F.arrays_zip(F.split(text, pattern, -1).alias("0"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("1"))
-    return F.aggregate(parts, zero, step)["out"]
+        return F.filter(_let(ends, lambda e: F.transform(hit, lambda x, i: span(x, i, e[i]))), lambda o: ok(o["surface"]))
+
+    found = _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda hit: F.when(
+        F.size(hit) > 0, _let(F.split(text, pattern, -1), lambda piece: spans(piece, hit))).otherwise(F.expr(_EMPTY_FOUND)))
+    return found
+
+
+def _apart(found: Column, others: Column) -> Column:
+    """Those of ``found`` that share no character with one of ``others``: a merge by start."""
+    def merged(both: Column) -> Column:
+        mine = lambda o: o["own"]                                                                            # noqa: E731
+        seen = _running(F.transform(both, lambda o: F.when(mine(o), F.lit(-1)).otherwise(o["span"]["stop"])), -1, F.greatest)
+        ahead = F.reverse(_running(F.reverse(F.transform(both, lambda o: F.when(mine(o), F.lit(_FAR)).otherwise(o["span"]["start"]))), _FAR, F.least))
+        return _let(seen, lambda s: _let(ahead, lambda h: F.transform(F.filter(
+            F.transform(both, lambda o, i: F.struct(o["span"].alias("span"), (mine(o) & (s[i] <= o["span"]["start"]) & (h[i] >= o["span"]["stop"])).alias("keep"))),
+            lambda o: o["keep"]), lambda o: o["span"])))
+
+    def tagged(spans: Column, own: bool) -> Column:
+        return F.transform(spans, lambda o: F.struct(o["start"].alias("start"), F.lit(own).alias("own"), o.alias("span")))
+
+    return _let(found, lambda f: _let(others, lambda b: F.when((F.size(f) == 0) | (F.size(b) == 0), f).otherwise(
+        _let(F.array_sort(F.concat(tagged(f, True), tagged(b, False))), merged))))
 
 
 def _digits(x: Column) -> Column:
@@ -69,11 +121,11 @@ def _luhn(x: Column) -> Column:
 
 
 def base_spans(text: Column) -> Column:
-    """array<struct<kind, start, stop>> of a non-null text, by kind, then start."""
+    """Spans of a non-null text by kind, then start: kind, start, stop, surface, left."""
     clean = F.translate(text, "\x01", "\x02")
     dots = F.regexp_replace(clean, r"(?<=[A-Za-z0-9-])\.(?=[A-Za-z0-9-])", "\x01")
     joined = F.regexp_replace(clean, r"(?<=[0-9])[\x20-](?=[0-9])", "\x01")
-    none = F.expr(_EMPTY)
+    none = F.expr(_EMPTY_FOUND)
     email = F.when(F.contains(text, F.lit("@")), _found(dots, EMAIL, 0, lambda x: F.lit(True))).otherwise(none)
     ip = F.when(F.rlike(text, F.lit(r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]")), _found(text, IP, 1, lambda x: F.rlike(x, F.lit(rf"^{IP_PART}(?:\.{IP_PART}){{3}}$")))).otherwise(none)
     card = F.when(F.rlike(text, F.lit(r"[0-9][0-9\x20-]{14,}+")), _found(
@@ -82,24 +134,29 @@ def base_spans(text: Column) -> Column:
     return F.concat(email, ip, card, phone)
 
 
-def _context(text: Column, start: Column) -> Column:
-    """The two words before ``start``, lower-cased, each digit as 0."""
-    left = F.substr(text, F.greatest(start - LEFT_CHARS, F.lit(0)) + 1, F.least(start, F.lit(LEFT_CHARS)))
-    return F.translate(F.lower(F.regexp_extract(left, r"(\S+\s+)?\S+\s*$", 0)), "123456789", "000000000")
-
-
-def _occurrences(text: Column, base: Column) -> Column:
-    """Base spans and other tokens with a digit: kind (null: unknown), start, stop, instance, pattern."""
-    other = F.filter(F.when(F.rlike(text, F.lit("[0-9]")), _found(text, TOKEN, -1, lambda x: F.length(x) >= 4)).otherwise(F.expr(_EMPTY)),
-                     lambda s: ~F.exists(base, lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
+def with_occurrences(rows: DataFrame) -> DataFrame:
+    """``rows`` (non-null ``text`` and its ``base`` spans) with ``seen``: kind (null: unknown), start, stop, instance, pattern."""
+    def sized(x: Column) -> Column:
+        return F.length(x).between(MIN_CHARS, MAX_CHARS)
 
     def full(s):
-        surface = F.substr(text, s["start"] + 1, s["stop"] - s["start"])
-        trimmed = F.regexp_replace(surface, r"[.!?:)]++$", "")
+        surface = F.translate(s["surface"], "\x01", " ")
+        trimmed = F.when(s["kind"].isin(0), F.translate(s["surface"], "\x01", ".")).otherwise(F.regexp_replace(surface, r"[.!?:)]++$", ""))
+        words = F.regexp_extract(F.translate(s["left"], "\x01", " "), r"(\S+\s+)?\S+\s*$", 0)
         return F.struct(F.when(s["kind"] >= 0, s["kind"]).alias("kind"), s["start"].alias("start"), (s["start"] + F.length(trimmed)).alias("stop"),
-                        F.lower(trimmed).alias("instance"), _context(text, s["start"]).alias("pattern"))
+                        F.lower(trimmed).alias("instance"), F.translate(F.lower(words), "123456789", "000000000").alias("pattern"))
 
-    return F.filter(F.transform(F.concat(base, other), full), lambda o: (F.length(o["pattern"]) > 0) & (o["stop"] > o["start"]))
+    none, marked = F.expr(_EMPTY_FOUND), F.rlike("text", F.lit(r"[0-9@]|(?i)[(\[]at[)\]]"))
+    clean = F.translate("text", "\x01", "\x02")
+    # Column by column: as one expression, the lambdas would be nested too deep for the analyser.
+    rows = rows.withColumn("_tokens", F.when(marked, _found(clean, TOKEN, -1, sized)).otherwise(none))
+    rows = rows.withColumn("_glued", F.when(marked, F.regexp_replace(clean, GLUE, "\x01")).otherwise(F.lit("")))
+    rows = rows.withColumn("_runs", F.when(F.contains("_glued", F.lit("\x01")), _found(F.col("_glued"), TOKEN, -1, lambda x: F.contains(x, F.lit("\x01")) & sized(x))).otherwise(none))
+    rows = rows.withColumn("_runs", _apart(F.col("_runs"), F.col("base")))
+    rows = rows.withColumn("_fixed", F.concat("base", "_runs"))
+    rows = rows.withColumn("_seen", F.concat("_fixed", _apart(F.col("_tokens"), F.col("_fixed"))))
+    return rows.withColumn("seen", F.filter(F.transform("_seen", full), lambda o: (F.length(o["pattern"]) > 0) & (o["stop"] > o["start"]))) \
+        .drop("_tokens", "_glued", "_runs", "_fixed", "_seen")
 
 
 def discover(occurrences: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE, rounds: int = ROUNDS) -> DataFrame:
@@ -131,7 +188,8 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", su
     rows = docs.select(F.monotonically_increasing_id().alias("key"), F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")) \
         .withColumn("base", base_spans(F.col("text")))
     # Written once: the keys are then fixed, and the texts are read and matched in one pass.
-    rows = written(rows.select("key", "id", "base", _occurrences(F.col("text"), F.col("base")).alias("seen")), "pii_rows")
+    bare = F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop")))
+    rows = written(with_occurrences(rows).select("key", "id", bare.alias("base"), "seen"), "pii_rows")
     seen = rows.select("key", F.explode("seen").alias("o")).select("key", "o.*")
     found = discover(seen, support, confidence, rounds)
     if found.isEmpty():
