@@ -54,7 +54,7 @@ def picked(df: DataFrame, ids: DataFrame, col: str, how: str = "left_semi") -> D
     Up to ``BROADCAST_IDS`` ids are broadcast, so ``df`` is not shuffled; more are joined by a shuffle.
     """
     ids = ids.select(col).distinct()
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    few = ids.count() <= BROADCAST_IDS
     return df.join(F.broadcast(ids) if few else ids, col, how)
 
 
