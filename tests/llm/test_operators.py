@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import zlib
 
 import numpy as np
@@ -512,7 +513,11 @@ def test_word_tokenizer_matches_whole_texts(texts):
     path = packing.default_tokenizer()
     tok = Tokenizer.from_file(path)
     hard = ["", "a\x1cb c\x1fd", "x\u00a0y\u3000z   w", "é e\u0301 E\u0301. Σας ΣΑΣ. ΌΣΟΣ, İI", "don't we'll, <|endoftext|>x I'M.", "1234 $$ 漢字かな, 😀😀!",
-            "\x85 \x0b\x0c", "a.,b c.,\nd!? e'. f\"! É. ñ,", None, "ſtreet ẞ ß Å K ﬁ", "\u0301a \u0301 b\u0301.", ". , ...", "\x00 a\x00b", "\u200bz \ufeffq"]
+            "\x85 \x0b\x0c", "a.,b c.,\nd!? e'. f\"! É. ñ,", None, "ſtreet ẞ ß Å K ﬁ", "\u0301a \u0301 b\u0301.", ". , ...", "\x00 a\x00b", "\u200bz \ufeffq",
+            "<|ENDOFTEXT|> A<|endoftext|>1", "H\u0331 h\u0331 1\u0301 =\u0338", "a1'd 12'S ('ve).'re x2024-01-31y"]
+    rng = random.Random(5)
+    signs = [*"abstvdlmASTV019.,!'’-_<|>() \t\n\x1c\x00", "'ll", "H\u0331", "\u0301", "\u0338", "\u212a", "\u037e", "\xa0", "é", "İ", "漢", "²", "<|endoftext|>"]
+    hard += ["".join(rng.choices(signs, k=rng.randint(0, 30))) for _ in range(3000)]
     for cache in (50, 10_000):
         own = packing.WordTokenizer(path, cache_words=cache)
         for rows in (hard, [t for _, t in texts][:150], [hard[3]], hard):

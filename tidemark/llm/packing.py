@@ -24,14 +24,15 @@ one by one.  A null id stays null.  An empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 import sys
 import types
 import zlib
 from bisect import bisect_left, bisect_right, insort
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,50 +44,64 @@ END_ID = 1
 BUFFER_TOKENS = 2_000_000
 #: Words in each of the two parts of a Python worker's word cache (about 0.25 KB each).
 CACHE_WORDS = 250_000
-#: Texts whose new words are encoded together.
-TEXTS = 256
+#: Text bytes (or one text) whose words are looked up together.
+TEXT_BYTES = 2 << 20
 STEP_SEQUENCES = 16
 
 
 class WordTokenizer:
     """Ids of texts by a tokenizer that never joins across white space, word by word with a cache.
 
-    ``ids`` returns them as little-endian unsigned 32-bit bytes.  Before a text is cut into words, end
-    punctuation is set apart from letters and Latin text is lower-cased; the tokenizer does both anyway,
-    and so there are fewer different words to look up.  New words of several texts are encoded as one text.
+    ``ids`` returns them as little-endian unsigned 32-bit bytes.  The words of many texts are found at once
+    (:func:`cut_words`); only their distinct ones are looked up, and new ones are encoded together.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        self.cache: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
         self.cache_words = cache_words
 
-    def ids(self, texts: list[str | None]) -> list[bytes]:
-        parts = [split_words(t or "") for t in texts]
-        new = set().union(*parts).difference(self.cache)
+    def ids(self, texts) -> list[bytes]:
+        """Of an Arrow array or a list of strings; null is empty."""
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).cast(pa.large_binary()).fill_null(b"")
+        stops = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[stops[0]:stops[-1]]
+        words, upto = cut_words(raw, stops - stops[0])
+        if not len(words):
+            return [b""] * len(texts)
+        words = words.dictionary_encode()
+        found = self._look_up(words.dictionary.to_pylist())
+        flat = np.frombuffer(b"".join(found), "<u4")
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        begin = np.cumsum(size) - size
+        which = words.indices.to_numpy()
+        size = size[which]
+        stop = np.cumsum(size)
+        out = flat[np.repeat(begin[which] - stop + size, size) + np.arange(stop[-1])]
+        bounds = np.concatenate(([0], stop))[upto].tolist()
+        return [out[x:y].tobytes() for x, y in zip(bounds, bounds[1:])]
+
+    def _look_up(self, words: list[bytes]) -> list[bytes]:
+        new = [w for w in words if w not in self.cache]
         if len(self.cache) + len(new) > self.cache_words:
             # The full part becomes the old one; its words move over again when they are met.
             self.before, self.cache = self.cache, {}
-            new = set().union(*parts)
+            new = words
         cache, before = self.cache, self.before
-        known = new.intersection(before)
-        cache.update(zip(known, map(before.__getitem__, known)))
-        self._learn(sorted(new - known))
-        return [b"".join(map(cache.__getitem__, words)) for words in parts]
+        cache.update((w, before[w]) for w in new if w in before)
+        self._learn([w for w in new if w not in before])
+        return list(map(cache.__getitem__, words))
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[bytes]) -> None:
         for i in range(0, len(words), 2000):
             part = words[i:i + 2000]
-            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            e = self.tokenizer.encode([w.decode("utf-8", "replace") for w in part], is_pretokenized=True, add_special_tokens=False)
             ids = np.asarray(e.ids, "<u4")
-            stops = np.cumsum([len(w) + 1 for w in part])
-            cuts = np.searchsorted(np.fromiter((a for a, _ in e.offsets), np.int64, len(ids)), stops[:-1]) * 4
-            raw, at = ids.tobytes(), 0
-            for w, c in zip(part, [*cuts.tolist(), len(raw)]):
-                self.cache[w] = raw[at:c]
-                at = c
+            cuts = (4 * np.searchsorted(np.asarray(e.word_ids, np.int64), np.arange(len(part) + 1))).tolist()
+            raw = ids.tobytes()
+            self.cache.update((w, raw[x:y]) for w, x, y in zip(part, cuts, cuts[1:]))
 
 
 def worker_tokenizer(path: str) -> WordTokenizer:
@@ -97,20 +112,50 @@ def worker_tokenizer(path: str) -> WordTokenizer:
     return kept[path]
 
 
-_END_MARKS = re.compile(r"(?<=[A-Za-z\u00c0-\u024f])([,.!?;:]+)(?=[ \t\n\r\x0b\x0c]|\Z)")
-#: Characters whose lower case is not left to Python: beyond Latin, and the dotted capital I.
-_NOT_LATIN = re.compile("[\u0130\u0250-\U0010ffff]")
-_SEPARATORS = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-
-
-def split_words(text: str) -> list[str]:
-    """Words between ASCII white space (other white space stays inside a word, for the tokenizer)."""
-    text = _END_MARKS.sub(r" \1", text)
-    if not _NOT_LATIN.search(text):
-        text = text.lower()
-    if _SEPARATORS.search(text):   # str.split would cut there, too
-        return [w.decode("utf-8") for w in text.encode("utf-8", "replace").split()]
-    return text.split()
+_WHITE, _LETTER, _DIGIT, _MARK, _APOSTROPHE = range(1, 6)
+#: Kinds of bytes.  The others (beyond ASCII, control codes, the frame of special tokens) are never cut off.
+_KIND = np.zeros(256, np.uint8)
+_KIND[list(b" \t\n\r\x0b\x0c")] = _WHITE
+_KIND[[b for b in range(128) if chr(b).isalpha()]] = _LETTER
+_KIND[list(b"0123456789")] = _DIGIT
+_KIND[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) not in "'<|>"]] = _MARK
+_KIND[ord("'")] = _APOSTROPHE
+#: Whether a word ends between bytes of two kinds (first kind times 8 and second).
+_CUT = np.zeros(64, bool)
+for _a, _b in [(_LETTER, _MARK), (_LETTER, _APOSTROPHE), (_MARK, _LETTER), (_DIGIT, _DIGIT),
+               *((k, _DIGIT) for k in (_LETTER, _MARK, _APOSTROPHE)), *((_DIGIT, k) for k in (_LETTER, _MARK, _APOSTROPHE))]:
+    _CUT[8 * _a + _b] = True
+_CUT[8 * _WHITE:8 * _WHITE + 8] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def cut_words(raw: np.ndarray, stops: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Words of texts that lie behind each other in ``raw``, and how many there are before each of ``stops``.
+
+    Words lie between ASCII white space (other white space stays inside, for the tokenizer).  Digits, and
+    letters and marks of ASCII, are set apart from each other and A-Z is lower-cased: the tokenizer does
+    both anyway, and so there are fewer different words to look up.  What a composed character or a
+    contraction may begin with, or a special token holds, is left to it.
+    """
+    kind = _KIND[raw]
+    pair = np.empty(len(raw), np.uint8)
+    pair[:1] = 8 * _WHITE
+    pair[1:] = kind[:-1] << 3
+    pair[stops[:-1][stops[:-1] < len(raw)]] = 8 * _WHITE
+    pair |= kind
+    solid = kind != _WHITE
+    starts = np.flatnonzero(_CUT[pair] & solid)
+    if b"<|" not in raw.tobytes():
+        lower = _LOWER[raw]
+        joined = np.flatnonzero(raw[1:] >= 128)
+        lower[joined] = raw[joined]
+        raw = lower
+    packed = raw[solid]
+    at = np.cumsum(solid)[starts] - 1
+    offsets = np.append(at, len(packed)).astype(np.int64)
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
+    return words, np.searchsorted(starts, stops)
 
 
 class Packer:
@@ -252,9 +297,11 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
 
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for i in range(0, batch.num_rows, TEXTS):
-                part = batch.slice(i, TEXTS)
-                for doc, ids in zip(part.column(0).to_pylist(), tokenizer.ids(part.column(1).to_pylist())):
+            ends = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy())
+            parts = np.searchsorted(ends, np.arange(0, ends[-1:].sum(), TEXT_BYTES)).tolist()
+            for a, b in pairwise(sorted({0, *parts, batch.num_rows})):
+                part = batch.slice(a, b - a)
+                for doc, ids in zip(part.column(0).to_pylist(), tokenizer.ids(part.column(1))):
                     packer.add(doc, ids + end)
                     if packer.held >= buffer_tokens:
                         yield from out(packer.flush(False))
