@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 import pickle
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +71,14 @@ def pieces(batches, rows: int = 512):
     pa.default_memory_pool().release_unused()
 
 
+def text_slices(batch: pa.RecordBatch, column: int, limit: int):
+    """Slices of a batch with about ``limit`` bytes of text in ``column``, or one longer text more."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
+    cuts = np.searchsorted(ends, np.arange(0, ends[-1:].sum(), limit)).tolist()
+    for a, b in pairwise(sorted({0, *cuts, batch.num_rows})):
+        yield batch.slice(a, b - a)
+
+
 def partitions_for(spark: SparkSession, total_bytes: int | None) -> int:
     """Partitions for a text shuffle: the session's number, more when a partition would be too large."""
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))

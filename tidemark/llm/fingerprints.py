@@ -51,7 +51,7 @@ def by_value(order_key: np.ndarray):
         yield int(k[x]), order[x:y]
 
 
-def _runs(texts: DataFrame, buckets: int, extract: Callable, run_hot: int) -> DataFrame:
+def _runs(texts: DataFrame, buckets: int, extract: Callable, run_hot: int, several: bool) -> DataFrame:
     def packed(own, doc, g, pos):
         own, doc, g, pos = np.asarray(own, "<i8"), np.concatenate(doc), np.concatenate(g), np.concatenate(pos)
         order = np.argsort(g, kind="stable")
@@ -82,12 +82,14 @@ def _runs(texts: DataFrame, buckets: int, extract: Callable, run_hot: int) -> Da
     def run(batches):
         find, held, n = extract(), ([], [], [], []), 0
         for batch in batches:
-            for key, t in zip(*batch.columns):
-                name, hashes, places = find(key.as_py(), t.as_buffer().to_pybytes())
+            found = find(batch) if several else (([name], np.zeros(len(places), np.int32), hashes, places)
+                                                 for name, hashes, places in (find(k.as_py(), t.as_buffer().to_pybytes()) for k, t in zip(*batch.columns)))
+            for names, doc, hashes, places in found:
                 if not len(places):
                     continue
-                for of, x in zip(held, (name, np.full(len(places), len(held[0]), np.int32), hashes, places.astype("<u4"))):
+                for of, x in zip(held[1:], (doc + np.int32(len(held[0])), hashes, places.astype("<u4"))):
                     of.append(x)
+                held[0].extend(names)
                 n += len(places)
                 if n >= RUN_PLACES:
                     yield packed(*held)
@@ -164,12 +166,15 @@ def gathered(rows: DataFrame, key: str, columns: list[str], of: Callable) -> Dat
     return rows.groupBy("part").applyInArrow(gather, f"{key} long, " + ", ".join(f"{c} binary" for c in columns))
 
 
-def repeated(texts: DataFrame, buckets: int, extract: Callable, run_hot: int | None = None, bucket_hot: int | None = None) -> DataFrame:
+def repeated(texts: DataFrame, buckets: int, extract: Callable, run_hot: int | None = None, bucket_hot: int | None = None,
+             several: bool = False) -> DataFrame:
     """own, pos, hot: places (unsigned 32-bit) of a text's repeated hashes, one row for each text that has any.
 
     ``texts``: oid, text (bytes).  ``extract()`` makes a function of both that returns the number by which
-    texts are told apart, the 64-bit hashes and their places.
+    texts are told apart, the 64-bit hashes and their places.  With ``several`` it makes one of an Arrow batch
+    that yields, for some texts at a time, their numbers and for each hash the text's index in these, the hash
+    and the place.
     """
-    runs = _runs(texts, buckets, extract, RUN_HOT if run_hot is None else run_hot)
+    runs = _runs(texts, buckets, extract, RUN_HOT if run_hot is None else run_hot, several)
     answers = runs.groupBy("bucket").applyInArrow(_answer(BUCKET_HOT if bucket_hot is None else bucket_hot, buckets), SCATTERED)
     return gathered(answers, "own", ["pos", "hot"], _by_heat)

@@ -28,15 +28,13 @@ import sys
 import types
 import zlib
 from bisect import bisect_left, bisect_right, insort
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import load
+from tidemark.llm.common import load, text_slices
 
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
@@ -297,10 +295,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
 
         for batch in batches:
             id_type = batch.schema.field(0).type
-            ends = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy())
-            parts = np.searchsorted(ends, np.arange(0, ends[-1:].sum(), TEXT_BYTES)).tolist()
-            for a, b in pairwise(sorted({0, *parts, batch.num_rows})):
-                part = batch.slice(a, b - a)
+            for part in text_slices(batch, 1, TEXT_BYTES):
                 for doc, ids in zip(part.column(0).to_pylist(), tokenizer.ids(part.column(1))):
                     packer.add(doc, ids + end)
                     if packer.held >= buffer_tokens:
