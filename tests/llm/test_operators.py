@@ -344,6 +344,22 @@ def test_base_spans(spark, docs, texts):
         assert got == {k: pii.brute_force(t) for k, t in rows}
 
 
+def test_op3_counts_and_digests_by_kind(spark, workdir):
+    """The columns of the query: texts whose spans are of other kinds than their places in the list."""
+    rows = [*enumerate(t for t in HARD if len(t or "") < 1000), (100, "a@b.co, c@d.org, 10.0.0.1"), (101, "+1 743 555 3824"), (102, "4111 1111 1111 1111 or +1 743 555 3824, 10.0.0.1 c@d.org"),
+            (102, "1.2.3.4 5.6.7.8 +44 1234 5678"), (None, "4111-1111-1111-1111"), (None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{workdir}/documents.parquet")
+    out = pii.op3(spark, workdir)
+    got = sorted(map(repr, (tuple(r) for r in out.select("doc_id", *[f"n_{k}" for k in pii.KINDS], "base_sha256").collect())))
+    want = []
+    for k, t in rows:
+        spans = pii.brute_force(t)
+        digest = hashlib.sha256(",".join(f"{kind}:{a}:{b}" for kind, a, b in spans).encode()).hexdigest()
+        want.append((k, *[sum(s[0] == kind for s in spans) for kind in pii.KINDS], digest))
+    assert got == sorted(map(repr, want))
+    assert {out.schema[f"n_{k}"].dataType.simpleString() for k in pii.KINDS} == {"bigint"}
+
+
 def test_contexts_reveal_unseen_identifiers(spark, awkward, empty):
     rows = [(i, f"Note {i % 3}: please call me at +1 555 010 {1000 + i} today") for i in range(12)]
     rows += [(100, "please call me at 01234/5678 now"), (101, "later 01234/5678 again"), (102, "version 3.14x is out")]

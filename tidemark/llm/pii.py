@@ -216,7 +216,12 @@ def _listed(spans: Column) -> Column:
 def op3(spark, sf_dir: str) -> DataFrame:
     """Every document with its personal data."""
     out = find_pii(load(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+
+    def count(k: int) -> Column:
+        # A second parameter of the lambda, even one with a default, would be the position in the array.
+        return F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return out.select(F.col("id").alias("doc_id"), *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
                       _listed(F.concat("base", "added")).alias("spans"))
 
