@@ -12,12 +12,23 @@ from __future__ import annotations
 import posixpath
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 from tidemark.sources.files import FileSystem
 
 
+# State lives off-heap in RocksDB; each batch uploads a changelog and
+# snapshots are taken periodically, so commits stay cheap as state grows.
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_STATE = {
+    _PROVIDER: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def get_spark(master: str | None = None, app: str = "tidemark",
               shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
     """Build (or reuse) a session with the settings the library assumes.
@@ -37,11 +48,7 @@ def get_spark(master: str | None = None, app: str = "tidemark",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # State lives off-heap in RocksDB; each batch uploads a changelog and
-        # snapshots are taken periodically, so commits stay cheap as state grows.
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        **ROCKSDB_STATE,
     }
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -53,6 +60,29 @@ def get_spark(master: str | None = None, app: str = "tidemark",
     return spark
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started in this block keep their state in RocksDB where the session names no provider of its own.
+
+    A stream copies the settings when it starts, so the session has its own again after the block.
+    Spark's default provider holds one table per operator, ``transformWithState`` needs several.
+    """
+    own = {k: spark.conf.get(k, None) for k in ROCKSDB_STATE}
+    if own[_PROVIDER] and not own[_PROVIDER].endswith(".HDFSBackedStateStoreProvider"):
+        yield
+        return
+    try:
+        for k, v in ROCKSDB_STATE.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in own.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def _checkpoint_base(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.session import rocksdb_state
 from tidemark.sources.files import FileSystem
 from tidemark.streaming.keyed import KEY_TYPES, KeyedTable
 
@@ -238,7 +239,10 @@ def upsert_stream(df: DataFrame, target: str, key: str | Sequence[str], checkpoi
 
 def insert_stream(df: DataFrame, path: str, checkpoint: str, trigger: str | Mapping | None = None,
                   query_name: str | None = None, partition_by: Sequence[str] = ()) -> StreamingQuery:
-    """Append every row to a Parquet table (Spark's file sink: exactly-once per batch)."""
+    """Append every row to a Parquet table (Spark's file sink: exactly-once per batch).
+
+    State, if the plan has any, is kept in RocksDB, as ``match_stream`` and ``delivery_stream`` need.
+    """
     if not checkpoint:
         raise ValueError("checkpoint location is required")
     w = (df.writeStream.format("parquet").outputMode("append")
@@ -248,7 +252,8 @@ def insert_stream(df: DataFrame, path: str, checkpoint: str, trigger: str | Mapp
         w = w.partitionBy(*partition_by)
     if query_name:
         w = w.queryName(query_name)
-    return w.start()
+    with rocksdb_state(df.sparkSession):
+        return w.start()
 
 
 def await_completion(q: StreamingQuery, timeout_sec: float = 600) -> None:
