@@ -3,10 +3,14 @@
 import datetime as dt
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from tests.oracle import compare
 from tidemark.operators.latency import delivery_per_second, fifo_match, with_in_flight
+from tidemark.plans import suite
+from tidemark.plans.suite_sql import SQL
 from tidemark.sources.history import stream_table
 from tidemark.streaming.delivery import delivery_stream, match_stream
 from tidemark.streaming.sink import await_completion, insert_stream
@@ -122,3 +126,21 @@ def test_seconds_equal_batch_over_several_runs(spark, workdir):
     assert got == want and len(want) > 200 and early
     for operator in (0, 1):     # the two windowed aggregations hold the far second alone
         assert spark.read.format("statestore").option("operatorId", operator).load(f"{workdir}/seconds_checkpoint").count() <= 1
+
+
+@pytest.mark.parametrize("name", ["fifo_match_stream", "delivery_stream"])
+def test_queries_in_a_session_with_default_state(spark, workdir, name):
+    """The registered queries where the session keeps Spark's default state provider; no errors, and the acks end long before the sends."""
+    rnd = random.Random(7)
+    rows = [(i, START + dt.timedelta(milliseconds=250 * rnd.randint(0, 4 * 86400 * 2)), rnd.randint(1, 3), rnd.choice(("click", "view"))) for i in range(200)]
+    rows += [(200 + i, START + dt.timedelta(days=300, seconds=i), 1, "click") for i in range(50)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string").coalesce(1).write.parquet(f"{workdir}/events.parquet")
+    other = spark.newSession()
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    other.conf.set(provider, default)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{workdir}/events.parquet/*.parquet')")
+    got = compare(other, workdir, name, suite.QUERIES[name], SQL[name], con)
+    assert got["match"] and got["spark_rows"] > 30, got
+    assert other.conf.get(provider) == default     # the session's own setting is back

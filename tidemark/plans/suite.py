@@ -385,9 +385,10 @@ def _delivery_streams(spark: SparkSession, sf_dir: str, work: str) -> tuple[Data
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     day = F.timestamp_diff("DAY", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts")) + F.pmod(F.xxhash64("event_id"), F.lit(3))
     files = e.withColumn("_file", F.least(F.greatest(F.floor(day / 4), F.lit(0)), F.lit(7)).cast("int"))
-    # Rows of a far time on all sides, which themselves wait for ever, let the watermark pass all others.
-    last = e.groupBy("event_type").agg((F.max("ts") + F.expr("INTERVAL 100 DAYS")).alias("ts")).where(F.col("event_type").isin("click", "view", "error")).select(
-        F.lit(-1).cast("long").alias("event_id"), "ts", F.lit(-1).cast("long").alias("user_id"), "event_type", F.lit(8).alias("_file"))
+    # Rows of one far time on all sides, also on a side that has no rows or ends early, let the watermark pass all others; they themselves wait for ever.
+    last = e.agg((F.max("ts") + F.expr("INTERVAL 100 DAYS")).alias("ts")).select(
+        F.lit(-1).cast("long").alias("event_id"), "ts", F.lit(-1).cast("long").alias("user_id"),
+        F.explode(F.array(*map(F.lit, ("click", "view", "error")))).alias("event_type"), F.lit(8).alias("_file"))
     files = files.unionByName(last)
     for k in range(9):   # one after the other, so that they are read in this order
         write_files(files, f"{work}/events", k, k + 1)
