@@ -380,6 +380,10 @@ def q_fifo_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fifo(spark, sf_dir)
 
 
+#: How long a query waits for its stream of the whole table: its time grows with the stream keys.
+STREAM_DAY_SEC = 86_400
+
+
 def _delivery_streams(spark: SparkSession, sf_dir: str, work: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Streams of sends, acks and errors: eight files, each with rows up to two days younger or older than its neighbours'."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
@@ -403,7 +407,7 @@ def q_fifo_match_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = shared_dir(spark, "fifo_match_stream")
     sends, acks, _ = _delivery_streams(spark, sf_dir, work)
     pairs = match_stream(sends, acks, "user_id", order_tiebreak=["event_id"], delay="4 days")
-    await_completion(insert_stream(pairs, f"{work}/pairs", f"{work}/checkpoint", trigger="availableNow"))
+    await_completion(insert_stream(pairs, f"{work}/pairs", f"{work}/checkpoint", trigger="availableNow"), STREAM_DAY_SEC)
     return _ntz_out(spark.read.parquet(f"{work}/pairs"), "sent_ts", "acked_ts")
 
 
@@ -412,7 +416,7 @@ def q_delivery_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = shared_dir(spark, "delivery_stream")
     sends, acks, errors = _delivery_streams(spark, sf_dir, work)
     per = delivery_stream(sends, acks, "user_id", errors, order_tiebreak=["event_id"], delay="4 days")
-    await_completion(insert_stream(per, f"{work}/seconds", f"{work}/checkpoint", trigger="availableNow"))
+    await_completion(insert_stream(per, f"{work}/seconds", f"{work}/checkpoint", trigger="availableNow"), STREAM_DAY_SEC)
     return _ntz_out(with_in_flight(spark.read.parquet(f"{work}/seconds")), "second")
 
 
