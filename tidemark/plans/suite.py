@@ -132,10 +132,14 @@ def events_folder(spark: SparkSession, sf_dir: str, files: int = 8) -> DataFrame
     return table(spark, sf_dir, "events").withColumn("_file", F.pmod(F.xxhash64("event_id"), F.lit(files)).cast("int"))
 
 
+ROW_GROUP_BYTES = 8 << 20
+
+
 def write_files(df: DataFrame, path: str, first: int, last: int) -> None:
-    """Append files ``first`` to ``last - 1`` of a numbered frame, one Parquet file each."""
+    """Append files ``first`` to ``last - 1`` of a numbered frame, one Parquet file each, in row groups that are read side by side."""
     part = df.where(F.col("_file").between(first, last - 1))
-    part.repartitionById(last - first, F.col("_file") - first).drop("_file").write.mode("append").parquet(path)
+    part.repartitionById(last - first, F.col("_file") - first).drop("_file") \
+        .write.option("parquet.block.size", str(ROW_GROUP_BYTES)).mode("append").parquet(path)
 
 
 LIVE_OUT = ["user_id", "ts", "value", "event_type", "event_id", "c_name", "n_name",
